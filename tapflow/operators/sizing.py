@@ -1,0 +1,18 @@
+"""Broadcast only what has been counted."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint when it holds at most ``max_rows`` rows.
+
+    The check reads no more than ``max_rows + 1`` rows of a dimension. Beyond the
+    bound the frame is returned as it is, and Spark shuffles the join with AQE
+    splitting the skewed partitions.
+    """
+    within = df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if within else df
