@@ -274,11 +274,12 @@ def u3(spark, sf):
 
 @query(
     "q_u3_rows_without",
-    "SELECT * FROM supplier WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1995-02-01')",
+    "SELECT p_partkey, p_name FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 50)",
 )
 def u3_rows(spark, sf):
-    early = table(spark, sf, "lineitem").where(F.col("l_shipdate") < F.lit("1995-02-01").cast("timestamp_ntz"))
-    return quality.rows_without(table(spark, sf, "supplier"), early, "s_suppkey", "l_suppkey")
+    bulk = table(spark, sf, "lineitem").where(F.col("l_quantity") >= 50)
+    parts = table(spark, sf, "part").select("p_partkey", "p_name")
+    return quality.rows_without(parts, bulk, "p_partkey", "l_partkey")
 
 
 @query(

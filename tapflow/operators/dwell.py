@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.numbers import half_even
 from ..functions.times import seconds_between
 from .anchors import with_cells
 from .clean import drop_inverted
@@ -114,15 +115,21 @@ def dwell_stats(events: DataFrame, stops: DataFrame) -> DataFrame:
     return _named(stats, stops)
 
 
+def two_digits(value: Column) -> Column:
+    """Half-even; settled at six digits first, so that the order of addition
+    cannot tip a tie."""
+    return half_even(F.round(value, 6), 2)
+
+
 def dwell_stats_simple(events: DataFrame, stops: DataFrame) -> DataFrame:
     stats = (
         events.where(F.col("stop_id").isNotNull() & F.col("region_code").isNotNull() & F.col("mode").isNotNull())
         .groupBy("stop_id", "region_code", "mode")
         .agg(
             F.sum("persons").alias("duration_count"),
-            F.round(F.sum("minutes"), 2).alias("duration_total_min"),
-            F.round(F.avg("minutes"), 2).alias("duration_mean_min"),
-            F.round(F.median("minutes"), 2).alias("duration_median_min"),
+            two_digits(F.sum("minutes")).alias("duration_total_min"),
+            two_digits(F.avg("minutes")).alias("duration_mean_min"),
+            two_digits(F.median("minutes")).alias("duration_median_min"),
         )
     )
     return _named(stats, stops)
