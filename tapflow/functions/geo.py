@@ -41,51 +41,27 @@ ARC0 = SEMI_MAJOR * (
 
 def project(df: DataFrame, lon: str, lat: str, x_out: str = "x_5179", y_out: str = "y_5179") -> DataFrame:
     """Add projected metres (transverse Mercator, Snyder 1987 eq. 8-9 and 8-10)."""
-    num = F.lit
-    phi = F.radians(F.col(lat))
-    with_terms = df.withColumns(
-        {
-            "_phi": phi,
-            "_n": num(SEMI_MAJOR) / F.sqrt(num(1.0) - num(E2) * F.sin(phi) * F.sin(phi)),
-            "_t": F.tan(phi) * F.tan(phi),
-            "_c": num(EP2) * F.cos(phi) * F.cos(phi),
-            "_a": F.radians(F.col(lon) - num(LON0_DEG)) * F.cos(phi),
-        }
+    terms = df.selectExpr(
+        "*",
+        f"radians(`{lat}`) AS _p",
+        f"tan(radians(`{lat}`)) AS _tan",
+        f"{SEMI_MAJOR!r}D / sqrt(1D - {E2!r}D * pow(sin(radians(`{lat}`)), 2)) AS _n",
+        f"{EP2!r}D * pow(cos(radians(`{lat}`)), 2) AS _c",
+        f"radians(`{lon}` - {LON0_DEG!r}D) * cos(radians(`{lat}`)) AS _a",
+    ).selectExpr("*", "_tan * _tan AS _t", "_a * _a AS _a2")
+    arc = " ".join(
+        f"{sign} {c!r}D * {f'sin({k}D * _p)' if k else '_p'}" for sign, c, k in zip("+-+-", ARC, (0, 2, 4, 6))
     )
-    p, n, t, c, a = (F.col(k) for k in ("_phi", "_n", "_t", "_c", "_a"))
-    arc = num(SEMI_MAJOR) * (
-        num(ARC[0]) * p
-        - num(ARC[1]) * F.sin(p * num(2.0))
-        + num(ARC[2]) * F.sin(p * num(4.0))
-        - num(ARC[3]) * F.sin(p * num(6.0))
+    east = f"""_a * (1D + _a2 * (1D - _t + _c) / 6D
+        + _a2 * _a2 * (5D - 18D * _t + _t * _t + 72D * _c - {58 * EP2!r}D) / 120D)"""
+    north = f"""{SEMI_MAJOR!r}D * (0D {arc}) - {ARC0!r}D + _n * _tan * _a2 * (0.5D
+        + _a2 * (5D - _t + 9D * _c + 4D * _c * _c) / 24D
+        + _a2 * _a2 * (61D - 58D * _t + _t * _t + 600D * _c - {330 * EP2!r}D) / 720D)"""
+    return terms.selectExpr(
+        *[f"`{c}`" for c in df.columns if c not in (x_out, y_out)],
+        f"{FALSE_EAST!r}D + {SCALE!r}D * _n * ({east}) AS `{x_out}`",
+        f"{FALSE_NORTH!r}D + {SCALE!r}D * ({north}) AS `{y_out}`",
     )
-    a2 = a * a
-    east = a * (
-        num(1.0)
-        + a2 * (num(1.0) - t + c) / num(6.0)
-        + a2 * a2 * (num(5.0) - t * num(18.0) + t * t + c * num(72.0) - num(58.0 * EP2)) / num(120.0)
-    )
-    north = (
-        arc
-        - num(ARC0)
-        + n
-        * F.tan(p)
-        * a2
-        * (
-            num(0.5)
-            + a2 * (num(5.0) - t + c * num(9.0) + c * c * num(4.0)) / num(24.0)
-            + a2
-            * a2
-            * (num(61.0) - t * num(58.0) + t * t + c * num(600.0) - num(330.0 * EP2))
-            / num(720.0)
-        )
-    )
-    return with_terms.withColumns(
-        {
-            x_out: num(FALSE_EAST) + num(SCALE) * n * east,
-            y_out: num(FALSE_NORTH) + num(SCALE) * north,
-        }
-    ).drop("_phi", "_n", "_t", "_c", "_a")
 
 
 def grid_cell(x: Column, y: Column) -> Column:

@@ -27,12 +27,9 @@ CANDIDATE_ENDS = {
     "office": (("board", PM_HOURS), ("alight", AM_HOURS)),
 }
 
-# Cards with at most this many distinct points are joined whole; larger ones
-# are cut into distance blocks.
-SMALL_CARD = 64
-# Graphs with at most this many edges are folded in one row, larger ones go
-# through the iterative join.
-FOLD_EDGES = 256
+# Cards with at most this many visited stops are clustered in one row; larger
+# ones by joins over distance blocks. Both give the same clusters.
+SMALL_CARD = 128
 
 
 def candidate_stops(
@@ -119,11 +116,10 @@ def eligible_visits(visits: DataFrame, n: int = MIN_ROWS) -> DataFrame:
     """Visits of cards with at least ``n`` rows in each window (stop unknown included)."""
 
     def rows(kind: str) -> Column:
-        return F.sum(F.when(F.col("location_type") == kind, F.col("n")))
+        return F.sum(F.when(F.col("location_type") == kind, F.col("n"))).over(Window.partitionBy("card_id"))
 
-    cards = visits.groupBy("card_id").agg(rows("residence").alias("_h"), rows("office").alias("_w"))
-    keep = cards.where((F.col("_h") >= n) & (F.col("_w") >= n)).select("card_id")
-    return visits.join(keep, "card_id", "left_semi")
+    counted = visits.withColumns({"_h": rows("residence"), "_w": rows("office")})
+    return counted.where((F.col("_h") >= n) & (F.col("_w") >= n)).drop("_h", "_w")
 
 
 # --- density clustering ---------------------------------------------------------------------
@@ -131,6 +127,59 @@ def eligible_visits(visits: DataFrame, n: int = MIN_ROWS) -> DataFrame:
 GROUP = ["location_type", "card_id"]
 
 
+def _cluster_in_row(visits: DataFrame, eps: float, min_samples: int) -> DataFrame:
+    """Clusters of cards whose visits fit in one short array (at most
+    ``SMALL_CARD`` elements), by array functions alone: one shuffle, no pairs
+    leave the row.
+
+    Visits are sorted by first use, so a cluster's label is the position of
+    its first core visit and lower labels began earlier.
+    """
+    visit = F.struct(
+        "first_ts", "stop_id", "region_code", "mode", "stop_name", "x", "y", "n"
+    )
+    cards = visits.groupBy(*GROUP).agg(F.sort_array(F.collect_list(visit)).alias("v"))
+    near = cards.withColumn(
+        "near",
+        F.expr(
+            f"""transform(v, p -> filter(sequence(0, size(v) - 1), j ->
+                sqrt((p.x - v[j].x) * (p.x - v[j].x) + (p.y - v[j].y) * (p.y - v[j].y)) <= {float(eps)!r}D))"""
+        ),
+    )
+    core = near.withColumn(
+        "core", F.expr(f"transform(near, a -> aggregate(a, 0L, (s, j) -> s + v[j].n) >= {int(min_samples)})")
+    ).where("exists(core, c -> c)")
+    joined = core.withColumn("core_near", F.expr("transform(near, a -> filter(a, j -> core[j]))")).withColumn(
+        "label",
+        F.expr(
+            """aggregate(sequence(0, size(v) - 1), transform(core, (c, i) -> if(c, i, -1)), (label, i) ->
+                 if(core[i],
+                    transform(array(transform(core_near[i], j -> label[j])),
+                              seen -> transform(label, l -> if(array_contains(seen, l), array_min(seen), l)))[0],
+                    label))"""
+        ),
+    )
+    member = joined.withColumn(
+        "member",
+        F.expr("transform(core_near, (a, i) -> if(core[i], label[i], array_min(transform(a, j -> label[j]))))"),
+    )
+    main = member.withColumns(
+        {
+            "main": F.expr(
+                """array_min(transform(array_distinct(filter(member, m -> m is not null)), m -> struct(
+                     -aggregate(sequence(0, size(v) - 1), 0L, (s, i) -> s + if(member[i] <=> m, v[i].n, 0L)) as neg,
+                     m as label)))"""
+            ),
+            "total_trips": F.expr("aggregate(v, 0L, (s, p) -> s + p.n)"),
+        }
+    )
+    kept = F.expr(
+        """filter(transform(v, (p, i) -> if(member[i] = main.label,
+             struct(p.stop_id, p.stop_name, p.region_code, p.mode), null)), p -> p is not null)"""
+    )
+    return main.select(*GROUP, (-F.col("main.neg")).alias("cluster_size"), "total_trips", F.inline(kept))
+
+
 def _points(visits: DataFrame, eps: float) -> DataFrame:
     """Distinct points of a card with their row weight and grid cell.
 
@@ -155,15 +204,9 @@ def _points(visits: DataFrame, eps: float) -> DataFrame:
 
 
 def _near_pairs(points: DataFrame, eps: float) -> DataFrame:
-    """Pairs of points in different cells within ``eps``.
-
-    A card of few points meets itself in one block. A card of many is
-    blocked by cell, each point looking into the 24 cells around its own, so
-    work grows with the points and not with their square.
-    """
-    sizes = points.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("_m"))
-    sized = points.join(sizes, GROUP).withColumn("_small", F.col("_m") <= SMALL_CARD)
-    whole = F.struct(F.lit(0).cast("bigint").alias("cx"), F.lit(0).cast("bigint").alias("cy"))
+    """Pairs of points in different cells within ``eps``: each point looks
+    into the 24 cells around its own, so work grows with the points and not
+    with their square."""
     around = F.array(
         *[
             F.struct((F.col("cell.cx") + dx).alias("cx"), (F.col("cell.cy") + dy).alias("cy"))
@@ -172,47 +215,22 @@ def _near_pairs(points: DataFrame, eps: float) -> DataFrame:
             if (dx, dy) != (0, 0)
         ]
     )
-    left = sized.select(
-        *GROUP,
-        F.explode(F.when(F.col("_small"), F.array(whole)).otherwise(around)).alias("block"),
-        "x",
-        "y",
-        "cell",
-    )
-    right = sized.select(
+    left = points.select(*GROUP, "x", "y", "cell", F.explode(around).alias("qcell"))
+    right = points.select(
         *GROUP,
-        F.when(F.col("_small"), whole).otherwise(F.col("cell")).alias("block"),
         F.col("x").alias("qx"),
         F.col("y").alias("qy"),
         F.col("w").alias("qw"),
         F.col("cell").alias("qcell"),
     )
     away = planar_distance(F.col("x"), F.col("y"), F.col("qx"), F.col("qy"))
-    return (
-        left.join(right, [*GROUP, "block"])
-        .where((F.col("cell") != F.col("qcell")) & (away <= F.lit(eps)))
-        .drop("block")
-    )
+    return left.join(right, [*GROUP, "qcell"]).where(away <= F.lit(eps))
 
 
-def _fold_components(edges: DataFrame) -> DataFrame:
-    """Component (lowest cell) of every cell of a card, for small graphs:
-    each edge merges two labels in one map per card."""
-    graph = edges.groupBy(*GROUP).agg(F.collect_list(F.struct("a", "b")).alias("edges"))
-    folded = F.expr(
-        """aggregate(
-             edges,
-             map_from_entries(transform(array_distinct(flatten(transform(edges, e -> array(e.a, e.b)))),
-                                        c -> struct(c, c))),
-             (acc, e) -> transform_values(acc, (k, v) ->
-                 if(v = greatest(acc[e.a], acc[e.b]), least(acc[e.a], acc[e.b]), v)))"""
-    )
-    return graph.select(*GROUP, F.explode(folded).alias("node", "comp"))
-
-
-def _iterate_components(edges: DataFrame) -> DataFrame:
-    """The same for large graphs: lowest label of the neighbours, then the
-    label's own label, until nothing changes. Each round is checkpointed."""
+def _components(edges: DataFrame) -> DataFrame:
+    """Component (lowest cell) of every cell of a card: lowest label of the
+    neighbours, then the label's own label, until nothing changes. Each round
+    is checkpointed."""
     both = edges.select(*GROUP, F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
         edges.select(*GROUP, F.col("b").alias("node"), F.col("a").alias("other"))
     )
@@ -236,29 +254,8 @@ def _iterate_components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _components(edges: DataFrame, fold_edges: int) -> DataFrame:
-    sizes = edges.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("_e"))
-    large = sizes.where(F.col("_e") > fold_edges).select(*GROUP)
-    small = sizes.where(F.col("_e") <= fold_edges).select(*GROUP)
-    folded = _fold_components(edges.join(small, GROUP, "left_semi"))
-    if large.isEmpty():
-        return folded
-    return folded.unionByName(_iterate_components(cut(edges.join(large, GROUP, "left_semi"))))
-
-
-def anchors_from_visits(
-    visits: DataFrame, eps: float = EPS_METRES, min_samples: int = MIN_ROWS, fold_edges: int = FOLD_EDGES
-) -> DataFrame:
-    """Stops of the largest density cluster of each (window, card).
-
-    Rows at one point count by their weight, so the result equals clustering
-    row by row. A point is core when the rows within ``eps`` reach
-    ``min_samples``; core points within ``eps`` share a cluster; a border
-    point joins the cluster whose first core row came first; of equally large
-    clusters the one that began first wins. Confidence is the cluster's share
-    of the rows with coordinates, half-even to two digits.
-    """
-    visits = cut(visits)
+def _cluster_by_joins(visits: DataFrame, eps: float, min_samples: int) -> DataFrame:
+    """The same clusters for cards of any size, by equi joins on distance cells."""
     points = _points(visits, eps)
     pairs = cut(_near_pairs(points, eps))
     reach = pairs.groupBy(*GROUP, "x", "y").agg(F.sum("qw").alias("_near"))
@@ -281,7 +278,7 @@ def anchors_from_visits(
     alone = core_cells.select(*GROUP, F.col("cell").alias("a"), F.col("cell").alias("b"))
     edges = cut(links.unionByName(alone).distinct())
 
-    comps = _components(edges, fold_edges)
+    comps = _components(edges)
     begun = (
         comps.join(core_cells.withColumnRenamed("cell", "node"), [*GROUP, "node"])
         .groupBy(*GROUP, "comp")
@@ -314,26 +311,48 @@ def anchors_from_visits(
         .join(totals, GROUP)
         .select(*GROUP, "x", "y", "cluster_size", "total_trips")
     )
-    share = half_even(F.col("cluster_size") / F.col("total_trips"), 2)
     return visits.join(picked, [*GROUP, "x", "y"]).select(
+        *GROUP, "cluster_size", "total_trips", "stop_id", "stop_name", "region_code", "mode"
+    )
+
+
+def anchors_from_visits(
+    visits: DataFrame, eps: float = EPS_METRES, min_samples: int = MIN_ROWS, small_card: int = SMALL_CARD
+) -> DataFrame:
+    """Stops of the largest density cluster of each (window, card).
+
+    A visit counts by its rows, so the result equals clustering row by row.
+    A visit is core when the rows within ``eps`` reach ``min_samples``; core
+    visits within ``eps`` share a cluster; a border visit joins the cluster
+    that began first; of equally large clusters the one that began first
+    wins. Confidence is the cluster's share of the rows with coordinates,
+    half-even to two digits.
+    """
+    located = visits.where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    sized = cut(located.withColumn("_m", F.count(F.lit(1)).over(Window.partitionBy("card_id"))))
+    found = _cluster_in_row(sized.where(F.col("_m") <= small_card).drop("_m"), eps, min_samples)
+    large = sized.where(F.col("_m") > small_card).drop("_m")
+    if not large.isEmpty():
+        found = found.unionByName(_cluster_by_joins(large, eps, min_samples))
+    return found.select(
         "card_id",
         "stop_id",
         "stop_name",
         "region_code",
         F.col("mode").alias("transport_type"),
         "location_type",
-        share.alias("confidence"),
+        half_even(F.col("cluster_size") / F.col("total_trips"), 2).alias("confidence"),
         "cluster_size",
         "total_trips",
     )
 
 
 def anchors(
-    candidates: DataFrame, eps: float = EPS_METRES, min_samples: int = MIN_ROWS, fold_edges: int = FOLD_EDGES
+    candidates: DataFrame, eps: float = EPS_METRES, min_samples: int = MIN_ROWS, small_card: int = SMALL_CARD
 ) -> DataFrame:
     """Anchors from candidate rows (``location_type``, card, stop key,
     ``stop_name``, ``event_ts``, projected ``x``, ``y``)."""
-    return anchors_from_visits(candidate_visits(candidates), eps, min_samples, fold_edges)
+    return anchors_from_visits(candidate_visits(candidates), eps, min_samples, small_card)
 
 
 def all_anchors(residence: DataFrame, office: DataFrame) -> DataFrame:
