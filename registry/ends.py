@@ -56,7 +56,7 @@ def e2(spark, sf):
 
 @query("q_e3_dwell_job", dwell_stats_sql("sc_dwell_events", "station_cells"), "sc_dwell_events", "station_cells")
 def e3(spark, sf):
-    stops = jobs.station_cells(clean_stops(spark, sf).drop("cell_id"))
+    stops = jobs.station_cells(jobs.staged(clean_stops(spark, sf).drop("cell_id"), "stops"))
     return rounded(jobs.dwell_job(taps(spark, sf), stops), *DWELL_ROUNDED)
 
 

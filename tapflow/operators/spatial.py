@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.geo import grid_wkt, planar_distance, rectangle_wkt
+from ..session import cut
 from .enrich import enrich_stops
 
 AROUND = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
@@ -53,25 +52,6 @@ def within_radius(
     return pairs.withColumn("distance_m", away).where(F.col("distance_m") <= radius).drop("_cx", "_cy", "_sx", "_sy")
 
 
-def _reach(points: DataFrame, sites: DataFrame, x: str, y: str, max_dist: float | None, start: float) -> list[float]:
-    """Ring radii: one ring when bounded, else growing until they span the data."""
-    if max_dist is not None:
-        return [max_dist]
-    box = (
-        points.select(F.col(x).alias("x"), F.col(y).alias("y"))
-        .unionByName(sites.select(F.col(x).alias("x"), F.col(y).alias("y")))
-        .agg(F.min("x"), F.max("x"), F.min("y"), F.max("y"))
-        .first()
-    )
-    if box is None or box[0] is None:
-        return [start]
-    span = math.hypot(box[1] - box[0], box[3] - box[2])
-    rings = [start]
-    while rings[-1] < span:
-        rings.append(rings[-1] * 4.0)
-    return rings
-
-
 def nearest_site(
     points: DataFrame,
     sites: DataFrame,
@@ -87,35 +67,47 @@ def nearest_site(
 
     Membership in a Voronoi cell is the same as having its site nearest. Each
     ring looks only into the 3 x 3 cells of its own size, and points found
-    within the ring are final; the rest go to a ring four times as wide. With
-    ``max_dist`` there is one ring and points beyond it get NULL. ``key`` must
-    identify a point.
+    within the ring are final; the rest go to a ring four times as wide, until
+    none are left. With ``max_dist`` there is one ring, and points beyond it
+    get NULL. ``key`` must identify a point.
     """
-    located = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*key, x, y)
-    places = sites.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
-        F.col(site_id).alias("_site"), F.col(x).alias("_sx"), F.col(y).alias("_sy")
+    open_points = cut(points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*key, x, y))
+    places = cut(
+        sites.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
+            F.col(site_id).alias("_site"), F.col(x).alias("_sx"), F.col(y).alias("_sy")
+        )
     )
+    ring = first_ring if max_dist is None else max_dist
     found = None
-    open_points = located
-    rings = _reach(located, sites, x, y, max_dist, first_ring)
-    for i, ring in enumerate(rings):
-        near = _spread(_cells(places, "_sx", "_sy", ring))
-        away = planar_distance(F.col(x), F.col(y), F.col("_sx"), F.col("_sy"))
-        best = (
-            _cells(open_points, x, y, ring)
-            .join(near, ["_cx", "_cy"])
-            .withColumn("_away", away)
-            .where(F.col("_away") <= ring)
-            .groupBy(*key)
-            .agg(F.min(F.struct("_away", "_site")).alias("_best"))
-            .select(*key, F.col("_best._site").alias("nearest_site"), F.col("_best._away").alias("site_distance"))
-        )
+    while True:
+        best = _nearest_in_ring(open_points, places, ring, key, x, y)
+        best = best if max_dist is not None else cut(best)
         found = best if found is None else found.unionByName(best)
-        if i + 1 < len(rings):
-            open_points = open_points.join(best.select(*key), key, "left_anti")
+        if max_dist is not None:
+            break
+        open_points = open_points.join(best.select(*key), key, "left_anti")
+        if open_points.isEmpty() or places.isEmpty():
+            break
+        ring *= 4.0
     return points.join(found, key, "left")
 
 
+def _nearest_in_ring(
+    points: DataFrame, places: DataFrame, ring: float, key: list[str], x: str, y: str
+) -> DataFrame:
+    near = _spread(_cells(places, "_sx", "_sy", ring))
+    away = planar_distance(F.col(x), F.col(y), F.col("_sx"), F.col("_sy"))
+    return (
+        _cells(points, x, y, ring)
+        .join(near, ["_cx", "_cy"])
+        .withColumn("_away", away)
+        .where(F.col("_away") <= ring)
+        .groupBy(*key)
+        .agg(F.min(F.struct("_away", "_site")).alias("_best"))
+        .select(*key, F.col("_best._site").alias("nearest_site"), F.col("_best._away").alias("site_distance"))
+    )
+
+
 def attach_grid(od: DataFrame, stops: DataFrame) -> DataFrame:
     """Monthly OD with stop names and grid cells at both ends (LEFT join)."""
     dim = stops.withColumn("stop_id", F.col("stop_id").cast("string")).withColumnsRenamed(

@@ -71,7 +71,7 @@ def cell_commute_od_job(taps: DataFrame, raw_stops: DataFrame, max_dist: float |
     """Older rule: leg self-join trips, station cells, modal agreement, OD in
     both directions (``direction`` tells which)."""
     trips = staged(clean.drop_inverted(purpose_trips_by_leg(taps)), "leg-trips")
-    stops = staged(station_cells(clean.build_stops(raw_stops), max_dist), "cells")
+    stops = staged(station_cells(staged(clean.build_stops(raw_stops), "stops"), max_dist), "cells")
     cells = staged(anchor_ops.anchor_cells(trips, stops), "anchor-cells")
     parts = [
         od.cell_commute_od(trips, cells, stops, way).select(F.lit(way).alias("direction"), "*")
