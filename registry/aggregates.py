@@ -108,9 +108,10 @@ def a4(spark, sf):
 OD_ROUNDED = ("distance_avg", "distance_median", "time_avg", "time_median")
 
 
-def found_anchors(spark, sf):
-    trips = trips_of(spark, sf)
-    return jobs.find_anchors(trips, clean_stops(spark, sf), holidays(spark))
+def anchored(spark, sf):
+    """Trips, clean stops and anchors; the first two are read several times."""
+    trips, stops = jobs.staged(trips_of(spark, sf), "trips"), jobs.staged(clean_stops(spark, sf), "stops")
+    return trips, stops, jobs.find_anchors(trips, stops, holidays(spark))
 
 
 @query(
@@ -119,15 +120,16 @@ def found_anchors(spark, sf):
     "matched",
 )
 def j2(spark, sf):
-    return od.match_commutes(trips_of(spark, sf), found_anchors(spark, sf))
+    trips, _, found = anchored(spark, sf)
+    return od.match_commutes(trips, found)
 
 
 @query("q_a5_commute_od", "SELECT * EXCLUDE (ym) FROM od", "od")
 def a5(spark, sf):
     """All sf data lies in one month, so the monthly and the plain table agree."""
-    mapping = enrich.transfer_map_from_names(clean_stops(spark, sf))
-    table_ = od.commute_od(trips_of(spark, sf), found_anchors(spark, sf), mapping, holidays(spark))
-    return rounded(table_, *OD_ROUNDED)
+    trips, stops, found = anchored(spark, sf)
+    mapping = enrich.transfer_map_from_names(stops)
+    return rounded(od.commute_od(trips, found, mapping, holidays(spark)), *OD_ROUNDED)
 
 
 @query(
@@ -139,7 +141,8 @@ SELECT strftime(op_date, '%Y%m') AS ym, trip_type, count(*) AS monthly_od_cnt,
     "matched",
 )
 def a6(spark, sf):
-    matched = od.match_commutes(trips_of(spark, sf), found_anchors(spark, sf))
+    trips, _, found = anchored(spark, sf)
+    matched = od.match_commutes(trips, found)
     return od.od_monitor(matched.withColumn("ym", year_month(F.col("op_date"))), ("ym", "trip_type"))
 
 
@@ -336,7 +339,7 @@ SELECT count(*) AS total_rows, count(DISTINCT card_id) AS unique_cards,
     "anchors",
 )
 def a11(spark, sf):
-    return anchor_ops.anchor_stats(found_anchors(spark, sf))
+    return anchor_ops.anchor_stats(anchored(spark, sf)[2])
 
 
 @query(
@@ -655,10 +658,8 @@ FROM (SELECT CAST(unnest(generate_series(date_trunc('month', min(o_orderdate)),
     "holidays",
 )
 def a32(spark, sf):
-    first = table(spark, sf, "orders").agg(F.min(F.to_date("o_orderdate")).alias("lo"))
-    last = table(spark, sf, "events").agg(F.max(F.to_date("ts")).alias("hi"))
-    # One row each.
-    span = first.withColumn("j", F.lit(1)).join(F.broadcast(last.withColumn("j", F.lit(1))), "j")
+    last = table(spark, sf, "events").agg(F.max(F.to_date("ts"))).scalar()
+    span = table(spark, sf, "orders").agg(F.min(F.to_date("o_orderdate")).alias("lo")).withColumn("hi", last)
     return business_day_counts(month_span(span, F.col("lo"), F.col("hi")), holidays(spark))
 
 

@@ -9,7 +9,7 @@ from tapflow.operators import anchors as anchor_ops
 from tapflow.operators import clean, spatial
 from tapflow.plans import jobs
 
-from .aggregates import clean_stops, found_anchors, trips_of
+from .aggregates import anchored, clean_stops, trips_of
 from .catalog import query, rounded
 from .standin import cte, holidays, raw_stops, taps
 
@@ -101,7 +101,7 @@ def g4(spark, sf):
 
 @query("q_g5_anchors", "SELECT * FROM anchors", "anchors")
 def g5(spark, sf):
-    return found_anchors(spark, sf)
+    return anchored(spark, sf)[2]
 
 
 @query("q_g6_all_anchors", "SELECT * FROM anchors", "anchors")

@@ -286,11 +286,11 @@ def p17(spark, sf):
 
 @query(
     "q_p17_negative_rows",
-    "SELECT s_suppkey, s_name, s_acctbal FROM supplier WHERE s_acctbal < 0 OR s_nationkey < 0",
+    "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal < 0 OR c_nationkey < 0",
 )
 def p17_rows(spark, sf):
-    return clean.negative_rows(table(spark, sf, "supplier"), ["s_acctbal", "s_nationkey"]).select(
-        "s_suppkey", "s_name", "s_acctbal"
+    return clean.negative_rows(table(spark, sf, "customer"), ["c_acctbal", "c_nationkey"]).select(
+        "c_custkey", "c_name", "c_acctbal"
     )
 
 

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geo import planar_distance
-from .clean import touching
 from .ordering import cards_with
 from .sizing import small_side
 
@@ -34,30 +33,40 @@ def return_gap(df: DataFrame, key: list[str] = CARD) -> DataFrame:
     return ends.select(*key, F.round(gap, 2).alias("distance"))
 
 
-def returning_cards(two: DataFrame, stops: DataFrame, key: list[str]) -> DataFrame:
-    """Two-trip cards that leave from the stop set and come back into it."""
-    out = touching(two.where(F.col("trip_no") == 1), stops, "board").select(*key)
-    back = touching(two.where(F.col("trip_no") == 2), stops, "alight").select(*key)
-    return out.intersect(back)
-
-
 def _clock_in(ts: str, hours: tuple[int, int]) -> Column:
     clock = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.extract(F.lit("SECOND"), F.col(ts))
     return clock.between(hours[0] * 3600, hours[1] * 3600)
 
 
-def commuting_cards(two: DataFrame, key: list[str]) -> DataFrame:
-    """Two-trip cards with a morning arrival and an evening departure."""
-    morning = two.where((F.col("trip_no") == 1) & _clock_in("alight_ts", ARRIVE_HOURS)).select(*key)
-    evening = two.where((F.col("trip_no") == 2) & _clock_in("board_ts", RETURN_HOURS)).select(*key)
-    return morning.intersect(evening)
+def two_trip_days(df: DataFrame, stops: DataFrame, key: list[str] = CARD) -> DataFrame:
+    """Trips of two-trip cards with two flags per card: ``returning`` leaves
+    from the stop set and comes back into it; ``commuting`` arrives in the
+    morning and departs again in the evening.
+
+    The rows are hashed by card once; the flags are windows over the same key.
+    """
+    listed = small_side(stops.select("stop_id").distinct())
+    board = listed.select(F.col("stop_id").alias("board_stop"), F.lit(True).alias("_at_board"))
+    alight = listed.select(F.col("stop_id").alias("alight_stop"), F.lit(True).alias("_at_alight"))
+    two = cards_with(df, 2, key)
+    marked = two.join(board, "board_stop", "left").join(alight, "alight_stop", "left")
+    per_card = Window.partitionBy(*key)
+
+    def holds(trip: int, test: Column) -> Column:
+        return F.max(F.coalesce((F.col("trip_no") == trip) & test, F.lit(False))).over(per_card)
+
+    return marked.withColumns(
+        {
+            "returning": holds(1, F.col("_at_board")) & holds(2, F.col("_at_alight")),
+            "commuting": holds(1, _clock_in("alight_ts", ARRIVE_HOURS)) & holds(2, _clock_in("board_ts", RETURN_HOURS)),
+        }
+    ).select(*two.columns, "returning", "commuting")
 
 
 def round_trip_commuters(df: DataFrame, stops: DataFrame, key: list[str] = CARD) -> DataFrame:
     """Trips of cards that make a commuting round trip from the stop set."""
-    two = cards_with(df, 2, key)
-    cards = returning_cards(two, stops, key).intersect(commuting_cards(two, key))
-    return two.join(cards, key, "left_semi")
+    days = two_trip_days(df, stops, key)
+    return days.where(F.col("returning") & F.col("commuting")).drop("returning", "commuting")
 
 
 def mean_ride(df: DataFrame, stops: DataFrame) -> DataFrame:

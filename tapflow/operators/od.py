@@ -218,12 +218,7 @@ def top_destinations(od: DataFrame, p: float = 0.97) -> DataFrame:
         .groupBy(F.coalesce("canonical_id", "alight_stop").alias("station_id"), "alight_name", "alight_mode")
         .agg(F.round(F.sum("daily_count"), 1).alias("daily_sum"))
     )
-    # One row: the quantile of one measure.
-    bar = F.broadcast(exact_quantiles(totals, ["daily_sum"], [p]).select("measure", F.col("value").alias("_bar")))
-    return (
-        totals.withColumn("measure", F.lit("daily_sum"))
-        .join(bar, "measure")
-        .where(F.col("daily_sum") >= F.col("_bar"))
-        .drop("measure", "_bar")
-        .orderBy(F.col("daily_sum").desc(), "station_id", "alight_name", "alight_mode")
+    bar = exact_quantiles(totals, ["daily_sum"], [p]).select("value").scalar()
+    return totals.where(F.col("daily_sum") >= bar).orderBy(
+        F.col("daily_sum").desc(), "station_id", "alight_name", "alight_mode"
     )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .sizing import small_side
+
 # A key with more rows than this is split by hour; there are at most
 # (rows / HOT_ROWS) such keys, which bounds the broadcast hot list.
 HOT_ROWS = 1_000_000
@@ -127,7 +129,7 @@ def sample_cards(taps: DataFrame, n: int, seed: int, key: str = "card_id") -> Da
     repeats exactly."""
     draw = F.md5(F.concat(F.col(key), F.lit(f":{seed}")))
     cards = taps.where(F.col(key).isNotNull()).select(key).distinct().orderBy(draw, key).limit(n)
-    return taps.join(F.broadcast(cards), key, "left_semi")
+    return taps.join(small_side(cards), key, "left_semi")
 
 
 def sample_rows(df: DataFrame, fraction: float, seed: int) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.numbers import half_even, joined_key
 from ..schema import Contract
@@ -261,10 +261,10 @@ def funnel(stages: dict[str, DataFrame], key: str) -> DataFrame:
             F.lit(i).alias("step"), F.lit(name).alias("stage"), "rows", "keys"
         )
         out = one if out is None else out.unionByName(one)
-    # One row per stage.
-    first = F.broadcast(out.where(F.col("step") == 0).select(F.lit(1).alias("_j"), F.col("rows").alias("_first")))
-    pct = F.when(F.col("_first") > 0, half_even(F.col("rows") / F.col("_first") * 100.0, 2))
-    return out.withColumn("_j", F.lit(1)).join(first, "_j").withColumn("pct_of_first", pct).drop("_j", "_first")
+    # One row per stage, so a window over all of them is small.
+    first = F.first("rows").over(Window.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    pct = F.when(first > 0, half_even(F.col("rows") / first * 100.0, 2))
+    return out.withColumn("pct_of_first", pct)
 
 
 def key_diff(a: DataFrame, b: DataFrame, a_key: str, b_key: str) -> DataFrame:

@@ -16,7 +16,7 @@ from ..sources.writers import overwrite_partitions, write_table
 from ..operators import anchors as anchor_ops
 from ..operators import catchment, clean, dwell, enrich, od, quality, spatial
 from ..operators.calendar import business_day_counts
-from ..operators.ordering import cards_with, dedup
+from ..operators.ordering import dedup
 from ..operators.trips import purpose_trips, purpose_trips_by_leg
 from ..schema import STOP_KEY
 
@@ -122,9 +122,8 @@ def catchment_report(
     near = staged(spatial.within_radius(stops, centres, radius), "near")
     located = enrich.enrich_stops(trips, stops, ["x_5179", "y_5179"])
     around = staged(clean.touching(located, near, "either"), "around")
-    two = staged(cards_with(around, 2, key), "two")
-    back = catchment.returning_cards(two, near, key)
-    commuters = back.intersect(catchment.commuting_cards(two, key))
+    two = staged(catchment.two_trip_days(around, near, key), "two")
+    commuters = two.where(F.col("returning") & F.col("commuting"))
     gaps = catchment.return_gap(around, key)
     return {
         "funnel": quality.funnel(
@@ -134,8 +133,8 @@ def catchment_report(
                 "alighting": clean.touching(around, near, "alight"),
                 "internal": clean.touching(around, near, "both"),
                 "two_trips": two,
-                "returning": two.join(back, key, "left_semi"),
-                "commuting": two.join(commuters, key, "left_semi"),
+                "returning": two.where("returning"),
+                "commuting": commuters,
             },
             "card_id",
         ),
@@ -145,7 +144,7 @@ def catchment_report(
         "alight_curve": quality.resample_counts(clean.touching(around, near, "alight"), "alight_ts"),
         "return_bins": quality.bin_counts(gaps, "distance"),
         "hours": quality.hour_crosstab(two, key),
-        "commuters": two.join(commuters, key, "left_semi"),
+        "commuters": commuters.drop("returning", "commuting"),
     }
 
 
