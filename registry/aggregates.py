@@ -109,9 +109,9 @@ OD_ROUNDED = ("distance_avg", "distance_median", "time_avg", "time_median")
 
 
 def anchored(spark, sf):
-    """Trips, clean stops and anchors; the first two are read several times."""
+    """Trips, clean stops and anchors, each read several times."""
     trips, stops = jobs.staged(trips_of(spark, sf), "trips"), jobs.staged(clean_stops(spark, sf), "stops")
-    return trips, stops, jobs.find_anchors(trips, stops, holidays(spark))
+    return trips, stops, jobs.staged(jobs.find_anchors(trips, stops, holidays(spark)), "anchors")
 
 
 @query(

@@ -15,18 +15,8 @@ REGIONAL_SUBWAY_CODES = {
     "jeolla": (4, 440, 699, 547, 552, 850, 851, 852, 853, 870, 871, 872, 877),
 }
 
-# Published user types and purpose labels.
+# The general adult user type and the purpose labels.
 ADULT = 1
-USER_TYPES = {
-    1: "general",
-    2: "child",
-    3: "youth",
-    4: "senior",
-    5: "disabled",
-    6: "veteran",
-    7: "foreigner",
-    8: "other",
-}
 PURPOSE_NAMES = {"morning": "출근", "evening": "퇴근"}
 
 

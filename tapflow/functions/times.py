@@ -4,15 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-TAP_FORMAT = "yyyyMMddHHmmss"
+# Fixed value: digits of a tap time, yyyyMMddHHmmss.
+TAP_DIGITS = "^[0-9]{12}[0-5][0-9]$"
 
 
 def tap_time(text: Column) -> Column:
     """``yyyyMMddHHmmss`` text or number to a naive timestamp, NULL if malformed."""
-    return F.try_to_timestamp(text.cast("string"), F.lit(TAP_FORMAT)).cast("timestamp_ntz")
+    digits = text.cast("string")
+
+    def part(start: int, length: int) -> Column:
+        return F.substring(digits, start, length).try_cast("int")
+
+    made = F.try_make_timestamp_ntz(part(1, 4), part(5, 2), part(7, 2), part(9, 2), part(11, 2), part(13, 2))
+    return F.when(digits.rlike(TAP_DIGITS), made)
 
 
 def tap_date(text: Column) -> Column:
+    """``yyyyMMdd`` text or number to a date, NULL if malformed."""
     return F.try_to_timestamp(text.cast("string"), F.lit("yyyyMMdd")).cast("date")
 
 
@@ -44,3 +52,8 @@ def is_weekday(date: Column) -> Column:
 
 def year_month(date: Column) -> Column:
     return F.date_format(date, "yyyyMM")
+
+
+def hour_stamp(ts: Column) -> Column:
+    """``yyyyMMddHH``."""
+    return F.concat(F.date_format(F.to_date(ts), "yyyyMMdd"), F.lpad(F.hour(ts).cast("string"), 2, "0"))

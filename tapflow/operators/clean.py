@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.codes import ADULT, mode_of, purpose_name
 from ..functions.geo import grid_cell, grid_wkt, local_grid, project
 from ..functions.numbers import half_even, text_to_id
-from ..functions.times import hour_in, tap_time
+from ..functions.times import hour_in, tap_date, tap_time
 from ..schema import PUBLISHED_OD_COLUMNS, STOP_KEY
 from .ordering import dedup
 from .sizing import small_side
@@ -113,7 +113,7 @@ def bad_timestamps(df: DataFrame, ts_text: str, date_text: str) -> DataFrame:
     ts, day = F.col(ts_text), F.col(date_text)
     digit = lambda position: F.substring(ts, position, 1).try_cast("int")
     parsed = tap_time(ts)
-    day_gap = F.date_diff(F.to_date(parsed), F.try_to_timestamp(day, F.lit("yyyyMMdd")).cast("date"))
+    day_gap = F.date_diff(F.to_date(parsed), tap_date(day))
     checked = df.withColumns(
         {
             "bad_digit": F.coalesce((digit(11) > 5) | (digit(13) > 5), F.lit(False)),

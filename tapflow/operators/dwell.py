@@ -48,7 +48,7 @@ def _halves(df: DataFrame, first: tuple[str, str, str], second: tuple[str, str,
 def dwell_events(trips: DataFrame, anchor_cells: DataFrame, stops: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Stays of commuters between two trips, 5 minutes to 1 day, by activity."""
     own = with_cells(commuter_trips(trips, anchor_cells), stops)
-    following = with_next_trip(own, ["board_cell"], hot_rows)
+    following = with_next_trip(own, ["board_cell"], hot_rows, trips)
     gap = seconds_between(F.col("alight_ts"), F.col("next_board_ts"))
     stays = (
         following.withColumn("_gap", gap)

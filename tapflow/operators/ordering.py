@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .sizing import small_side
 
@@ -55,10 +55,10 @@ def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> DataFrame:
     return counts.where(F.col("_n") > rows).select(key)
 
 
-def _with_split(df: DataFrame, key: str, ts: str, hot_rows: int) -> DataFrame:
+def _with_split(df: DataFrame, key: str, ts: str, hot_rows: int, counted: DataFrame) -> DataFrame:
     """``_part``: hour number for hot keys, 0 for all others."""
     hours = F.date_diff(F.to_date(F.col(ts)), F.lit("1970-01-01").cast("date")) * 24 + F.hour(F.col(ts))
-    hot = F.broadcast(hot_keys(df, key, hot_rows).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot_keys(counted, key, hot_rows).withColumn("_hot", F.lit(True)))
     return df.join(hot, key, "left").withColumn(
         "_part", F.when(F.col("_hot"), F.coalesce(hours, F.lit(-1))).otherwise(F.lit(0))
     )
@@ -71,6 +71,7 @@ def with_neighbour(
     carried: dict[str, str],
     step: int,
     hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Columns of the next (``step=1``) or previous (``step=-1``) row of a key.
 
@@ -78,12 +79,13 @@ def with_neighbour(
     starts with a naive timestamp. A hot key is cut into hours: each hour is
     ordered on its own, and one boundary row per hour brings in the first (or
     last) row of the neighbouring hour, so no task sees the whole key and the
-    result equals the plain window.
+    result equals the plain window. Rows per key are counted on ``counted``, a
+    cheaper frame with at least these keys, or on ``df`` itself.
     """
     if step not in (1, -1):
         raise ValueError("step is 1 or -1")
     names = df.columns
-    split = _with_split(df, key, order[0], hot_rows)
+    split = _with_split(df, key, order[0], hot_rows, df if counted is None else counted)
 
     edge = F.min if step == 1 else F.max
     packed = F.struct(*[F.col(c) for c in order], *[F.col(c).alias(f"_v{i}") for i, c in enumerate(carried.values())])
@@ -108,10 +110,12 @@ def with_neighbour(
     return moved.where(F.col("_at") == 0).select(*names, *carried)
 
 
-def with_next_trip(trips: DataFrame, extra: list[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_next_trip(
+    trips: DataFrame, extra: list[str] = (), hot_rows: int = HOT_ROWS, counted: DataFrame | None = None
+) -> DataFrame:
     """Boarding attributes of the card's next trip (``next_*``)."""
     carried = {f"next_{c}": c for c in ["board_stop", "board_ts", "board_region", "board_mode", *extra]}
-    return with_neighbour(trips, "card_id", ["board_ts", "txn_id"], carried, 1, hot_rows)
+    return with_neighbour(trips, "card_id", ["board_ts", "txn_id"], carried, 1, hot_rows, counted)
 
 
 def with_prev_trip(trips: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -135,8 +139,3 @@ def sample_cards(taps: DataFrame, n: int, seed: int, key: str = "card_id") -> Da
 def sample_rows(df: DataFrame, fraction: float, seed: int) -> DataFrame:
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
-
-def ordered(df: DataFrame, measure: str, keys: list[str]) -> DataFrame:
-    """Largest measure first, keys ascending."""
-    columns: list[Column] = [F.col(measure).desc(), *[F.col(k).asc() for k in keys]]
-    return df.orderBy(*columns)

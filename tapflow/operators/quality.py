@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.numbers import half_even, joined_key
+from ..functions.times import hour_stamp
 from ..schema import Contract
 from .quantiles import exact_quantiles
 from .sizing import small_side
@@ -101,7 +102,7 @@ def weighted_mean_times(frequencies: DataFrame) -> DataFrame:
 
 
 def hourly(df: DataFrame, ts: str, users: str, distance: str, time: str) -> DataFrame:
-    return df.groupBy(F.date_format(F.col(ts), "yyyyMMddHH").alias("hour")).agg(
+    return df.groupBy(hour_stamp(F.col(ts)).alias("hour")).agg(
         F.sum(users).alias("users"), F.avg(distance).alias("distance_avg"), F.avg(time).alias("time_avg")
     )
 

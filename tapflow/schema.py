@@ -150,15 +150,3 @@ OD_LOAD = Contract(
     required=OD_LOAD_KEY,
     key=OD_LOAD_KEY,
 )
-
-OD_DAILY_LOAD_KEY = (
-    "standard_date",
-    "hour",
-    "departure_station_id",
-    "departure_region_code",
-    "departure_station_type",
-    "arrival_station_id",
-    "arrival_region_code",
-    "arrival_station_type",
-    "trip_type",
-)
