@@ -108,13 +108,15 @@ _NUMERIC = {
 @query(
     "q_e4_publish_od",
     "SELECT "
-    + ", ".join(f"CAST({c} AS {_NUMERIC[c]}) AS {c}" if c in _NUMERIC else c for c in PUBLISHED_OD_COLUMNS)
+    + ", ".join(f"CAST(CAST({c} AS {_NUMERIC[c]}) AS DOUBLE) AS {c}" if c in _NUMERIC else c for c in PUBLISHED_OD_COLUMNS)
     + " FROM published",
     "published",
 )
 def e4(spark, sf):
     path = scratch_path(spark, "published-od")
-    return jobs.publish_od(jobs.staged(monthly_od(spark, sf), "od"), holidays(spark), path)
+    loaded = jobs.publish_od(jobs.staged(monthly_od(spark, sf), "od"), holidays(spark), path)
+    # As doubles again: decimals differ in type, not in value, between the two sides.
+    return loaded.withColumns({c: F.col(c).cast("double") for c in _NUMERIC})
 
 
 # --- reports, one (section, item, value) row per figure -------------------------------------------

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Value buckets per factor e; finer buckets make the last step smaller.
@@ -52,9 +55,14 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], keys: li
     buckets = ranks.groupBy(*group, "b").agg(
         F.first("before").alias("before"), F.collect_list(F.struct("prob", "pos", "rank")).alias("asks")
     )
+    # Null-safe, so that a NULL key is a group and both branches read the same
+    # shuffled counts (an inferred NOT NULL filter would make them differ).
+    place = [*group, "b"]
+    buckets = buckets.withColumnsRenamed({c: f"_{c}" for c in place})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in place])
     in_bucket = Window.partitionBy(*group, "b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = (
-        values.join(buckets, [*group, "b"])
+        values.join(buckets, same)
         .withColumn("to", F.col("before") + F.sum("c").over(in_bucket))
         .withColumn("ask", F.explode("asks"))
         .where((F.col("ask.rank") >= F.col("to") - F.col("c")) & (F.col("ask.rank") < F.col("to")))

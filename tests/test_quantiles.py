@@ -36,6 +36,19 @@ def test_groups_and_several_columns(spark):
         assert got[g, "y"] == float(np.median([r[2] for r in rows if r[0] == g]))
 
 
+def test_a_null_key_is_a_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, x double")
+    assert {r.g: r.value for r in exact_quantiles(df, ["x"], [0.5], ["g"]).collect()} == {None: 2.0, "a": 5.0}
+
+
+def test_values_are_counted_once(spark):
+    df = spark.range(100000).selectExpr("cast(id % 1000 as double) AS v")
+    out = exact_quantiles(df, ["v"], [0.5])
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan
+
+
 def test_describe(spark):
     df = spark.createDataFrame([(float(v),) for v in (1, 2, 3, 4, 100)], "v double")
     r = describe_numeric(df, ["v"]).first()
