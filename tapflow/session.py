@@ -47,7 +47,6 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = os.path.join(tempfile.gettempdir(), "tapflow-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", base)
     return base
 
 
@@ -59,5 +58,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def cut(df):
     """Materialise ``df`` in the shared folder and drop its lineage."""
     spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)

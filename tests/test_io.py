@@ -18,6 +18,20 @@ def test_shared_folder_is_the_sessions(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+class Bare:
+    """A session without ``spark.checkpoint.dir``."""
+
+    def __init__(self, master):
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+def test_only_a_local_session_may_lack_the_folder():
+    assert shared_dir(Bare("local[4]")).endswith("tapflow-checkpoints")
+    with pytest.raises(RuntimeError):
+        shared_dir(Bare("spark://host:7077"))
+
+
 def test_cut_drops_lineage(spark):
     plan = cut(spark.range(10).where("id > 3"))._jdf.queryExecution().optimizedPlan().toString()
     assert "Filter" not in plan and "RDD" in plan
