@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tapflow.session import scratch_path
 
-from . import bpe, packing, rules, tokencounts
+from . import bpe, licenses, packing, rules, secrets, tokencounts
 from .oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,16 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf, "documents"))
+
+
+@query
+def op3_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.secret_scan(table(spark, sf, "documents"))
+
+
 @query
 def op5_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
