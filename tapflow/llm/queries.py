@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tapflow.session import scratch_path
 
-from . import bpe, licenses, packing, rules, secrets, tokencounts
+from . import bpe, licenses, packing, quality, rules, secrets, tokencounts
 from .oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,11 @@ def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf, "documents"))
 
 
+@query
+def op2_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @query
 def op3_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.secret_scan(table(spark, sf, "documents"))
