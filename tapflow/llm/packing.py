@@ -135,5 +135,8 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, size: int = SIZE, id_col:
     A null text is the empty text: one piece of length 1 (``end_id``). Null ids and repeated rows are packed like
     others. Other columns are ignored whatever their names. An empty table gives an empty table.
     """
-    items = token_pieces(docs, path, end_id, size, id_col, text_col)
+    # Stored: dealing by ranges reads its input twice, and texts are to be encoded once.
+    stored = scratch_path(docs.sparkSession, "token-pieces")
+    token_pieces(docs, path, end_id, size, id_col, text_col).write.parquet(stored)
+    items = docs.sparkSession.read.parquet(stored)
     return place(items, ["id", "piece", "ids_crc32"], size).withColumnRenamed("id", id_col)

@@ -232,6 +232,27 @@ def train(vectors: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Ne
     return fit(x, y, np.arange(len(y)) % 5 == 0)
 
 
+def trained(docs: DataFrame, labels: DataFrame, fit_rows: int) -> tuple[np.ndarray, DataFrame, Network]:
+    """Word vectors, stored document vectors and the network for rows (id, text)."""
+    vectors = word_vectors(context_vectors(docs))
+    path = scratch_path(docs.sparkSession, "document-vectors")
+    document_vectors(docs, vectors, ["id"]).write.parquet(path)
+    stored = docs.sparkSession.read.parquet(path)
+    return vectors, stored, train(stored, labels, fit_rows)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``classify`` predicts as good, with all their columns. Texts are read, never shuffled."""
+    vectors, _, network = trained(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), labels, fit_rows)
+
+    def keep(batches):
+        for batch in batches:
+            for part, texts in slices(batch, text_col):
+                yield part.filter(pa.array(network.probabilities(pooled(texts, vectors)) >= threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, score, predicted), one row per row of ``docs``.
 
@@ -243,13 +264,8 @@ def classify(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, thres
     Texts are read twice and never shuffled; document vectors (a quarter of a kilobyte to half of one) are stored
     in the shared folder.
     """
-    spark = docs.sparkSession
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    vectors = word_vectors(context_vectors(source))
-    path = scratch_path(spark, "document-vectors")
-    document_vectors(source, vectors, ["id"]).write.parquet(path)
-    stored = spark.read.parquet(path)
-    network = train(stored, labels, fit_rows)
+    _, stored, network = trained(source, labels, fit_rows)
     kind = stored.schema["id"].dataType.simpleString()
 
     def score(batches):

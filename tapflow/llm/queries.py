@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tapflow.session import scratch_path
 
-from . import bpe, licenses, packing, quality, rules, secrets, tokencounts
+from . import bpe, licenses, neardup, packing, quality, rules, secrets, tokencounts
 from .oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,8 @@ def op9_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """The cache is new in each run of the query; a job names one that it keeps."""
     cache = scratch_path(spark, "token-cache")
     return tokencounts.token_counts(table(spark, sf, "documents"), cache, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op10_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf, "documents"))

@@ -199,3 +199,18 @@ def quality_rules(docs: DataFrame, path: str, id_col: str = "doc_id", lang_col:
     done = judged(spark.read.parquet(stored))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return done.select(F.col("__id").alias(id_col), *base, "script", "n_tokens", *LEAST)
+
+
+def keep_within(docs: DataFrame, path: str, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns.
+
+    A verdict depends on language and text alone, so rows meet it by digests of both; the row's other columns only
+    spread copies over the tasks of that join.
+    """
+    own = [F.xxhash64(F.lit(seed), F.col(lang_col), F.col(text_col)).alias(f"__h{seed}") for seed in (1, 2)]
+    spread_by = F.xxhash64(*[c for c in docs.columns if c not in (lang_col, text_col)]).alias("__s")
+    keyed = docs.select("*", *own, spread_by)
+    stored = scratch_path(docs.sparkSession, "measures")
+    measures(keyed.select("__h1", "__h2", "__s", F.col(lang_col).alias("__l"), F.col(text_col).alias("__t")), path, ["__h1", "__h2", "__s"], "__l", "__t").write.parquet(stored)
+    good = judged(docs.sparkSession.read.parquet(stored)).where("kept").select("__h1", "__h2", "__s")
+    return keyed.join(good.hint("shuffle_hash"), ["__h1", "__h2", "__s"], "left_semi").select(*docs.columns)

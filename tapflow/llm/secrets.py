@@ -183,6 +183,34 @@ def secret_scan(docs: DataFrame, rules: list[Rule] = RULES, id_col: str = "doc_i
     )
 
 
+def redacted(docs: DataFrame, rules: list[Rule] = RULES, mask: str = "[SECRET]", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with ``mask`` in place of every span that ``secret_scan`` finds; overlapping spans share one.
+
+    A column ``n_chars`` is brought up to date. Texts without a span, null ones among them, stay as they are.
+    """
+    own = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.xxhash64(F.lit(1), text_col).alias("g"))
+    keyed = docs.withColumn("__id", own)
+    found = secret_scan(keyed.select("__id", F.col(text_col).alias("text")), rules, "__id", "text").where("n_spans > 0")
+    # Rows with one key have one text, so one list of spans.
+    found = found.groupBy("__id").agg(F.first("spans").alias("__spans"))
+    joined = keyed.join(found.hint("shuffle_hash"), "__id", "left")
+    place = F.transform(F.split("__spans", ","), lambda s: F.struct(F.split_part(s, F.lit(":"), F.lit(2)).cast("int").alias("a"), F.split_part(s, F.lit(":"), F.lit(3)).cast("int").alias("b")))
+    nothing = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(done: Column, span: Column) -> Column:
+        before = F.substr(F.col(text_col), done["at"] + 1, F.greatest(span["a"] - done["at"], F.lit(0)))
+        new = F.concat(done["out"], F.array(before, F.lit(mask)))
+        # A span that begins inside the last one only makes it longer.
+        inside = (span["a"] < done["at"]) & (F.size(done["out"]) > 0)
+        return F.struct(F.greatest(done["at"], span["b"]).alias("at"), F.when(inside, done["out"]).otherwise(new).alias("out"))
+
+    whole = F.aggregate(place, nothing, step, lambda d: F.concat(F.array_join(d["out"], ""), F.substr(F.col(text_col), d["at"] + 1, F.length(F.col(text_col)))))
+    out = joined.withColumn(text_col, F.when(F.col("__spans").isNotNull(), whole).otherwise(F.col(text_col)))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("__spans").isNotNull(), F.length(text_col).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
 def oracle() -> str:
     """Every rule over every text."""
     parts = []
