@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from . import licenses, secrets
+from . import licenses, secrets, urlfilters
 
-ORACLES: dict[str, str] = {"op1_license_scan": licenses.oracle(), "op3_secret_scan": secrets.oracle()}
+ORACLES: dict[str, str] = {"op1_license_scan": licenses.oracle(), "op3_secret_scan": secrets.oracle(), "op8_url_filters": urlfilters.oracle()}

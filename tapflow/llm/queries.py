@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tapflow.session import scratch_path
 
-from . import bpe, licenses, neardup, packing, quality, rules, secrets, tokencounts
+from . import bpe, licenses, neardup, neighbours, packing, quality, rules, secrets, tokencounts, urlfilters
 from .oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,11 @@ def op3_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.secret_scan(table(spark, sf, "documents"))
 
 
+@query
+def op4_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf, "embeddings"))
+
+
 @query
 def op5_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -58,6 +63,12 @@ def op7_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op8_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages")
+    return urlfilters.judge(urlfilters.pages_fetched(pages), urlfilters.lists_of(pages))
+
+
 @query
 def op9_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """The cache is new in each run of the query; a job names one that it keeps."""
