@@ -31,10 +31,10 @@ PERCENT = 85
 SIGNATURE = 64
 TREES = 4
 BRANCHES = 2
-SMALL = 100
+SMALL = 1000
 LEVELS = 12
-#: Share of equal signature coordinates below which a pair isn't looked at; far below the threshold.
-ALIKE = 0.6
+#: A pair isn't looked at when its share of equal signature coordinates is this much below the threshold.
+MARGIN = 0.2
 #: Shingles of a group beyond which its pairs are compared one by one.
 GROUP_SHINGLES = 2_000_000
 
@@ -146,17 +146,28 @@ def _components(near: np.ndarray) -> np.ndarray:
     """Of each graph in (graphs, n, n), every vertex's smallest connected vertex."""
     n = near.shape[1]
     near = near | np.eye(n, dtype=bool)
-    label = np.broadcast_to(np.arange(n), near.shape[:2])
+    label = np.broadcast_to(np.arange(n, dtype=np.int32), near.shape[:2])
     while True:
-        now = np.where(near, label[:, None, :], n).min(2)
+        now = np.where(near, label[:, None, :], np.int32(n)).min(2)
         if (now == label).all():
             return now
         label = now
 
 
-def groups(nodes: DataFrame, classes: DataFrame) -> DataFrame:
+def _alike(sig: np.ndarray, least: float) -> np.ndarray:
+    """(nodes, n, n): pairs of documents with enough equal coordinates, for nodes (nodes, n, SIGNATURE) of one size."""
+    same = np.zeros((len(sig), sig.shape[1], sig.shape[1]), np.uint8)
+    for k in range(SIGNATURE):
+        same += sig[:, :, None, k] == sig[:, None, :, k]
+    near = same >= least * SIGNATURE
+    near[:, np.arange(sig.shape[1]), np.arange(sig.shape[1])] = False
+    return near
+
+
+def groups(nodes: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(members): in each small node, the documents whose signatures connect them; nodes of several trees often agree."""
     whole = nodes.join(classes.select("key", "n_shingles", "sig"), "key")
+    least = percent / 100 - MARGIN
     gathered = whole.groupBy("path").agg(F.collect_list(F.struct("key", "label", "n_shingles", "sig")).alias("rows"))
 
     def run(batches):
@@ -170,16 +181,13 @@ def groups(nodes: DataFrame, classes: DataFrame) -> DataFrame:
             begin = np.cumsum(sizes) - sizes
             out = []
             for n in np.unique(sizes[sizes > 1]):
-                a, b = np.triu_indices(n, 1)
                 at = begin[sizes == n]
-                step = max(1, 4_000_000 // (len(a) * SIGNATURE))
+                step = max(1, 1_000_000 // n**2)
                 for lot in (at[i : i + step] for i in range(0, len(at), step)):
                     place = lot[:, None] + np.arange(n)
-                    own = sig[place]
-                    alike = (own[:, a] == own[:, b]).sum(2) >= ALIKE * SIGNATURE
-                    hit = np.flatnonzero(alike.any(1))
-                    near = np.zeros((len(hit), n, n), bool)
-                    near[:, a, b] = near[:, b, a] = alike[hit]
+                    near = _alike(sig[place], least)
+                    hit = np.flatnonzero(near.any((1, 2)))
+                    near = near[hit]
                     for node, part, graph in zip(place[hit], _components(near), near):
                         for c in np.unique(part):
                             members = node[part == c]
@@ -188,7 +196,7 @@ def groups(nodes: DataFrame, classes: DataFrame) -> DataFrame:
                             if weight[members].sum() <= GROUP_SHINGLES:
                                 out.append(sorted(key[members]))
                             else:
-                                out += [sorted((key[node[i]], key[node[j]])) for i, j in zip(a, b) if graph[i, j] and part[i] == c]
+                                out += [sorted((key[node[i]], key[node[j]])) for i, j in zip(*np.nonzero(np.triu(graph))) if part[i] == c]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.binary()))], names=["members"])
 
     return gathered.mapInArrow(run, "members array<binary>")
@@ -232,7 +240,7 @@ def pivot_links(nodes: DataFrame, classes: DataFrame, sets: DataFrame, percent:
     pairs = nodes.where(F.col("key") != F.col("pivot")).select("pivot", "key").distinct()
     own, other = classes.select("key", "sig"), classes.select(F.col("key").alias("pivot"), F.col("sig").alias("other"))
     same = F.size(F.filter(F.zip_with("sig", "other", lambda x, y: x == y), lambda e: e))
-    alike = pairs.join(own, "key").join(other, "pivot").where(same >= ALIKE * SIGNATURE).select("pivot", "key")
+    alike = pairs.join(own, "key").join(other, "pivot").where(same >= (percent / 100 - MARGIN) * SIGNATURE).select("pivot", "key")
     mine, theirs = sets.select("key", "hashes"), sets.select(F.col("key").alias("pivot"), F.col("hashes").alias("others"))
     both = F.size(F.array_intersect("hashes", "others"))
     union = F.size("hashes") + F.size("others") - both
@@ -284,7 +292,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     )
     roots = classes.select(F.explode(F.sequence(F.lit(1), F.lit(TREES))).alias("path"), "key", F.col("key").alias("label"), "sig")
     nodes = _stored(_nodes(_branches(roots.withColumn("path", F.col("path").cast("long")), 0, BRANCHES)), "nodes")
-    found = [_stored(groups(nodes.where(F.col("n") <= SMALL), classes), "groups-of-nodes")]
+    found = [_stored(groups(nodes.where(F.col("n") <= SMALL), classes, percent), "groups-of-nodes")]
     large = nodes.where(F.col("n") > SMALL)
     wanted = found[0].select(F.explode("members").alias("key")).union(large.select("key")).distinct()
     ids = wanted.join(classes, "key").select(F.col("least_id").alias("id")).distinct()
@@ -297,17 +305,17 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
             break
         near = _stored(pivot_links(large, classes, sets, percent), "pivot-links")
         links.append(near)
-        # Those linked with the pivot are one component: only links to others are left to find.
-        mark = near.select(F.col("a").alias("pivot"), F.col("b").alias("key"), F.lit(True).alias("hit"))
-        joined = large.join(mark, ["pivot", "key"], "left")
-        is_pivot = F.col("key") == F.col("pivot")
-        labelled = joined.select("path", "key", "n", F.when(is_pivot | F.coalesce("hit", F.lit(False)), F.col("pivot")).otherwise(F.col("label")).alias("label"))
+        # A label is a document that a confirmed link reaches: of equal labels nothing is left to find.
+        known = large.select("key", "label").union(near.select("b", "a")).groupBy("key").agg(F.min("label").alias("label"))
+        over = near.join(known, near["a"] == known["key"]).select(F.col("b").alias("key"), "label")
+        known = known.union(over).groupBy("key").agg(F.min("label").alias("label"))
+        labelled = large.select("path", "key").join(known, "key")
         if level == LEVELS:
-            found.append(_stored(groups(_leftover(_nodes(labelled.drop("n"))), classes), "groups-of-nodes"))
+            found.append(_stored(groups(_leftover(_nodes(labelled)), classes, percent), "groups-of-nodes"))
             break
-        open_ = _nodes(labelled.drop("n")).select("path", "key", "label").join(classes.select("key", "sig"), "key")
+        open_ = _nodes(labelled).select("path", "key", "label").join(classes.select("key", "sig"), "key")
         nodes = _stored(_nodes(_branches(open_, level, BRANCHES)), "nodes")
-        found.append(_stored(groups(nodes.where(F.col("n") <= SMALL), classes), "groups-of-nodes"))
+        found.append(_stored(groups(nodes.where(F.col("n") <= SMALL), classes, percent), "groups-of-nodes"))
         large = nodes.where(F.col("n") > SMALL)
     every = found[0]
     for more in found[1:]:
