@@ -3,8 +3,8 @@
 A document is its set of word shingles. Every document walks down several independent trees: at each node it follows
 ``BRANCHES`` chosen coordinates of its MinHash signature, so its child node is named by the minwise tokens chosen so
 far. Two documents with similarity s stay together at a step with probability 1 - (1 - s) ** BRANCHES. Nodes of up to
-``SMALL`` documents are compared exhaustively; larger ones are first compared with one of their documents (the
-pivot), lose nothing but what is already known to be one component, and branch again. Links are confirmed on whole sets.
+``SMALL`` documents are compared exhaustively; larger ones are first compared with a few of their documents (the
+pivots), lose nothing but what is already known to be one component, and branch again. Links are confirmed on whole sets.
 
 Documents with equal sets are one class from the start. Signatures only choose what is compared: with a pair at the
 threshold the chance that no tree brings it together, or that its signatures look too different, is below one in 10^5
@@ -31,7 +31,8 @@ PERCENT = 85
 SIGNATURE = 64
 TREES = 4
 BRANCHES = 2
-SMALL = 1000
+SMALL = 3000
+PIVOTS = 4
 LEVELS = 12
 #: A pair isn't looked at when its share of equal signature coordinates is this much below the threshold.
 MARGIN = 0.2
@@ -137,8 +138,8 @@ def _branches(rows: DataFrame, level: int, times: int) -> DataFrame:
 
 
 def _nodes(rows: DataFrame) -> DataFrame:
-    """Rows (path, key, label) whose node holds two labels or more, with the node's size and pivot."""
-    stats = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("pivot"), F.min("label").alias("low"), F.max("label").alias("high"))
+    """Rows (path, key, label) whose node holds two labels or more, with the node's size and pivots."""
+    stats = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.array(*[F.min_by("key", F.xxhash64("key", F.lit(i))) for i in range(PIVOTS)])).alias("pivots"), F.min("label").alias("low"), F.max("label").alias("high"))
     return rows.join(stats.where("n > 1 AND low < high").drop("low", "high"), "path")
 
 
@@ -202,6 +203,32 @@ def groups(nodes: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return gathered.mapInArrow(run, "members array<binary>")
 
 
+def _linked(values: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
+    """Of each set its component's smallest member, by whole sets.
+
+    One document after another, those first whose shingles most others share, is compared with all. Once the documents
+    not yet taken are one component, no pair is left that could join two.
+    """
+    held, place = np.unique(values, return_inverse=True)
+    row = np.repeat(np.arange(len(size)), size)
+    begin = np.append(0, np.cumsum(size))
+    common = np.bincount(row, np.bincount(place)[place], len(size)) / size
+    label = np.arange(len(size))
+    order = np.argsort(-common, kind="stable")
+    for at, one in enumerate(order):
+        rest = label[order[at:]]
+        if (rest == rest[0]).all():
+            break
+        mark = np.zeros(len(held), bool)
+        mark[place[begin[one] : begin[one + 1]]] = True
+        both = np.bincount(row, mark[place], len(size))
+        near = 100 * both >= percent * (size + size[one] - both)
+        joined = np.unique(label[near])
+        if len(joined) > 1:
+            label[np.isin(label, joined)] = joined[0]
+    return label
+
+
 def links_within(groups_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b) for documents that confirmed links connect within a group; one row per document but the group's first."""
     # The same group from several trees is compared once.
@@ -215,19 +242,7 @@ def links_within(groups_: DataFrame, sets: DataFrame, percent: int) -> DataFrame
             for rows in batch.column(1):
                 keys = [k.as_py() for k in rows.values.field("key")]
                 lists = rows.values.field("hashes")
-                size = lists.value_lengths().to_numpy()
-                held, place = np.unique(lists.flatten().to_numpy(), return_inverse=True)
-                row = np.repeat(np.arange(len(keys)), size)
-                both = np.zeros((len(keys), len(keys)))
-                # Blocks of shingles bound the memory for long documents.
-                step = max(1, 4_000_000 // len(keys))
-                for low in range(0, len(held), step):
-                    some = (place >= low) & (place < low + step)
-                    mark = np.zeros((len(keys), min(step, len(held) - low)), np.float32)
-                    mark[row[some], place[some] - low] = 1
-                    both += mark @ mark.T
-                near = 100 * both >= percent * (size[:, None] + size[None, :] - both)
-                for i, root in enumerate(_components(near[None])[0]):
+                for i, root in enumerate(_linked(lists.flatten().to_numpy(), lists.value_lengths().to_numpy(), percent)):
                     if i != root:
                         a.append(keys[root]), b.append(keys[i])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
@@ -236,8 +251,8 @@ def links_within(groups_: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
 
 def pivot_links(nodes: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) for documents of large nodes that are linked with their node's pivot."""
-    pairs = nodes.where(F.col("key") != F.col("pivot")).select("pivot", "key").distinct()
+    """(a, b) for documents of large nodes that are linked with a pivot of their node."""
+    pairs = nodes.select(F.explode("pivots").alias("pivot"), "key").where(F.col("key") != F.col("pivot")).distinct()
     own, other = classes.select("key", "sig"), classes.select(F.col("key").alias("pivot"), F.col("sig").alias("other"))
     same = F.size(F.filter(F.zip_with("sig", "other", lambda x, y: x == y), lambda e: e))
     alike = pairs.join(own, "key").join(other, "pivot").where(same >= (percent / 100 - MARGIN) * SIGNATURE).select("pivot", "key")
