@@ -57,9 +57,9 @@ def token_pieces(docs: DataFrame, path: str, end_id: int = 0, size: int = SIZE,
 def best_fit(counts: dict[int, int], size: int = SIZE) -> list[tuple[int, int, int, int, int]]:
     """Slots (length, first rank, rank after the last, first sequence, offset) for ``counts`` pieces of each length.
 
-    Lengths go from the longest down. Each batch goes where the least room is left over; sequences with equal
-    room are kept as runs, and a batch takes as many of a run as it has pieces. A new run takes ``size // length``
-    pieces in each sequence. The work depends on how many lengths there are, not on how many pieces.
+    Lengths go from the longest down, each piece to the sequence with the least room that it fits in, a new one if
+    there is none. Sequences with equal room are kept as runs and filled a run at a time, so the work depends on
+    how many lengths there are, not on how many pieces.
     """
     slots: list[tuple[int, int, int, int, int]] = []
     runs: dict[int, list[tuple[int, int]]] = {}  # room left -> runs (first sequence, how many)
@@ -77,25 +77,26 @@ def best_fit(counts: dict[int, int], size: int = SIZE) -> list[tuple[int, int, i
         rank, total = 0, counts[length]
         while rank < total:
             k = bisect_left(rooms, length)
-            if k == len(rooms):
-                each = size // length
-                full, rest = divmod(total - rank, each)
-                for i, many in ((each, full), (rest, 1 if rest else 0)):
-                    for j in range(i if many else 0):
-                        slots.append((length, rank, rank + many, fresh, j * length))
-                        rank += many
-                    put(size - i * length, fresh, many)
-                    fresh += many
-                break
-            room = rooms[k]
-            first, many = runs[room].pop()
-            if not runs[room]:
-                del runs[room], rooms[k]
-            use = min(many, total - rank)
-            slots.append((length, rank, rank + use, first, size - room))
-            rank += use
-            put(room - length, first, use)
-            put(room, first + use, many - use)
+            new = k == len(rooms)
+            room = size if new else rooms[k]
+            each = room // length
+            full, rest = divmod(total - rank, each)
+            if new:
+                first, many = fresh, full + bool(rest)
+                fresh += many
+            else:
+                first, many = runs[room].pop()
+                if not runs[room]:
+                    del runs[room], rooms[k]
+            full = min(full, many)
+            last = 1 if rest and full < many else 0
+            # ``full`` sequences take as many pieces as they hold, one more what is left over.
+            for sequence, use, pieces in ((first, full, each), (first + full, last, rest)):
+                for j in range(pieces if use else 0):
+                    slots.append((length, rank, rank + use, sequence, size - room + j * length))
+                    rank += use
+                put(room - pieces * length, sequence, use)
+            put(room, first + full + last, many - full - last)
     return slots
 
 
