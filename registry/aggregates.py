@@ -170,29 +170,32 @@ _WINDOWS = {
 
 
 def modal_views(source: str, prefix: str = "") -> None:
-    for name, (end, lo, hi) in _WINDOWS.items():
-        cte(
-            f"{prefix}{name}",
-            f"""
-SELECT f.card_id, f.cell, f.freq FROM
-  (SELECT card_id, {end}_cell AS cell, count(*) AS freq FROM {source} WHERE hour({end}_ts) BETWEEN {lo} AND {hi}
-   GROUP BY 1, 2) f
-JOIN (SELECT card_id, max(freq) AS hi FROM (SELECT card_id, {end}_cell, count(*) AS freq FROM {source}
-        WHERE hour({end}_ts) BETWEEN {lo} AND {hi} GROUP BY 1, 2) GROUP BY 1) m
-ON f.card_id = m.card_id AND f.freq = m.hi
+    """Most frequent cells of a card in each window; anchors are the smallest cells that both windows of an anchor share."""
+    ends = " UNION ALL ".join(
+        f"SELECT '{name}' AS win, card_id, {end}_cell AS cell FROM {source} WHERE hour({end}_ts) BETWEEN {lo} AND {hi}"
+        for name, (end, lo, hi) in _WINDOWS.items()
+    )
+    cte(
+        f"{prefix}window_modes",
+        f"""
+SELECT win, card_id, cell, freq FROM (
+  SELECT win, card_id, cell, count(*) AS freq, rank() OVER (PARTITION BY win, card_id ORDER BY count(*) DESC) AS place
+  FROM ({ends}) GROUP BY win, card_id, cell)
+WHERE place = 1
 """,
-            source,
-        )
+        source,
+    )
     cte(
         f"{prefix}anchor_cells",
         f"""
-SELECT card_id, min(home) AS home_cell, min(work) AS work_cell FROM
- (SELECT a.card_id, CASE WHEN a.cell = b.cell THEN a.cell END AS home, CASE WHEN c.cell = d.cell THEN c.cell END AS work
-  FROM {prefix}am_dep a LEFT JOIN {prefix}pm_arr b ON a.card_id = b.card_id
-  LEFT JOIN {prefix}am_arr c ON a.card_id = c.card_id LEFT JOIN {prefix}pm_dep d ON a.card_id = d.card_id)
-GROUP BY card_id HAVING min(home) IS NOT NULL AND min(work) IS NOT NULL
+WITH shared AS (
+  SELECT card_id, anchor, cell FROM {prefix}window_modes
+  JOIN (VALUES ('am_dep', 'home'), ('pm_arr', 'home'), ('am_arr', 'work'), ('pm_dep', 'work')) k(win, anchor) USING (win)
+  WHERE cell IS NOT NULL GROUP BY card_id, anchor, cell HAVING count(*) = 2)
+SELECT card_id, min(cell) FILTER (anchor = 'home') AS home_cell, min(cell) FILTER (anchor = 'work') AS work_cell
+FROM shared GROUP BY card_id HAVING count(DISTINCT anchor) = 2
 """,
-        *[f"{prefix}{name}" for name in _WINDOWS],
+        f"{prefix}window_modes",
     )
 
 
@@ -209,15 +212,15 @@ def cell_stops(spark, sf):
 
 @query(
     "q_a7_modal_cell",
-    " UNION ALL ".join(f"SELECT card_id, '{w}' AS win, cell, freq FROM {w}" for w in _WINDOWS),
-    *_WINDOWS,
+    "SELECT card_id, win, cell, freq FROM window_modes",
+    "window_modes",
 )
 def a7(spark, sf):
     tagged = anchor_ops.with_cells(leg_trips_of(spark, sf), cell_stops(spark, sf))
     return anchor_ops.modal_cells(tagged)
 
 
-@query("q_a7_modal_cell_one_window", "SELECT card_id, cell AS am_dep, freq FROM am_dep", "am_dep")
+@query("q_a7_modal_cell_one_window", "SELECT card_id, cell AS am_dep, freq FROM window_modes WHERE win = 'am_dep'", "window_modes")
 def a7_one(spark, sf):
     tagged = anchor_ops.with_cells(leg_trips_of(spark, sf), cell_stops(spark, sf))
     return anchor_ops.modal_cell(tagged, "card_id", "board_cell", "board_ts", (6, 12), "am_dep")

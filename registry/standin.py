@@ -405,20 +405,18 @@ JOIN (SELECT location_type, card_id, count(*) AS total_trips FROM db_rows GROUP
 )
 
 
-def _matched(name: str, lo: int, hi: int, start: str, end: str, source: str) -> str:
-    return f"""SELECT p.*, '{name}' AS trip_type FROM {source} p
-JOIN anchors a ON p.card_id = a.card_id AND a.location_type = '{start}' AND a.confidence >= 0.5
- AND p.board_stop = a.stop_id AND p.board_region = a.region_code AND p.board_mode = a.transport_type
-JOIN anchors b ON p.card_id = b.card_id AND b.location_type = '{end}' AND b.confidence >= 0.5
- AND p.alight_stop = b.stop_id AND p.alight_region = b.region_code AND p.alight_mode = b.transport_type
-WHERE hour(p.board_ts) BETWEEN {lo} AND {hi} AND hour(p.alight_ts) BETWEEN {lo} AND {hi}"""
-
-
 cte(
     "matched",
-    _matched("morning", 6, 10, "residence", "office", "trips")
-    + " UNION ALL "
-    + _matched("evening", 16, 24, "office", "residence", "trips"),
+    """
+SELECT p.*, way.trip_type
+FROM trips p, (VALUES ('morning', 6, 10, 'residence', 'office'), ('evening', 16, 24, 'office', 'residence')) way(trip_type, lo, hi, origin, target)
+WHERE least(hour(p.board_ts), hour(p.alight_ts)) >= way.lo AND greatest(hour(p.board_ts), hour(p.alight_ts)) <= way.hi
+  AND p.board_ts IS NOT NULL AND p.alight_ts IS NOT NULL
+  AND EXISTS (FROM anchors f WHERE f.confidence >= 0.5 AND f.location_type = way.origin AND f.card_id = p.card_id
+    AND f.stop_id = p.board_stop AND f.region_code = p.board_region AND f.transport_type = p.board_mode)
+  AND EXISTS (FROM anchors g WHERE g.confidence >= 0.5 AND g.location_type = way.target AND g.card_id = p.card_id
+    AND g.stop_id = p.alight_stop AND g.region_code = p.alight_region AND g.transport_type = p.alight_mode)
+""",
     "trips",
     "anchors",
 )

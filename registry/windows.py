@@ -21,7 +21,7 @@ _PREV = ["alight_stop", "alight_ts", "alight_region", "alight_mode"]
     "q_w1_with_next_trip",
     f"""
 SELECT op_date, card_id, txn_id, alight_ts, {", ".join(f"lead({c}) OVER w AS next_{c}" for c in _NEXT)}
-FROM trips WINDOW w AS (PARTITION BY card_id ORDER BY board_ts, txn_id)
+FROM trips WINDOW w AS (PARTITION BY card_id ORDER BY board_ts, txn_id, op_date, alight_ts NULLS FIRST, board_stop NULLS FIRST, alight_stop NULLS FIRST)
 """,
     "trips",
 )
@@ -35,7 +35,7 @@ def w1(spark, sf):
     "q_w2_with_prev_trip",
     f"""
 SELECT op_date, card_id, txn_id, board_ts, {", ".join(f"lag({c}) OVER w AS prev_{c}" for c in _PREV)}
-FROM trips WINDOW w AS (PARTITION BY card_id ORDER BY board_ts, txn_id)
+FROM trips WINDOW w AS (PARTITION BY card_id ORDER BY board_ts, txn_id, op_date, alight_ts NULLS FIRST, board_stop NULLS FIRST, alight_stop NULLS FIRST)
 """,
     "trips",
 )
@@ -49,13 +49,13 @@ def w2(spark, sf):
     "q_w1_with_next_trip_split",
     f"""
 SELECT op_date, card_id, txn_id, alight_ts, {", ".join(f"lead({c}) OVER w AS next_{c}" for c in _NEXT)}
-FROM trips WINDOW w AS (PARTITION BY card_id ORDER BY board_ts, txn_id)
+FROM trips WINDOW w AS (PARTITION BY card_id ORDER BY board_ts, txn_id, op_date, alight_ts NULLS FIRST, board_stop NULLS FIRST, alight_stop NULLS FIRST)
 """,
     "trips",
 )
 def w1_split(spark, sf):
-    """Every card with more than 20 trips takes the hot-key path."""
-    return ordering.with_next_trip(trips_of(spark, sf), hot_rows=20).select(
+    """In so many ranges that most cards reach into several."""
+    return ordering.with_next_trip(trips_of(spark, sf), parts=64).select(
         "op_date", "card_id", "txn_id", "alight_ts", *[f"next_{c}" for c in _NEXT]
     )
 
@@ -65,22 +65,22 @@ def dwell_views(source: str, cells: str, name: str) -> None:
     cte(
         name,
         f"""
-SELECT op_date, card_id, duration_type, unnest([
-    {{'s': alight_stop, 'r': alight_region, 'm': alight_mode}},
-    {{'s': next_stop, 'r': next_region, 'm': next_mode}}]) AS place, gap / 60 / 2 AS minutes, 1.0::DOUBLE AS persons
-FROM (SELECT *, CASE
-    WHEN alight_cell = home_cell AND next_cell = home_cell THEN 'live'
-    WHEN alight_cell = work_cell AND next_cell = work_cell THEN 'work'
-    WHEN alight_cell <> home_cell AND alight_cell <> work_cell AND next_cell <> home_cell AND next_cell <> work_cell
-      THEN 'play' ELSE 'other' END AS duration_type,
-    CAST(date_diff('second', alight_ts, next_ts) AS DOUBLE) AS gap
-  FROM (SELECT t.*, c.home_cell, c.work_cell, lead(board_stop) OVER w AS next_stop, lead(board_ts) OVER w AS next_ts,
-      lead(board_region) OVER w AS next_region, lead(board_mode) OVER w AS next_mode, lead(board_cell) OVER w AS next_cell
-    FROM {source} t JOIN {cells} c ON t.card_id = c.card_id
-    WHERE NOT coalesce(t.board_ts > t.alight_ts, FALSE)
-    WINDOW w AS (PARTITION BY t.card_id ORDER BY t.board_ts, t.txn_id))
-  WHERE next_stop IS NOT NULL AND alight_stop IS NOT NULL
-    AND next_ts <= alight_ts + INTERVAL 1 DAY AND next_ts - alight_ts >= INTERVAL 5 MINUTE)
+WITH numbered AS (
+  SELECT t.*, c.home_cell AS home, c.work_cell AS office, row_number() OVER (
+    PARTITION BY card_id ORDER BY board_ts, txn_id, op_date, alight_ts NULLS FIRST, board_stop NULLS FIRST, alight_stop NULLS FIRST) AS no
+  FROM {source} t JOIN {cells} c USING (card_id) WHERE NOT coalesce(board_ts > alight_ts, FALSE)),
+stays AS (
+  SELECT x.op_date, x.card_id, epoch(y.board_ts - x.alight_ts) AS gap,
+    [{{'s': x.alight_stop, 'r': x.alight_region, 'm': x.alight_mode}}, {{'s': y.board_stop, 'r': y.board_region, 'm': y.board_mode}}] AS ends,
+    [x.alight_cell, y.board_cell] AS cells, x.home, x.office
+  FROM numbered x JOIN numbered y ON y.card_id = x.card_id AND y.no = x.no + 1
+  WHERE x.alight_stop IS NOT NULL AND y.board_stop IS NOT NULL)
+SELECT op_date, card_id, coalesce(list_filter(['live', 'work', 'play'], lambda kind, i: [
+    list_distinct(cells) = [home] AND len(list_filter(cells, lambda q: q IS NULL)) = 0,
+    list_distinct(cells) = [office] AND len(list_filter(cells, lambda q: q IS NULL)) = 0,
+    len(list_filter(cells, lambda q: q <> home AND q <> office)) = 2][i])[1], 'other') AS duration_type,
+  unnest(ends) AS place, CAST(gap AS DOUBLE) / 120 AS minutes, CAST(1 AS DOUBLE) AS persons
+FROM stays WHERE gap BETWEEN 300 AND 86400
 """,
         source,
         cells,
@@ -114,7 +114,7 @@ FROM (SELECT *, CAST(date_diff('second', prev_ts, board_ts) AS DOUBLE) AS gap FR
   (SELECT *, lag(alight_ts) OVER w AS prev_ts, lag(alight_stop) OVER w AS prev_stop, lag(alight_region) OVER w AS prev_region,
      lag(alight_mode) OVER w AS prev_mode FROM leg_trips
    WHERE board_ts IS NOT NULL AND alight_ts IS NOT NULL AND NOT board_ts > alight_ts
-   WINDOW w AS (PARTITION BY card_id ORDER BY board_ts, txn_id)))
+   WINDOW w AS (PARTITION BY card_id ORDER BY board_ts, txn_id, op_date, alight_ts NULLS FIRST, board_stop NULLS FIRST, alight_stop NULLS FIRST)))
 WHERE gap / 60 / 2 > 5
 """,
     "leg_trips",

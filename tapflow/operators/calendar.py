@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.times import is_weekday, year_month
-from .sizing import small_side
-
-# A holiday list spans a few decades at most.
-HOLIDAY_ROWS = 100_000
 
 
 def months_between(spark: SparkSession, start: str, end: str) -> DataFrame:
@@ -35,7 +31,7 @@ def business_days_only(df: DataFrame, date_col: str, holidays: DataFrame) -> Dat
     """Monday to Friday, holidays excluded. A NULL date is dropped."""
     listed = holidays.select(F.col("holiday_date").alias("_holiday")).where(F.col("_holiday").isNotNull()).distinct()
     return df.where(is_weekday(F.col(date_col))).join(
-        small_side(listed, HOLIDAY_ROWS), F.col(date_col) == F.col("_holiday"), "left_anti"
+        listed, F.col(date_col) == F.col("_holiday"), "left_anti"
     )
 
 
@@ -45,7 +41,7 @@ def business_day_counts(months: DataFrame, holidays: DataFrame) -> DataFrame:
     days = months.select("ym").distinct().select("ym", F.explode(F.sequence(first, F.last_day(first))).alias("day"))
     listed = holidays.select(F.col("holiday_date").alias("day")).distinct().withColumn("_off", F.lit(True))
     return (
-        days.join(small_side(listed, HOLIDAY_ROWS), "day", "left")
+        days.join(listed, "day", "left")
         .groupBy("ym")
         .agg(F.count(F.when(is_weekday(F.col("day")) & F.col("_off").isNull(), 1)).alias("business_days"))
     )

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geo import planar_distance
 from .ordering import cards_with
-from .sizing import small_side
 
 # Inclusive hours of the first arrival and the second departure.
 ARRIVE_HOURS = (7, 10)
@@ -45,7 +44,7 @@ def two_trip_days(df: DataFrame, stops: DataFrame, key: list[str] = CARD) -> Dat
 
     The rows are hashed by card once; the flags are windows over the same key.
     """
-    listed = small_side(stops.select("stop_id").distinct())
+    listed = stops.select("stop_id").distinct()
     board = listed.select(F.col("stop_id").alias("board_stop"), F.lit(True).alias("_at_board"))
     alight = listed.select(F.col("stop_id").alias("alight_stop"), F.lit(True).alias("_at_alight"))
     two = cards_with(df, 2, key)
@@ -71,7 +70,7 @@ def round_trip_commuters(df: DataFrame, stops: DataFrame, key: list[str] = CARD)
 
 def mean_ride(df: DataFrame, stops: DataFrame) -> DataFrame:
     """Mean time and distance of trips that start in, and end in, the stop set."""
-    listed = small_side(stops.select("stop_id").distinct())
+    listed = stops.select("stop_id").distinct()
     parts = []
     for end in ("board", "alight"):
         here = df.join(listed.withColumnRenamed("stop_id", f"{end}_stop"), f"{end}_stop", "left_semi")

@@ -10,7 +10,6 @@ from ..functions.numbers import half_even, text_to_id
 from ..functions.times import hour_in, tap_date, tap_time
 from ..schema import PUBLISHED_OD_COLUMNS, STOP_KEY
 from .ordering import dedup
-from .sizing import small_side
 
 # Sentinel limit and bounding box of valid coordinates.
 SENTINEL = 1000.0
@@ -146,12 +145,12 @@ def publish_measures(df: DataFrame, spec: dict[str, str]) -> DataFrame:
 
 
 def keep_cards(df: DataFrame, cards: DataFrame, key: str = "card_id") -> DataFrame:
-    return df.join(cards.select(key).distinct(), key, "left_semi")
+    return df.join(cards.select(key), key, "left_semi")
 
 
 def touching(df: DataFrame, stops: DataFrame, how: str = "either") -> DataFrame:
     """Trips with an end in a stop set: ``board``, ``alight``, ``both`` or ``either``."""
-    listed = small_side(stops.select("stop_id").distinct())
+    listed = stops.select("stop_id").distinct()
     board = listed.select(F.col("stop_id").alias("board_stop"), F.lit(True).alias("_at_board"))
     alight = listed.select(F.col("stop_id").alias("alight_stop"), F.lit(True).alias("_at_alight"))
     if how == "board":
@@ -205,7 +204,7 @@ def to_published_od(df: DataFrame, business_days: DataFrame, ym: str = "ym") ->
 
     ``business_days`` has one row per month (``ym``, ``business_days``).
     """
-    days = small_side(business_days.select(F.col("ym").alias(ym), "business_days"))
+    days = business_days.select(F.col("ym").alias(ym), "business_days")
     daily = F.when(
         F.col("business_days") > 0, half_even(F.col("trips") / F.col("business_days"), 1)
     )

@@ -9,7 +9,7 @@ from ..functions.times import seconds_between
 from .anchors import with_cells
 from .clean import drop_inverted
 from .enrich import commuter_trips, enrich_stops
-from .ordering import HOT_ROWS, with_next_trip, with_prev_trip
+from .ordering import with_next_trip, with_prev_trip
 
 # Shortest and longest dwell, in seconds.
 MIN_DWELL = 300.0
@@ -45,10 +45,10 @@ def _halves(df: DataFrame, first: tuple[str, str, str], second: tuple[str, str,
     )
 
 
-def dwell_events(trips: DataFrame, anchor_cells: DataFrame, stops: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def dwell_events(trips: DataFrame, anchor_cells: DataFrame, stops: DataFrame, parts: int | None = None) -> DataFrame:
     """Stays of commuters between two trips, 5 minutes to 1 day, by activity."""
     own = with_cells(commuter_trips(trips, anchor_cells), stops)
-    following = with_next_trip(own, ["board_cell"], hot_rows, trips)
+    following = with_next_trip(own, ["board_cell"], parts)
     gap = seconds_between(F.col("alight_ts"), F.col("next_board_ts"))
     stays = (
         following.withColumn("_gap", gap)
@@ -68,10 +68,10 @@ def dwell_events(trips: DataFrame, anchor_cells: DataFrame, stops: DataFrame, ho
     )
 
 
-def dwell_events_simple(trips: DataFrame, min_minutes: float = 5.0, hot_rows: int = HOT_ROWS) -> DataFrame:
+def dwell_events_simple(trips: DataFrame, min_minutes: float = 5.0, parts: int | None = None) -> DataFrame:
     """Half stays of more than 5 minutes before each trip; no activity type."""
     timed = drop_inverted(trips.where(F.col("board_ts").isNotNull() & F.col("alight_ts").isNotNull()))
-    previous = with_prev_trip(timed, hot_rows)
+    previous = with_prev_trip(timed, parts)
     stays = previous.withColumn(
         "_stay", seconds_between(F.col("prev_alight_ts"), F.col("board_ts")) / 60
     ).where(F.col("_stay").isNotNull())

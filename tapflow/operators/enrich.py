@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import half_even
 from ..schema import STOP_KEY
-from .sizing import small_side
 
 
 def _stop_side(stops: DataFrame, cols: list[str], prefix: str) -> DataFrame:
@@ -26,7 +25,7 @@ def enrich_stops(trips: DataFrame, stops: DataFrame, cols: list[str], sides: tup
     dim = stops.select(*STOP_KEY, *cols)
     for side in sides:
         trips = trips.join(
-            small_side(_stop_side(dim, cols, side)), [f"{side}_stop", f"{side}_region", f"{side}_mode"], "left"
+            _stop_side(dim, cols, side), [f"{side}_stop", f"{side}_region", f"{side}_mode"], "left"
         )
     return trips
 
@@ -43,7 +42,7 @@ def canonicalise_stops(df: DataFrame, transfer_map: DataFrame) -> DataFrame:
         )
         df = (
             df.withColumn(f"{side}_stop", F.col(f"{side}_stop").cast("string"))
-            .join(small_side(mapping), [f"{side}_stop", f"{side}_region", f"{side}_mode"], "left")
+            .join(mapping, [f"{side}_stop", f"{side}_region", f"{side}_mode"], "left")
             .withColumn(f"{side}_stop", F.coalesce("_to", f"{side}_stop"))
             .drop("_to")
         )
@@ -58,7 +57,7 @@ def _matched(left: DataFrame, right: DataFrame, keys: dict[str, str]) -> DataFra
     for i, l in enumerate(keys):
         test = F.col(l) == F.col(f"_k{i}")
         cond = test if cond is None else cond & test
-    joined = left.join(small_side(known.withColumn("_hit", F.lit(True))), cond, "left")
+    joined = left.join(known.withColumn("_hit", F.lit(True)), cond, "left")
     return joined.select(*left.columns, F.coalesce("_hit", F.lit(False)).alias("_hit"))
 
 
@@ -108,7 +107,7 @@ def relabel_grid(df: DataFrame, letters: DataFrame, cols: list[str]) -> DataFram
     for c in cols:
         lookup = letters.select(F.col("alphabet").alias("_from"), F.col("local").alias("_to"))
         df = (
-            df.join(small_side(lookup), F.substring(F.col(c), 1, 2) == F.col("_from"), "left")
+            df.join(lookup, F.substring(F.col(c), 1, 2) == F.col("_from"), "left")
             .withColumn(c, F.coalesce(F.concat(F.col("_to"), F.substring(F.col(c), F.lit(3), F.length(c))), F.col(c)))
             .drop("_from", "_to")
         )
@@ -135,7 +134,7 @@ def transfer_map_from_names(stops: DataFrame, mode: str = "T") -> DataFrame:
     """Transfer mapping of same-named subway stops within a region."""
     subway = stops.where(F.col("mode") == mode)
     lowest = canonical_ids(subway, "stop_name", "stop_id", ["region_code", "mode"])
-    return subway.join(small_side(lowest), ["region_code", "mode", "stop_name"]).select(
+    return subway.join(lowest, ["region_code", "mode", "stop_name"]).select(
         F.col("stop_id").cast("string").alias("stop_id"),
         "region_code",
         "mode",

@@ -10,7 +10,6 @@ from .anchors import AM_HOURS, MIN_CONFIDENCE, PM_HOURS
 from .calendar import business_days_only
 from .enrich import canonical_ids, canonicalise_stops, enrich_stops
 from .quantiles import exact_quantiles
-from .sizing import small_side
 
 # Trip type -> (hours of both ends, anchor at the start, anchor at the end).
 COMMUTES = {
@@ -210,9 +209,7 @@ def top_destinations(od: DataFrame, p: float = 0.97) -> DataFrame:
     Same-named subway destinations are one. Needs ``alight_stop`` (text),
     ``alight_name``, ``alight_mode``, ``daily_count``.
     """
-    lowest = small_side(
-        canonical_ids(od.where(F.col("alight_mode") == "T"), "alight_name", "alight_stop", ["alight_mode"])
-    )
+    lowest = canonical_ids(od.where(F.col("alight_mode") == "T"), "alight_name", "alight_stop", ["alight_mode"])
     totals = (
         od.join(lowest, ["alight_mode", "alight_name"], "left")
         .groupBy(F.coalesce("canonical_id", "alight_stop").alias("station_id"), "alight_name", "alight_mode")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .sizing import small_side
+from ..session import scratch_path
 
-# A key with more rows than this is split by hour; there are at most
-# (rows / HOT_ROWS) such keys, which bounds the broadcast hot list.
-HOT_ROWS = 1_000_000
+
+# A card's trips in a total order: copies of a leg share time and transaction.
+TRIP_ORDER = ["board_ts", "txn_id", "op_date", "alight_ts", "board_stop", "alight_stop"]
 
 
 def dedup(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -49,79 +49,63 @@ def cards_with(
     return head.withColumn("_n", F.count(F.lit(1)).over(full)).where(F.col("_n") == k).drop("_n")
 
 
-def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``rows`` rows."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") > rows).select(key)
-
+def dealt_in_order(df: DataFrame, key: str, order: list[str], parts: int | None = None) -> DataFrame:
+    """``df`` stored in ranges of (``key``, ``order``), with the number of each row's range in ``_part``.
 
-def _with_split(df: DataFrame, key: str, ts: str, hot_rows: int, counted: DataFrame) -> DataFrame:
-    """``_part``: hour number for hot keys, 0 for all others."""
-    hours = F.date_diff(F.to_date(F.col(ts)), F.lit("1970-01-01").cast("date")) * 24 + F.hour(F.col(ts))
-    hot = F.broadcast(hot_keys(counted, key, hot_rows).withColumn("_hot", F.lit(True)))
-    return df.join(hot, key, "left").withColumn(
-        "_part", F.when(F.col("_hot"), F.coalesce(hours, F.lit(-1))).otherwise(F.lit(0))
-    )
+    Ranges are cut by sampled bounds, so a key with a third of all rows, NULL among them, or one with a busy second
+    is spread like any other rows.
+    """
+    columns = [F.col(c) for c in [key, *order]]
+    dealt = df.repartitionByRange(*([parts] if parts else []), *columns)
+    path = scratch_path(df.sparkSession, "in-order")
+    dealt.withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def with_neighbour(
-    df: DataFrame,
-    key: str,
-    order: list[str],
-    carried: dict[str, str],
-    step: int,
-    hot_rows: int = HOT_ROWS,
-    counted: DataFrame | None = None,
+    df: DataFrame, key: str, order: list[str], carried: dict[str, str], step: int, parts: int | None = None
 ) -> DataFrame:
     """Columns of the next (``step=1``) or previous (``step=-1``) row of a key.
 
-    ``carried`` maps a new column to the column it is taken from; ``order``
-    starts with a naive timestamp. A hot key is cut into hours: each hour is
-    ordered on its own, and one boundary row per hour brings in the first (or
-    last) row of the neighbouring hour, so no task sees the whole key and the
-    result equals the plain window. Rows per key are counted on ``counted``, a
-    cheaper frame with at least these keys, or on ``df`` itself.
+    ``carried`` maps a new column to the column it is taken from. The input is read once and stored in ranges of
+    (``key``, ``order``); each range of a key is ordered on its own, and one boundary row brings in the first (or
+    last) row of the key's neighbouring range, so no task sees the whole key and the result equals the plain
+    window. NULL is a key like any other.
     """
     if step not in (1, -1):
         raise ValueError("step is 1 or -1")
     names = df.columns
-    split = _with_split(df, key, order[0], hot_rows, df if counted is None else counted)
-
-    edge = F.min if step == 1 else F.max
+    dealt = dealt_in_order(df, key, order, parts)
+    edge, move = (F.min, F.lead) if step == 1 else (F.max, F.lag)
     packed = F.struct(*[F.col(c) for c in order], *[F.col(c).alias(f"_v{i}") for i, c in enumerate(carried.values())])
+    # One row per key and range: a key has as many as ranges that it reaches into.
     edges = (
-        split.where(F.col("_hot"))
-        .groupBy(key, "_part")
+        dealt.groupBy(key, "_part")
         .agg(edge(packed).alias("_edge"))
-        # one row per hour of a hot key
-        .withColumn("_edge", (F.lead if step == 1 else F.lag)("_edge").over(Window.partitionBy(key).orderBy("_part")))
+        .withColumn("_edge", move("_edge").over(Window.partitionBy(key).orderBy("_part")))
         .where(F.col("_edge").isNotNull())
     )
     values = {f"_v{i}": F.col(c) for i, c in enumerate(carried.values())}
-    rows = split.withColumns({**values, "_at": F.lit(0)})
     boundary = edges.select(
         key, "_part", F.lit(step).alias("_at"), *[F.col(f"_edge._v{i}").alias(f"_v{i}") for i in range(len(carried))]
     )
     w = Window.partitionBy(key, "_part").orderBy("_at", *order)
-    move = F.lead if step == 1 else F.lag
-    moved = rows.unionByName(boundary, allowMissingColumns=True).withColumns(
+    moved = dealt.withColumns({**values, "_at": F.lit(0)}).unionByName(boundary, allowMissingColumns=True).withColumns(
         {name: move(f"_v{i}").over(w) for i, name in enumerate(carried)}
     )
     return moved.where(F.col("_at") == 0).select(*names, *carried)
 
 
-def with_next_trip(
-    trips: DataFrame, extra: list[str] = (), hot_rows: int = HOT_ROWS, counted: DataFrame | None = None
-) -> DataFrame:
+def with_next_trip(trips: DataFrame, extra: list[str] = (), parts: int | None = None) -> DataFrame:
     """Boarding attributes of the card's next trip (``next_*``)."""
     carried = {f"next_{c}": c for c in ["board_stop", "board_ts", "board_region", "board_mode", *extra]}
-    return with_neighbour(trips, "card_id", ["board_ts", "txn_id"], carried, 1, hot_rows, counted)
+    return with_neighbour(trips, "card_id", TRIP_ORDER, carried, 1, parts)
 
 
-def with_prev_trip(trips: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_prev_trip(trips: DataFrame, parts: int | None = None) -> DataFrame:
     """Alighting attributes of the card's previous trip (``prev_*``)."""
     carried = {f"prev_{c}": c for c in ["alight_stop", "alight_ts", "alight_region", "alight_mode"]}
-    return with_neighbour(trips, "card_id", ["board_ts", "txn_id"], carried, -1, hot_rows)
+    return with_neighbour(trips, "card_id", TRIP_ORDER, carried, -1, parts)
 
 
 def head(df: DataFrame, keys: list[str], n: int) -> DataFrame:
@@ -133,7 +117,7 @@ def sample_cards(taps: DataFrame, n: int, seed: int, key: str = "card_id") -> Da
     repeats exactly."""
     draw = F.md5(F.concat(F.col(key), F.lit(f":{seed}")))
     cards = taps.where(F.col(key).isNotNull()).select(key).distinct().orderBy(draw, key).limit(n)
-    return taps.join(small_side(cards), key, "left_semi")
+    return taps.join(cards, key, "left_semi")
 
 
 def sample_rows(df: DataFrame, fraction: float, seed: int) -> DataFrame:

@@ -8,7 +8,6 @@ from ..functions.numbers import half_even, joined_key
 from ..functions.times import hour_stamp
 from ..schema import Contract
 from .quantiles import exact_quantiles
-from .sizing import small_side
 
 
 def null_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -284,7 +283,7 @@ def key_diff(a: DataFrame, b: DataFrame, a_key: str, b_key: str) -> DataFrame:
 def rows_without(a: DataFrame, b: DataFrame, a_key: str, b_key: str) -> DataFrame:
     """Rows of ``a`` whose key does not exist in ``b``."""
     known = b.select(F.col(b_key).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-    return a.where(F.col(a_key).isNotNull()).join(small_side(known), F.col(a_key) == F.col("_k"), "left_anti")
+    return a.where(F.col(a_key).isNotNull()).join(known, F.col(a_key) == F.col("_k"), "left_anti")
 
 
 def validate_target(df: DataFrame, contract: Contract) -> DataFrame:

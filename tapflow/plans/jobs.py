@@ -80,13 +80,12 @@ def cell_commute_od_job(taps: DataFrame, raw_stops: DataFrame, max_dist: float |
     return parts[0].unionByName(parts[1])
 
 
-def dwell_job(taps: DataFrame, stops: DataFrame, hot_rows: int | None = None) -> DataFrame:
+def dwell_job(taps: DataFrame, stops: DataFrame, parts: int | None = None) -> DataFrame:
     """Dwell statistics per day, stop and activity. ``stops`` carries ``cell_id``."""
     trips = staged(clean.drop_inverted(purpose_trips_by_leg(taps)), "leg-trips")
     dim = staged(dedup(stops, STOP_KEY, ["stop_name", "gps_x", "gps_y"]), "stops")
     cells = staged(anchor_ops.anchor_cells(trips, dim), "anchor-cells")
-    extra = {} if hot_rows is None else {"hot_rows": hot_rows}
-    return dwell.dwell_stats(dwell.dwell_events(trips, cells, dim, **extra), dim)
+    return dwell.dwell_stats(dwell.dwell_events(trips, cells, dim, parts), dim)
 
 
 def publish_od(od_with_grid: DataFrame, holidays: DataFrame, path: str | None = None) -> DataFrame:

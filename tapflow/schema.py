@@ -81,6 +81,7 @@ OD_KEY = [
     "alight_mode",
 ]
 
+# Columns, key and field sizes of the published table.
 PUBLISHED_OD_COLUMNS = [
     "standard_ym",
     "departure_station_id",

@@ -74,20 +74,28 @@ def many_trips(spark):
 
 
 @pytest.mark.parametrize("step, name", [(1, "lead"), (-1, "lag")])
-@pytest.mark.parametrize("hot_rows", [0, 50, 10**6])
-def test_split_cards_give_the_plain_window(spark, step, name, hot_rows):
+@pytest.mark.parametrize("parts", [None, 1, 50])
+def test_split_cards_give_the_plain_window(spark, step, name, parts):
     df = many_trips(spark)
     w = Window.partitionBy("card_id").orderBy("board_ts", "txn_id")
     move = F.lead if step == 1 else F.lag
     want = df.withColumns({"a": move("board_stop").over(w), "b": move("alight_ts").over(w)}).collect()
-    got = ordering.with_neighbour(df, "card_id", ["board_ts", "txn_id"], {"a": "board_stop", "b": "alight_ts"}, step, hot_rows)
+    got = ordering.with_neighbour(df, "card_id", ["board_ts", "txn_id"], {"a": "board_stop", "b": "alight_ts"}, step, parts)
     assert sorted(map(str, got.collect())) == sorted(map(str, want))
 
 
+def test_null_cards_are_spread_over_ranges(spark):
+    df = spark.range(20_000).select(F.lit(None).cast("string").alias("card_id"), F.col("id").alias("n"))
+    dealt = ordering.dealt_in_order(df, "card_id", ["n"], 40)
+    assert dealt.groupBy("_part").count().agg(F.max("count")).first()[0] < 2000
+    got = ordering.with_neighbour(df, "card_id", ["n"], {"m": "n"}, 1, 40)
+    assert got.where("m = n + 1").count() == 19_999
+
+
 def test_halves_sum_to_the_whole_and_both_orders_agree(spark, stops):
     df = many_trips(spark)
     cells = spark.createDataFrame([("hot", 10, 20), ("c1", 30, 40)], "card_id string, home_cell bigint, work_cell bigint")
-    events = dwell.dwell_events(df, cells, stops, hot_rows=50)
+    events = dwell.dwell_events(df, cells, stops, parts=50)
     stats = dwell.dwell_stats(events, stops)
     early = events.join(stops.drop("cell_id"), ["stop_id", "region_code", "mode"], "left").groupBy(
         "op_date", "stop_id", "region_code", "mode", "duration_type", "stop_name", "legal_dong", "gps_x", "gps_y"

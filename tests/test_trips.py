@@ -87,14 +87,3 @@ def test_touching(spark):
     assert got == {"either": ["half", "in"], "both": ["in"], "board": ["half", "in"], "alight": ["in"]}
     with pytest.raises(ValueError):
         clean.touching(df, stops, "never")
-
-
-def test_small_side_drops_the_hint_beyond_its_bound(spark):
-    from tapflow.operators.sizing import small_side
-
-    df = spark.range(10)
-    hinted = small_side(df, 10)._jdf.queryExecution().logical().toString()
-    plain = small_side(df, 9)._jdf.queryExecution().logical().toString()
-    assert "ResolvedHint" in hinted or "UnresolvedHint" in hinted
-    assert "Hint" not in plain
-    assert df.join(small_side(df, 9), "id").agg(F.count("*")).first()[0] == 10
