@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tapflow.session import scratch_path
 
+from .bpe import spread
 from .words import slices, split
 
 WIDTH = 3
@@ -165,11 +166,30 @@ def _alike(sig: np.ndarray, least: float) -> np.ndarray:
     return near
 
 
-def groups(nodes: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(members): in each small node, the documents whose signatures connect them; nodes of several trees often agree."""
+def met_in(groups_: DataFrame) -> DataFrame:
+    """(key, met): the groups that each document is in, as names of 8 bytes."""
+    return groups_.select(F.xxhash64("members").alias("g"), F.explode("members").alias("key")).groupBy("key").agg(F.collect_set("g").alias("met"))
+
+
+def _share(groups_of: np.ndarray) -> np.ndarray:
+    """(nodes, n, n): pairs of documents with a group in common, for group names (nodes, n, names)."""
+    out = np.zeros((*groups_of.shape[:2], groups_of.shape[1]), bool)
+    for i in range(groups_of.shape[2]):
+        for j in range(groups_of.shape[2]):
+            out |= groups_of[:, :, None, i] == groups_of[:, None, :, j]
+    return out
+
+
+def groups(nodes: DataFrame, classes: DataFrame, percent: int, met: DataFrame | None = None) -> DataFrame:
+    """(members): in each small node, the documents that pairs with alike signatures connect.
+
+    Pairs that stand in a group of ``met`` together are compared there, and don't count again.
+    """
     whole = nodes.join(classes.select("key", "n_shingles", "sig"), "key")
+    whole = whole.join(met, "key", "left") if met is not None else whole.withColumn("met", F.lit(None).cast("array<bigint>"))
+    whole = whole.withColumn("met", F.coalesce("met", F.array().cast("array<bigint>")))
     least = percent / 100 - MARGIN
-    gathered = whole.groupBy("path").agg(F.collect_list(F.struct("key", "label", "n_shingles", "sig")).alias("rows"))
+    gathered = whole.groupBy("path").agg(F.collect_list(F.struct("key", "label", "n_shingles", "sig", "met")).alias("rows"))
 
     def run(batches):
         for batch in batches:
@@ -179,6 +199,11 @@ def groups(nodes: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 continue
             key, label = np.array(flat.field("key").to_pylist(), object), np.array(flat.field("label").to_pylist(), object)
             weight, sig = flat.field("n_shingles").to_numpy(), flat.field("sig").flatten().to_numpy().reshape(-1, SIGNATURE)
+            seen = flat.field("met")
+            # Each document's groups in a row, filled up with numbers of its own.
+            held = seen.value_lengths().to_numpy()
+            groups_of = -np.arange(1, len(held) + 1)[:, None] - np.zeros((1, max(1, held.max())), np.int64)
+            groups_of[np.repeat(np.arange(len(held)), held), spread(np.zeros(len(held), np.int64), held)] = seen.flatten().to_numpy()
             begin = np.cumsum(sizes) - sizes
             out = []
             for n in np.unique(sizes[sizes > 1]):
@@ -187,6 +212,8 @@ def groups(nodes: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 for lot in (at[i : i + step] for i in range(0, len(at), step)):
                     place = lot[:, None] + np.arange(n)
                     near = _alike(sig[place], least)
+                    if held.max():
+                        near &= ~_share(groups_of[place])
                     hit = np.flatnonzero(near.any((1, 2)))
                     near = near[hit]
                     for node, part, graph in zip(place[hit], _components(near), near):
@@ -290,6 +317,37 @@ def connected(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for more in frames[1:]:
+        out = out.union(more)
+    return out
+
+
+def _descend(large: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, found: list[DataFrame]) -> list[DataFrame]:
+    """Take large nodes apart level by level: pivots' links are returned, groups of small nodes are added to ``found``."""
+    links: list[DataFrame] = []
+    for level in range(1, LEVELS + 1):
+        if large.isEmpty():
+            break
+        near = _stored(pivot_links(large, classes, sets, percent), "pivot-links")
+        links.append(near)
+        # A label is a document that a confirmed link reaches: of equal labels nothing is left to find.
+        known = large.select("key", "label").union(near.select("b", "a")).groupBy("key").agg(F.min("label").alias("label"))
+        over = near.join(known, near["a"] == known["key"]).select(F.col("b").alias("key"), "label")
+        known = known.union(over).groupBy("key").agg(F.min("label").alias("label"))
+        labelled = large.select("path", "key").join(known, "key")
+        met = met_in(_union(found))
+        if level == LEVELS:
+            found.append(_stored(groups(_leftover(_nodes(labelled)), classes, percent, met), "groups-of-nodes"))
+            break
+        open_ = _nodes(labelled).select("path", "key", "label").join(classes.select("key", "sig"), "key")
+        nodes = _stored(_nodes(_branches(open_, level, BRANCHES)), "nodes")
+        found.append(_stored(groups(nodes.where(F.col("n") <= SMALL), classes, percent, met), "groups-of-nodes"))
+        large = nodes.where(F.col("n") > SMALL)
+    return links
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept), one row per row of ``docs``; ``component_id`` is the smallest id reachable.
 
@@ -306,38 +364,23 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
         "classes",
     )
     roots = classes.select(F.explode(F.sequence(F.lit(1), F.lit(TREES))).alias("path"), "key", F.col("key").alias("label"), "sig")
-    nodes = _stored(_nodes(_branches(roots.withColumn("path", F.col("path").cast("long")), 0, BRANCHES)), "nodes")
-    found = [_stored(groups(nodes.where(F.col("n") <= SMALL), classes, percent), "groups-of-nodes")]
-    large = nodes.where(F.col("n") > SMALL)
-    wanted = found[0].select(F.explode("members").alias("key")).union(large.select("key")).distinct()
+    roots = roots.withColumn("path", F.col("path").cast("long"))
+    # The first tree finds most; what it has brought together the others need not compare again.
+    nodes = [_stored(_nodes(_branches(roots.where(tree), 0, BRANCHES)), "nodes") for tree in ("path = 1", "path > 1")]
+    found = [_stored(groups(nodes[0].where(F.col("n") <= SMALL), classes, percent), "groups-of-nodes")]
+    found.append(_stored(groups(nodes[1].where(F.col("n") <= SMALL), classes, percent, met_in(found[0])), "groups-of-nodes"))
+    large = [n.where(F.col("n") > SMALL) for n in nodes]
+    members = found[0].select("members").union(found[1].select("members")).select(F.explode("members").alias("key"))
+    wanted = members.union(large[0].select("key")).union(large[1].select("key")).distinct()
     ids = wanted.join(classes, "key").select(F.col("least_id").alias("id")).distinct()
     texts = source.join(ids.hint("shuffle_hash"), source["id"].eqNullSafe(ids["id"]), "left_semi")
     sets = _stored(sets_of(texts, width).join(wanted, "key", "left_semi").dropDuplicates(["key"]), "sets")
 
     links: list[DataFrame] = []
-    for level in range(1, LEVELS + 1):
-        if large.isEmpty():
-            break
-        near = _stored(pivot_links(large, classes, sets, percent), "pivot-links")
-        links.append(near)
-        # A label is a document that a confirmed link reaches: of equal labels nothing is left to find.
-        known = large.select("key", "label").union(near.select("b", "a")).groupBy("key").agg(F.min("label").alias("label"))
-        over = near.join(known, near["a"] == known["key"]).select(F.col("b").alias("key"), "label")
-        known = known.union(over).groupBy("key").agg(F.min("label").alias("label"))
-        labelled = large.select("path", "key").join(known, "key")
-        if level == LEVELS:
-            found.append(_stored(groups(_leftover(_nodes(labelled)), classes, percent), "groups-of-nodes"))
-            break
-        open_ = _nodes(labelled).select("path", "key", "label").join(classes.select("key", "sig"), "key")
-        nodes = _stored(_nodes(_branches(open_, level, BRANCHES)), "nodes")
-        found.append(_stored(groups(nodes.where(F.col("n") <= SMALL), classes, percent), "groups-of-nodes"))
-        large = nodes.where(F.col("n") > SMALL)
-    every = found[0]
-    for more in found[1:]:
-        every = every.union(more)
-    all_links = links_within(every, sets, percent)
-    for more in links:
-        all_links = all_links.union(more)
+    for start in large:
+        links += _descend(start, classes, sets, percent, found)
+    every = _union(found)
+    all_links = _union([links_within(every, sets, percent), *links])
     roots_of = connected(all_links)
     joined = classes.select("key", "least_id").join(roots_of, "key", "left").select("key", "least_id", F.coalesce("root", "key").alias("root"))
     least = joined.groupBy("root").agg(F.min("least_id").alias("component"))
