@@ -267,11 +267,7 @@ GROUP BY ALL"""
 def a9(spark, sf):
     trips, stops = leg_trips_of(spark, sf), cell_stops(spark, sf)
     cells = anchor_ops.anchor_cells(trips, stops)
-    parts = [
-        od.cell_commute_od(trips, cells, stops, way).select(F.lit(way).alias("direction"), "*")
-        for way in ("morning", "evening")
-    ]
-    return rounded(parts[0].unionByName(parts[1]), "distance_avg", "time_avg")
+    return rounded(od.cell_commutes(trips, cells, stops), "distance_avg", "time_avg")
 
 
 _SIDES = ["stop", "region", "mode", "stop_name"]

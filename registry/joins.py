@@ -316,6 +316,13 @@ def l3(spark, sf):
     return ordering.sample_cards(taps(spark, sf).select("event_id", "card_id"), 10, 42)
 
 
-@query("q_l4_sample_rows")
+@query(
+    "q_l4_sample_rows",
+    """
+SELECT event_id, card_id, distance FROM taps
+WHERE CAST('0x' || substr(md5(concat(event_id, ':42')), 1, 8) AS BIGINT) < CAST(floor(0.1 * 4294967296) AS BIGINT)
+""",
+    "taps",
+)
 def l4(spark, sf):
-    return ordering.sample_rows(taps(spark, sf).select("event_id", "card_id", "distance"), 0.1, 42)
+    return ordering.sample_rows(taps(spark, sf).select("event_id", "card_id", "distance"), 0.1, 42, ["event_id"])

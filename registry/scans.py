@@ -84,7 +84,7 @@ def s3(spark, sf):
 def s4(spark, sf):
     days, out = scratch_path(spark, "daily-csv"), scratch_path(spark, "monthly")
     extract = tap_extract(spark, sf)
-    extract.withColumn("day", F.col("op_date")).write.partitionBy("day").option("header", True).csv(days)
+    extract.withColumn("day", F.col("op_date")).withColumnsRenamed({name: header for header, name in TAP_HEADERS.items()}).write.partitionBy("day").option("header", True).csv(days)
     return writers.ingest_days(spark, f"{days}/day=*", out).withColumn("ym", F.col("ym").cast("string"))
 
 

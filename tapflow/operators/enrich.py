@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import scratch_path
 from ..functions.numbers import half_even
 from ..schema import STOP_KEY
 
@@ -90,10 +91,29 @@ def join_audit(left: DataFrame, right: DataFrame, keys: dict[str, str], id_col:
 
 
 def join_audit_by(left: DataFrame, right: DataFrame, keys: dict[str, str], id_col: str, group: str) -> DataFrame:
-    """The same per group, plus a ``total`` row."""
-    flagged = _matched(left, right, keys)
-    per = flagged.groupBy(F.col(group).alias("grp")).agg(*_audit_columns(id_col))
-    total = flagged.agg(*_audit_columns(id_col)).select(F.lit("total").alias("grp"), "*")
+    """The same per group, plus a ``total`` row.
+
+    Rows are first counted by (group, id, hit); that table, read twice, gives rows and distinct ids of both.
+    """
+    counted = _matched(left, right, keys).groupBy(F.col(group).alias("grp"), F.col(id_col).alias("id"), "_hit").agg(F.count(F.lit(1)).alias("n"))
+    path = scratch_path(left.sparkSession, "join-audit")
+    counted.write.parquet(path)
+    counted = left.sparkSession.read.parquet(path)
+
+    def summed(ids: DataFrame, keys: list[str]) -> DataFrame:
+        """``ids``: one row per id with its matched and unmatched rows."""
+        known = F.col("id").isNotNull()
+        return ids.groupBy(*keys).agg(
+            F.coalesce(F.sum(F.col("hits") + F.col("misses")), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum("hits"), F.lit(0)).alias("matched"),
+            F.coalesce(F.sum("misses"), F.lit(0)).alias("unmatched"),
+            F.count(F.when(known, 1)).alias("ids"),
+            F.count(F.when(known & (F.col("misses") > 0), 1)).alias("unmatched_ids"),
+        )
+
+    sides = [F.sum(F.when(F.col("_hit") == hit, F.col("n")).otherwise(0)).alias(name) for hit, name in ((True, "hits"), (False, "misses"))]
+    per = summed(counted.groupBy("grp", "id").agg(*sides), ["grp"])
+    total = summed(counted.groupBy("id").agg(*sides), []).select(F.lit("total").alias("grp"), "*")
     return _with_rates(per.unionByName(total))
 
 

@@ -86,37 +86,39 @@ def od_monitor(matched: DataFrame, keys: tuple[str, ...] = ("ym",)) -> DataFrame
     )
 
 
-def cell_commute_od(trips: DataFrame, anchor_cells: DataFrame, stops: DataFrame, direction: str) -> DataFrame:
-    """OD between home and work cells with names, admin codes and coordinates.
+CELL_ATTRS = {
+    "stop": "station_id",
+    "stop_name": "station_name",
+    "mode": "station_type",
+    "legal_dong": "station_admin",
+    "gps_x": "station_x",
+    "gps_y": "station_y",
+}
+
+
+def cell_commutes(trips: DataFrame, anchor_cells: DataFrame, stops: DataFrame) -> DataFrame:
+    """OD between home and work cells in both directions (``direction``) with names, admin codes and coordinates.
 
-    ``morning`` travels from home to work, ``evening`` back; all attributes are
-    reported by role. No hour filter.
+    ``morning`` travels from home to work, ``evening`` back; all attributes are reported by role. No hour filter.
+    Trips and stops are read once: a trip gives a row for each direction that it fits.
     """
-    live, work = {"morning": ("board", "alight"), "evening": ("alight", "board")}[direction]
-    dim = stops.withColumnRenamed("cell_id", "cell")
-    attrs = ["stop_name", "legal_dong", "gps_x", "gps_y"]
-    tagged = enrich_stops(trips, dim, ["cell", *attrs])
-    cells = anchor_cells.select(
-        "card_id", F.col("home_cell").alias(f"{live}_cell"), F.col("work_cell").alias(f"{work}_cell")
-    )
-    keys = [
-        F.col(f"{end}_{col}").alias(f"{role}_{name}")
-        for col, name in [
-            ("stop", "station_id"),
-            ("stop_name", "station_name"),
-            ("mode", "station_type"),
-            ("legal_dong", "station_admin"),
-            ("gps_x", "station_x"),
-            ("gps_y", "station_y"),
-        ]
-        for role, end in (("live", live), ("work", work))
-    ]
-    return (
-        tagged.join(cells, ["card_id", "board_cell", "alight_cell"])
-        .groupBy(*keys)
-        .agg(*od_measures())
-        .withColumnRenamed("trips", "commute_count")
-    )
+    tagged = enrich_stops(trips, stops.withColumnRenamed("cell_id", "cell"), ["cell", *[c for c in CELL_ATTRS if c not in ("stop", "mode")]])
+    joined = tagged.join(anchor_cells.select("card_id", "home_cell", "work_cell"), "card_id")
+
+    def way(direction: str, live: str, work: str) -> Column:
+        fits = (F.col(f"{live}_cell") == F.col("home_cell")) & (F.col(f"{work}_cell") == F.col("work_cell"))
+        roles = [F.col(f"{end}_{c}").alias(f"{role}_{name}") for c, name in CELL_ATTRS.items() for role, end in (("live", live), ("work", work))]
+        return F.when(fits, F.struct(F.lit(direction).alias("direction"), *roles))
+
+    ways = F.array_compact(F.array(way("morning", "board", "alight"), way("evening", "alight", "board")))
+    found = joined.select("total_distance", "total_ride_sec", F.inline(ways))
+    keys = [c for c in found.columns if c not in ("total_distance", "total_ride_sec")]
+    return found.groupBy(*keys).agg(*od_measures()).withColumnRenamed("trips", "commute_count")
+
+
+def cell_commute_od(trips: DataFrame, anchor_cells: DataFrame, stops: DataFrame, direction: str) -> DataFrame:
+    """One direction of ``cell_commutes``."""
+    return cell_commutes(trips, anchor_cells, stops).where(F.col("direction") == direction).drop("direction")
 
 
 PAIR_COLUMNS = ["stop", "region", "mode", "stop_name"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import scratch_path
 
@@ -120,6 +120,12 @@ def sample_cards(taps: DataFrame, n: int, seed: int, key: str = "card_id") -> Da
     return taps.join(cards, key, "left_semi")
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def drawn(keys: list[str], fraction: float, seed: int) -> Column:
+    """Whether a seeded hash of a row's keys falls below ``fraction``: the same rows in every run and layout."""
+    text = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keys], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") < int(fraction * 2**32)
 
+
+def sample_rows(df: DataFrame, fraction: float, seed: int, keys: list[str]) -> DataFrame:
+    """About ``fraction`` of the rows, drawn by their keys."""
+    return df.where(drawn(keys, fraction, seed))

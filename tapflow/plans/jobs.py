@@ -73,11 +73,7 @@ def cell_commute_od_job(taps: DataFrame, raw_stops: DataFrame, max_dist: float |
     trips = staged(clean.drop_inverted(purpose_trips_by_leg(taps)), "leg-trips")
     stops = staged(station_cells(staged(clean.build_stops(raw_stops), "stops"), max_dist), "cells")
     cells = staged(anchor_ops.anchor_cells(trips, stops), "anchor-cells")
-    parts = [
-        od.cell_commute_od(trips, cells, stops, way).select(F.lit(way).alias("direction"), "*")
-        for way in ("morning", "evening")
-    ]
-    return parts[0].unionByName(parts[1])
+    return od.cell_commutes(trips, cells, stops)
 
 
 def dwell_job(taps: DataFrame, stops: DataFrame, parts: int | None = None) -> DataFrame:

@@ -6,14 +6,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.numbers import text_to_id
 from ..functions.times import tap_date, tap_time
-from ..schema import TAPS_TEXT
+from ..schema import TAP_HEADERS, TAPS_TEXT
 
 PLAIN_ENCODINGS = {"iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8"}
 
 
 def read_taps_csv(spark: SparkSession, path: str | list[str], schema: T.StructType = TAPS_TEXT) -> DataFrame:
-    """Daily tap extracts with a given schema; columns are taken by position."""
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(path)
+    """Daily tap extracts under the published headers (``TAP_HEADERS``), renamed to ``schema``.
+
+    Each file's header row is held against the schema: one with other columns, or in another order, stops the
+    read instead of being taken by position.
+    """
+    published = {name: header for header, name in TAP_HEADERS.items()}
+    headed = T.StructType([T.StructField(published.get(f.name, f.name), f.dataType) for f in schema])
+    return spark.read.schema(headed).option("header", True).option("enforceSchema", False).csv(path).toDF(*schema.names)
 
 
 def typed_taps(raw: DataFrame) -> DataFrame:

@@ -32,9 +32,16 @@ def write_table(
     writer.parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, cols: list[str]) -> None:
-    """Replace exactly the partitions present in ``df``; running it again
-    leaves the table as it is."""
+def overwrite_partitions(df: DataFrame, path: str, cols: list[str], named: list[str] | None = None) -> None:
+    """Replace the partitions present in ``df``; running it again leaves the table as it is.
+
+    ``named`` are all values of the first column that are loaded anew, as for a truncate before a load: those without
+    rows in ``df`` lose their old rows, and rows of other values are an error.
+    """
+    if named is not None:
+        df = df.where(F.when(F.col(cols[0]).cast("string").isin(named), True).otherwise(
+            F.raise_error(F.concat(F.lit(f"{cols[0]} is not among those named: "), F.coalesce(F.col(cols[0]).cast("string"), F.lit("NULL"))))
+        ))
     (
         df.hint("rebalance", *[F.col(c) for c in cols])
         .write.mode("overwrite")
@@ -43,6 +50,14 @@ def overwrite_partitions(df: DataFrame, path: str, cols: list[str]) -> None:
         .partitionBy(*cols)
         .parquet(path)
     )
+    if named:
+        # Within a loaded value all partitions are replaced, so what is left of the emptied ones goes as a whole.
+        loaded = {str(r[0]) for r in df.select(cols[0]).distinct().collect()}
+        spark = df.sparkSession
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for value in sorted(set(named) - loaded):
+            folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{cols[0]}={value}")
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def ingest_days(spark: SparkSession, src_glob: str | list[str], out: str) -> DataFrame:

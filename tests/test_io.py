@@ -48,6 +48,24 @@ def test_read_taps(spark, tmp_path):
     assert len(TAP_HEADERS) == len(TAPS_TEXT.fields)
 
 
+def test_columns_in_another_order_stop_the_read(spark, tmp_path):
+    names = list(TAP_HEADERS)
+    names[3], names[4] = names[4], names[3]
+    (tmp_path / "d.csv").write_text(",".join(names) + "\n" + ",".join("1" * len(names)), encoding="utf-8")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_taps_csv(spark, str(tmp_path)).collect()
+
+
+def test_a_month_that_became_empty_is_cleared(spark):
+    path = scratch_path(spark, "reload")
+    df = spark.createDataFrame([(1, "202501"), (2, "202502"), (3, "202503")], "id int, ym string")
+    writers.overwrite_partitions(df, path, ["ym"])
+    writers.overwrite_partitions(df.where("id = 1"), path, ["ym"], named=["202501", "202502"])
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [1, 3]
+    with pytest.raises(Exception, match="not among those named"):
+        writers.overwrite_partitions(df, path, ["ym"], named=["202501"])
+
+
 def test_regional_charset(spark, tmp_path):
     (tmp_path / "s.txt").write_bytes("id|이름\n1|서울역\n".encode("euc-kr"))
     schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType())])

@@ -10,7 +10,7 @@ from registry import ORACLES, QUERIES
 from registry.compare import difference, oracle_connection
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-ROWS_ONLY = {"q_l4_sample_rows", "q_a30_ks_normal"}
+ROWS_ONLY = {"q_a30_ks_normal"}
 UNWANTED = ["CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "MapInArrow"]
 
 
