@@ -327,6 +327,12 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 def _descend(large: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, found: list[DataFrame]) -> list[DataFrame]:
     """Take large nodes apart level by level: pivots' links are returned, groups of small nodes are added to ``found``."""
     links: list[DataFrame] = []
+    if large.isEmpty():
+        return links
+    # Levels read what these nodes hold, not the whole tables again.
+    own = large.select("key").distinct()
+    classes = _stored(classes.join(own, "key", "left_semi").select("key", "n_shingles", "sig"), "classes-of-nodes")
+    sets = _stored(sets.join(own, "key", "left_semi"), "sets-of-nodes")
     for level in range(1, LEVELS + 1):
         if large.isEmpty():
             break
@@ -369,16 +375,14 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     nodes = [_stored(_nodes(_branches(roots.where(tree), 0, BRANCHES)), "nodes") for tree in ("path = 1", "path > 1")]
     found = [_stored(groups(nodes[0].where(F.col("n") <= SMALL), classes, percent), "groups-of-nodes")]
     found.append(_stored(groups(nodes[1].where(F.col("n") <= SMALL), classes, percent, met_in(found[0])), "groups-of-nodes"))
-    large = [n.where(F.col("n") > SMALL) for n in nodes]
-    members = found[0].select("members").union(found[1].select("members")).select(F.explode("members").alias("key"))
-    wanted = members.union(large[0].select("key")).union(large[1].select("key")).distinct()
+    large = _union(nodes).where(F.col("n") > SMALL)
+    members = _union(found).select(F.explode("members").alias("key"))
+    wanted = members.union(large.select("key")).distinct()
     ids = wanted.join(classes, "key").select(F.col("least_id").alias("id")).distinct()
     texts = source.join(ids.hint("shuffle_hash"), source["id"].eqNullSafe(ids["id"]), "left_semi")
     sets = _stored(sets_of(texts, width).join(wanted, "key", "left_semi").dropDuplicates(["key"]), "sets")
 
-    links: list[DataFrame] = []
-    for start in large:
-        links += _descend(start, classes, sets, percent, found)
+    links = _descend(large, classes, sets, percent, found)
     every = _union(found)
     all_links = _union([links_within(every, sets, percent), *links])
     roots_of = connected(all_links)
