@@ -1,14 +1,16 @@
 """Approximate nearest neighbours by largest inner product: NN-descent, then greedy search of the graph.
 
-Equal vectors are one node. Random-projection cells give every node first neighbours; rounds of NN-descent improve
-them by Spark joins: each node brings its neighbours, old and new, in both directions together, and those
-neighbours of neighbours that are nearer than what a node has take their place. A query starts at its own node and
+Equal vectors are one node. Random-projection cells give every node first neighbours; a cell that holds too many
+nodes is split by further planes, each through the middle of that cell, until it is small. Rounds of NN-descent improve
+the neighbours by Spark joins: each node brings its neighbours, old and new, in both directions together, and those
+neighbours of neighbours that are nearer than what a node has take their place, until few new ones are left. A query starts at its own node and
 expands the nearest nodes that it has seen until none of its best ``BEAM`` is left to expand. Building and searching
 use vectors of one byte a component; the nearest ``BEAM`` are then scored in double precision on the originals.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -25,7 +27,10 @@ BESIDE = 2
 LEAF = 512
 #: New and old neighbours each that a node brings together in a round, in each direction.
 SAMPLE = 8
-ROUNDS = 2
+#: NN-descent ends when no more than this share of all neighbours is still new.
+SETTLED = 0.02
+#: Sets of planes a tree has for a further split; a cell takes one of them.
+SETS = 16
 BEAM = 120
 GRAPH = "id bigint, near array<bigint>, score array<float>, fresh array<boolean>"
 
@@ -115,8 +120,55 @@ def _emit(ids: np.ndarray, owner: np.ndarray, near: np.ndarray, score: np.ndarra
     )
 
 
+def split_cells(placed: DataFrame, nodes: DataFrame, leaf: int = LEAF) -> DataFrame:
+    """``placed`` (tree, cell, id) with cells of more than ``2 * leaf`` nodes split until they are small.
+
+    A plane goes through the median of its cell, so that it divides a tight cluster as well as any other. Only a cell
+    whose nodes all have one code is left large: no plane divides it.
+    """
+    done, left, turn = [], placed, 0
+    own = ["tree", "cell"]
+    while True:
+        large = _stored(left.groupBy(*own).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * leaf), "large")
+        most = large.agg(F.max("n")).first()[0]
+        done.append(left.join(large, own, "left_anti"))
+        if most is None:
+            return functools.reduce(DataFrame.union, done)
+        bits = int(math.log2(most / leaf))
+
+        def sides(batches, bits=bits, turn=turn):
+            planes = {}
+            for batch in batches:
+                x = _matrix(batch.column(3), batch.column(4)).astype(np.float32)
+                tree, cell = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                of = tree * SETS + cell % SETS
+                side = np.empty((len(x), bits), np.float32)
+                for k in np.unique(of).tolist():
+                    if k not in planes:
+                        planes[k] = np.random.default_rng([turn, k]).normal(size=(x.shape[1], bits)).astype(np.float32)
+                    side[of == k] = x[of == k] @ planes[k]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:3], batch.column(5), _lists(side.ravel(), np.full(len(x), bits), pa.float32())], names=["tree", "cell", "id", "n", "side"]
+                )
+
+        within = left.join(large, own).join(nodes.select("id", "c", "s"), "id").select(*own, "id", "c", "s", "n")
+        within = _stored(within.mapInArrow(sides, "tree bigint, cell bigint, id bigint, n bigint, side array<float>"), "sides")
+        each = [F.col("side")[b] for b in range(bits)]
+        middle = within.groupBy(*own).agg(
+            F.array(*[F.percentile_approx(p, 0.5) for p in each]).alias("middle"), F.array(*[F.max(p) for p in each]).alias("high"), F.array(*[F.min(p) for p in each]).alias("low")
+        )
+        # Each bit: above the middle; where nothing is above it, at the middle.
+        over = [F.when(F.col("middle")[b] < F.col("high")[b], p > F.col("middle")[b]).otherwise(p == F.col("high")[b]) for b, p in enumerate(each)]
+        # A cell takes as many planes as its size asks for.
+        code = F.concat_ws("", *[F.when(F.col("n") >= (leaf << (b + 1)), o.cast("int").cast("string")) for b, o in enumerate(over)])
+        met = within.join(middle, own).withColumn("flat", F.col("low") == F.col("high"))
+        met = _stored(met.select(*own, "id", "flat", F.xxhash64("cell", F.lit(turn), code).alias("to")), "split")
+        done.append(met.where("flat").select(*own, "id"))
+        left, turn = met.where("NOT flat").select("tree", F.col("to").alias("cell"), "id"), turn + 1
+
+
 def first_graph(nodes: DataFrame, n: int, most: int = NEIGHBOURS, trees: int = TREES, beside: int = BESIDE, leaf: int = LEAF) -> DataFrame:
-    """Neighbours within random-projection cells, each compared exhaustively in parts of about ``leaf`` nodes."""
+    """Neighbours within random-projection cells, each of up to ``2 * leaf`` nodes and compared exhaustively."""
     bits = max(0, math.ceil(math.log2(max(1, n / leaf))))
 
     def cells(batches):
@@ -131,8 +183,8 @@ def first_graph(nodes: DataFrame, n: int, most: int = NEIGHBOURS, trees: int = T
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), tree)), pa.array(extra.astype(np.int64)), batch.column(0)], names=["tree", "cell", "id"])
 
     placed = nodes.select("id", "c", "s").mapInArrow(cells, "tree bigint, cell bigint, id bigint")
-    placed = _stored(placed, "cells")
-    # Cells differ in size: a large one is dealt into parts.
+    placed = _stored(split_cells(_stored(placed, "cells"), nodes, leaf), "cells")
+    # Only nodes of one code are still more than that in a cell; all are equally near each other, whatever their part.
     sizes = placed.groupBy("tree", "cell").agg(F.count(F.lit(1)).alias("n"))
     part = F.pmod(F.xxhash64("id", "tree"), F.ceil(F.col("n") / (2 * leaf)))
     dealt = placed.join(sizes, ["tree", "cell"]).select("tree", "cell", part.alias("part"), "id")
@@ -191,6 +243,12 @@ def descend(graph: DataFrame, nodes: DataFrame, most: int = NEIGHBOURS, sample:
     return merged(kept.union(found), most)
 
 
+def unsettled(graph: DataFrame) -> float:
+    """Share of all neighbours that are new: not yet brought together with the others of their node."""
+    new = F.size(F.filter("fresh", lambda f: f))
+    return graph.agg(F.sum(new) / F.greatest(F.sum(F.size("near")), F.lit(1))).first()[0] or 0.0
+
+
 def search(starts: DataFrame, links: DataFrame, nodes: DataFrame, beam: int = BEAM) -> DataFrame:
     """(q, near): the best ``beam`` nodes that greedy search from each start (id) meets, the start among them."""
     begin = starts.join(nodes.select("id", "c", "s"), "id").select(F.col("id").alias("q"), "c", "s")
@@ -232,12 +290,13 @@ def search(starts: DataFrame, links: DataFrame, nodes: DataFrame, beam: int = BE
         state = _stored(state.join(scored, "q", "left").mapInArrow(run, "q bigint, c binary, s float, near array<bigint>, score array<float>, fresh array<boolean>"), "beams")
 
 
-def nearest(vectors: DataFrame, every: int = 20, top: int = 20, beam: int = BEAM, rounds: int = ROUNDS, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 20, top: int = 20, beam: int = BEAM, rounds: int | None = None, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): for each query (id divisible by ``every``) its ``top`` nearest found.
 
     Nearest first, ties to the smaller id; fewer where there are fewer rows. Null, empty and zero vectors, vectors with
     a null or non-finite component, vectors of an uncommon length and null ids take no part. Rows with one id count
-    once. Equal vectors are one node of the graph and all stand in the results. Other columns are ignored whatever
+    once. Equal vectors are one node of the graph and all stand in the results. ``rounds`` of NN-descent are made, as
+    many as it takes where none are given. Other columns are ignored whatever
     their names; an empty table gives an empty table.
     """
     rows = usable(vectors, id_col, vector_col)
@@ -245,8 +304,10 @@ def nearest(vectors: DataFrame, every: int = 20, top: int = 20, beam: int = BEAM
     members = _stored(rows.join(classes, "v").select("id", "node"), "members")
     nodes = _stored(coded(classes.select(F.col("node").alias("id"), "v")), "nodes")
     graph = _stored(first_graph(nodes, nodes.count()), "graph")
-    for k in range(rounds):
+    k = 0
+    while (unsettled(graph) > SETTLED) if rounds is None else (k < rounds):
         graph = _stored(descend(graph, nodes, seed=k), "graph")
+        k += 1
     edges = graph.select("id", F.explode(F.arrays_zip("near", "score")).alias("e")).select("id", F.col("e.near").alias("near"), F.col("e.score").alias("score"))
     # Of the nodes that have a node among their neighbours, its nearest.
     back = edges.select(F.col("near").alias("id"), F.col("id").alias("near"), "score")

@@ -366,6 +366,35 @@ def test_neighbours_are_found(spark):
     assert [(r["query_id"], r["rank"]) for r in few] == [(0, 1), (0, 2)]
 
 
+def test_a_hot_cluster_gets_near_neighbours(spark, monkeypatch):
+    draw = np.random.default_rng(4)
+    x = draw.normal(size=(5000, 24))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[:3000] = np.eye(24)[0] + 0.1 * x[:3000]  # nearly one cell of any planes through the origin
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[3000:3300] = x[3000] + 1e-6 * draw.normal(size=(300, 24))  # one code
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    nodes = neighbours.coded(vectors.toDF("id", "v"))
+    graph = {r["id"]: set(r["near"]) for r in neighbours.first_graph(nodes, 5000, leaf=32).collect()}
+    score = x @ x.T
+    np.fill_diagonal(score, -np.inf)
+    true = [set(row) for row in np.argsort(-score[:3000], 1)[:, :10].tolist()]
+    assert sum(len(t & graph[i]) for i, t in enumerate(true)) >= 0.5 * 10 * 3000
+    rounds, real = [], neighbours.descend
+
+    def spied(*args, **kw):
+        rounds.append(real(*args, **kw))
+        return rounds[-1]
+
+    monkeypatch.setattr(neighbours, "descend", spied)
+    got = collections.defaultdict(set)
+    for r in neighbours.nearest(vectors, top=10).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    fresh = [f for r in rounds[-1].collect() for f in r["fresh"]]
+    assert np.mean(fresh) <= 0.02
+    assert sum(len(true[i] & got[i]) for i in range(0, 3000, 20)) >= 0.9 * 10 * 150
+
+
 # 2: quality classifier
 
 
