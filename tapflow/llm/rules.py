@@ -3,7 +3,9 @@
 A public vocabulary with byte fallback is measured on each text: characters per token, the share of byte-fallback
 tokens and the entropy (bits) of its tokens. A text is rejected when a measure lies outside the band of its
 language (of its script, where no language is given). Bands come from all texts of the group: the quartiles,
-widened by ``WIDTH`` times their distance.
+widened by ``WIDTH`` times their distance, a source with very many of the texts counting as ``SOURCE_SHARE`` of them.
+A language of few texts takes the band of their script, a script of few texts that of all. No band reaches beyond the
+fixed limits of the text's script, so a group that is largely bad does not set its own measure.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tapflow.session import scratch_path
 
@@ -29,6 +31,18 @@ MAX_REPEAT_PERCENT = 30
 WIDTH = 4.0
 #: Narrowest band on each side, so that groups of near-equal texts reject no ordinary one.
 LEAST = {"chars_per_token": 0.15, "byte_share": 0.02, "token_entropy": 1.0}
+#: Texts that a language or script needs for a band of its own.
+MIN_GROUP = 50
+#: A source's texts count as this share of its group's at most; shares are of the group before any is bounded.
+SOURCE_SHARE = 0.1
+#: Steps in which quartiles are taken, and the largest value told apart.
+STEP = {"chars_per_token": (0.01, 100.0), "byte_share": (0.001, 1.0), "token_entropy": (0.01, 20.0)}
+#: Lowest and highest value of each measure in any band, by script; the last for scripts not named.
+LIMITS = {
+    "latin": {"chars_per_token": (1.2, 8.0), "byte_share": (0.0, 0.3), "token_entropy": (2.0, 15.0)},
+    **dict.fromkeys(("greek", "cyrillic", "hebrew", "arabic"), {"chars_per_token": (0.6, 8.0), "byte_share": (0.0, 0.5), "token_entropy": (2.0, 15.0)}),
+    "": {"chars_per_token": (0.25, 8.0), "byte_share": (0.0, 0.9), "token_entropy": (2.0, 15.0)},
+}
 MEASURES = (
     "group string, script string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
     "n_tokens bigint, chars_per_token double, byte_share double, token_entropy double"
@@ -159,49 +173,92 @@ def measures(docs: DataFrame, path: str, keys: list[str], lang_col: str | None =
     return source.mapInArrow(run, ", ".join([*kinds, MEASURES]))
 
 
+def _limit(measure: str, side: int):
+    """The fixed limit of a row's script."""
+    out = F.lit(LIMITS[""][measure][side])
+    for script, limits in LIMITS.items():
+        if script:
+            out = F.when(F.col("script") == script, F.lit(limits[measure][side])).otherwise(out)
+    return out
+
+
+def quartiles(measured: DataFrame) -> DataFrame:
+    """(key, n, low_x, high_x for each measure x): n texts with enough words and their quartiles, in steps of ``STEP``.
+
+    ``key`` is 'l:' with a language, 's:' with a script, or 'all'. All is combined before a shuffle; what is ordered
+    are the steps of one key, of which there are few thousand.
+    """
+    keys = F.array(F.concat(F.lit("l:"), "group"), F.concat(F.lit("s:"), "script"), F.lit("all"))
+    steps = F.array(*[F.struct(F.lit(m).alias("m"), F.round(F.least(F.col(m), F.lit(most)) / step).cast("long").alias("at")) for m, (step, most) in STEP.items()])
+    source = F.coalesce(F.concat(F.lit("s"), "source"), F.lit(""))
+    texts = measured.where(F.col("n_words") >= MIN_WORDS).select(F.explode(keys).alias("key"), source.alias("source"), steps.alias("steps"))
+    per_source = texts.groupBy("key", "source").agg(F.count(F.lit(1)).alias("own"))
+    per_key = per_source.groupBy("key").agg(F.sum("own").alias("n"))
+    weight = per_source.join(per_key, "key").select("key", "source", F.least(F.lit(1.0), SOURCE_SHARE * F.col("n") / F.col("own")).alias("weight"))
+    counted = texts.select("key", "source", F.inline("steps")).groupBy("key", "source", "m", "at").agg(F.count(F.lit(1)).alias("times"))
+    total = counted.join(weight, ["key", "source"]).groupBy("key", "m", "at").agg(F.sum(F.col("times") * F.col("weight")).alias("w"))
+    each = Window.partitionBy("key", "m")
+    ranked = total.select("key", "m", "at", F.sum("w").over(each.orderBy("at")).alias("below"), F.sum("w").over(each).alias("whole"))
+    out = []
+    for m, (step, _) in STEP.items():
+        for name, share in (("low", 0.25), ("high", 0.75)):
+            out.append((F.min(F.when((F.col("m") == m) & (F.col("below") >= share * F.col("whole") - 1e-9), F.col("at"))) * step).alias(f"{name}_{m}"))
+    return ranked.groupBy("key").agg(*out).join(per_key, "key")
+
+
 def bands(measured: DataFrame) -> DataFrame:
-    """(group, low_x, high_x for each measure x), from all texts with enough words."""
-    long_enough = measured.where(F.col("n_words") >= MIN_WORDS)
-    quartiles = long_enough.groupBy("group").agg(
-        *[F.percentile_approx(m, [0.25, 0.75], 10_000).alias(m) for m in LEAST]
-    )
-    out = [F.col("group")]
+    """(group, script, low_x, high_x for each measure x), from all texts with enough words."""
+    found = quartiles(measured)
+    names = [c for c in found.columns if c not in ("key", "n")]
+    pairs = measured.where(F.col("n_words") >= MIN_WORDS).select("group", "script").distinct()
+    for level, key in (("l", F.concat(F.lit("l:"), "group")), ("s", F.concat(F.lit("s:"), "script")), ("a", F.lit("all"))):
+        band = F.struct(*names).alias(level)
+        enough = F.lit(True) if level == "a" else F.col("n") >= MIN_GROUP
+        pairs = pairs.withColumn("key", key).join(found.where(enough).select("key", band), "key", "left").drop("key")
+    pairs = pairs.select("group", "script", F.coalesce("l", "s", "a").alias("b"))
+    out = [F.col("group"), F.col("script")]
     for m, least in LEAST.items():
-        room = F.greatest((F.col(m)[1] - F.col(m)[0]) * WIDTH, F.lit(least))
-        out += [(F.col(m)[0] - room).alias(f"low_{m}"), (F.col(m)[1] + room).alias(f"high_{m}")]
-    return quartiles.select(*out)
+        low, high = F.col(f"b.low_{m}"), F.col(f"b.high_{m}")
+        room = F.greatest((high - low) * WIDTH, F.lit(least))
+        out += [F.greatest(low - room, _limit(m, 0)).alias(f"low_{m}"), F.least(high + room, _limit(m, 1)).alias(f"high_{m}")]
+    return pairs.select(*out)
 
 
 def judged(measured: DataFrame) -> DataFrame:
     """``measured`` with ``base_failed`` and ``kept``.
 
-    ``measured`` is read twice (bands, verdict): hand over a stored table. A group without a text of
+    ``measured`` is read several times (bands, verdict): hand over a stored table. A group without a text of
     ``MIN_WORDS`` words has no band; all its texts fail the base rule anyway.
     """
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     inside = F.lit(True)
     for m in LEAST:
         inside = inside & F.col(m).between(F.col(f"low_{m}"), F.col(f"high_{m}"))
-    joined = measured.join(bands(measured), "group", "left")
+    joined = measured.join(bands(measured), ["group", "script"], "left")
     return joined.withColumn("base_failed", failed).withColumn("kept", ~failed & F.coalesce(inside, F.lit(True)))
 
 
-def quality_rules(docs: DataFrame, path: str, id_col: str = "doc_id", lang_col: str | None = "lang", text_col: str = "text") -> DataFrame:
+def _source(docs: DataFrame, source_col: str | None):
+    """The source, null where the table has none."""
+    return (F.col(source_col).cast("string") if source_col in docs.columns else F.lit(None).cast("string")).alias("source")
+
+
+def quality_rules(docs: DataFrame, path: str, id_col: str = "doc_id", lang_col: str | None = "lang", text_col: str = "text", source_col: str | None = "source") -> DataFrame:
     """(id, measures, base_failed, kept), one row per row of ``docs``.
 
     A null text has no words and fails the base rule, as the empty text does. A null language is replaced by the
-    text's script. Null ids and repeated rows keep their rows; other columns are ignored whatever their names; an
+    text's script. ``source_col`` bounds a source's weight in the bands, where the table has it. Null ids and repeated rows keep their rows; other columns are ignored whatever their names; an
     empty table gives an empty table. The measures, a few numbers per text, are stored once in the shared folder.
     """
     spark = docs.sparkSession
     stored = scratch_path(spark, "measures")
-    measures(docs.select(F.col(id_col).alias("__id"), *([F.col(lang_col).alias("__l")] if lang_col else []), F.col(text_col).alias("__t")), path, ["__id"], "__l" if lang_col else None, "__t").write.parquet(stored)
+    measures(docs.select(F.col(id_col).alias("__id"), _source(docs, source_col), *([F.col(lang_col).alias("__l")] if lang_col else []), F.col(text_col).alias("__t")), path, ["__id", "source"], "__l" if lang_col else None, "__t").write.parquet(stored)
     done = judged(spark.read.parquet(stored))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return done.select(F.col("__id").alias(id_col), *base, "script", "n_tokens", *LEAST)
 
 
-def keep_within(docs: DataFrame, path: str, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+def keep_within(docs: DataFrame, path: str, lang_col: str = "lang", text_col: str = "text", source_col: str | None = "source") -> DataFrame:
     """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns.
 
     A verdict depends on language and text alone, so rows meet it by digests of both; the row's other columns only
@@ -211,6 +268,6 @@ def keep_within(docs: DataFrame, path: str, lang_col: str = "lang", text_col: st
     spread_by = F.xxhash64(*[c for c in docs.columns if c not in (lang_col, text_col)]).alias("__s")
     keyed = docs.select("*", *own, spread_by)
     stored = scratch_path(docs.sparkSession, "measures")
-    measures(keyed.select("__h1", "__h2", "__s", F.col(lang_col).alias("__l"), F.col(text_col).alias("__t")), path, ["__h1", "__h2", "__s"], "__l", "__t").write.parquet(stored)
+    measures(keyed.select("__h1", "__h2", "__s", _source(docs, source_col), F.col(lang_col).alias("__l"), F.col(text_col).alias("__t")), path, ["__h1", "__h2", "__s", "source"], "__l", "__t").write.parquet(stored)
     good = judged(docs.sparkSession.read.parquet(stored)).where("kept").select("__h1", "__h2", "__s")
     return keyed.join(good.hint("shuffle_hash"), ["__h1", "__h2", "__s"], "left_semi").select(*docs.columns)

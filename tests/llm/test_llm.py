@@ -209,6 +209,28 @@ def test_fertility_bands_reject_another_script(spark):
     assert all(kept[i] for i in range(200))
 
 
+def test_a_hot_bad_source_and_lone_languages_do_not_set_their_own_bands(spark):
+    draw = random.Random(3)
+    words = ["water", "house", "people", "little", "between", "another", "example", "country"]
+
+    def junk():
+        return " ".join("".join(chr(draw.randint(0x12000, 0x12300)) for _ in range(5)) for _ in range(60))
+
+    def letters():
+        return " ".join("".join(draw.choice("bcdfghjklmnpqrstvwxz") for _ in range(12)) for _ in range(60))
+
+    rows = [(i, " ".join(draw.choice(words) + draw.choice(words) for _ in range(60)), "en", f"s{i % 20}") for i in range(400)]
+    rows += [(1000 + i, junk() if i % 2 else letters(), "en", "hot") for i in range(200)]
+    rows += [(2000, junk(), "xx", "s1"), (2001, junk(), None, "s1"), (2002, letters(), "yy", "s1"), (2003, rows[0][1], "zz", "s1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    kept = {r["doc_id"] for r in rules.quality_rules(docs, PIECES).where("kept").collect()}
+    assert kept == {*range(400), 2003}
+    assert {r["doc_id"] for r in rules.keep_within(docs, PIECES).collect()} == kept
+    # Without sources the limits alone still reject the other script.
+    kept = {r["doc_id"] for r in rules.quality_rules(docs.drop("source"), PIECES).where("kept").collect()}
+    assert kept >= {*range(400), 2003} and not kept & {2000, 2001, *range(1001, 1200, 2)}
+
+
 # 1: licences
 
 
