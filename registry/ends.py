@@ -267,6 +267,14 @@ def g8(spark, sf):
 
 
 _REPORTED = ["event_id", "op_date", "card_id", "region_code", "vehicle_id", "mode_code", "board_stop", "alight_stop"]
+_REPORTED += ["operator_id", "card_kind", "route_id", "board_ts", "alight_ts", "txn_id", "transfer_no", "user_type", "riders", "distance", "ride_sec"]
+# Times as text, with the faults of q_p10_bad_timestamps.
+_STAMPS = """FROM (SELECT ts_text, coalesce(TRY_CAST(substr(ts_text, 11, 1) AS INTEGER) > 5 OR TRY_CAST(substr(ts_text, 13, 1) AS INTEGER) > 5, FALSE) AS bad_digit,
+  try_strptime(ts_text, '%Y%m%d%H%M%S') IS NULL AS unparsable,
+  coalesce(date_diff('day', op_date, CAST(try_strptime(ts_text, '%Y%m%d%H%M%S') AS DATE)) NOT IN (0, 1), FALSE) AS other_day
+ FROM (SELECT op_date, CASE event_id % 11 WHEN 3 THEN strftime(board_ts, '%Y%m%d%H') || '6130' WHEN 5 THEN strftime(board_ts, '%Y%m%d') || '2A0000'
+  WHEN 7 THEN '20230115' || strftime(board_ts, '%H%M%S') WHEN 9 THEN NULL ELSE strftime(board_ts, '%Y%m%d%H%M%S') END AS ts_text FROM taps))
+ WHERE ts_text IS NOT NULL"""
 _AUDIT = "FROM modes m LEFT JOIN raw_stops s ON m.board_stop = s.stop_id AND m.region_code = s.region_code AND m.mode = s.mode"
 _E5 = [
     *[f"SELECT 'nulls' AS section, '{c}' AS item, CAST(count(*) - count({c}) AS DOUBLE) AS value FROM taps" for c in _REPORTED],
@@ -284,6 +292,10 @@ _E5 = [
         }.items()
     ],
     "SELECT 'inverted', 'rows', CAST(count(*) AS DOUBLE) FROM taps WHERE alight_ts < board_ts AND board_stop <> alight_stop",
+    *[
+        f"SELECT 'bad_timestamps', '{k}', CAST(count(*) AS DOUBLE) {_STAMPS} AND ({t})"
+        for k, t in {"all.rows": "bad_digit OR unparsable OR other_day", "all.bad_digit": "bad_digit", "all.unparsable": "unparsable", "all.other_day": "other_day"}.items()
+    ],
     f"SELECT 'board_stops', 'all.matched', CAST(count(s.stop_id) AS DOUBLE) {_AUDIT}",
     f"SELECT 'board_stops', 'all.unmatched', CAST(count(*) - count(s.stop_id) AS DOUBLE) {_AUDIT}",
     f"SELECT 'by_region', m.region_code || '.matched', CAST(count(s.stop_id) AS DOUBLE) {_AUDIT} GROUP BY m.region_code",
@@ -299,21 +311,22 @@ _E5 = [
 
 @query("q_e5_quality_report", " UNION ALL ".join(_E5), "taps", "raw_stops", "modes")
 def e5(spark, sf):
+    from .rows import tap_texts
     from .standin import table
 
     served = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("stop_id"))
     legs = jobs.staged(taps(spark, sf), "taps")
-    report = jobs.quality_report(legs, raw_stops(spark, sf), served)
-    listed = F.col("column_name").isin(*_REPORTED)
+    report = jobs.quality_report(legs, raw_stops(spark, sf), served, tap_texts(spark, sf))
     whole = F.lit("all")
     return stacked(
         [
-            figures("nulls", report["nulls"].where(listed), F.col("column_name"), "nulls"),
-            figures("columns", report["columns"].where(listed), F.col("column_name"), "unique_count"),
+            figures("nulls", report["nulls"], F.col("column_name"), "nulls"),
+            figures("columns", report["columns"], F.col("column_name"), "unique_count"),
             figures("key_copies", report["key_copies"].agg(F.count(F.lit(1)).alias("n")), F.lit("keys"), "n"),
             figures("card_lengths", report["card_lengths"], F.col("len").cast("string"), "n"),
             figures("coordinates", report["coordinates"], F.col("issue"), "n"),
             figures("inverted", report["inverted"], F.lit("rows"), "rows"),
+            figures("bad_timestamps", report["bad_timestamps"], whole, "rows", "bad_digit", "unparsable", "other_day"),
             figures("board_stops", report["board_stops"], whole, "matched", "unmatched"),
             figures("by_region", report["board_stops_by_region"], F.col("grp"), "matched", "rows"),
             figures("stop_ids", report["stop_ids"], whole, "only_a", "only_b"),

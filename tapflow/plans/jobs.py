@@ -143,8 +143,19 @@ def catchment_report(
     }
 
 
-def quality_report(taps: DataFrame, stops: DataFrame, route_stops: DataFrame) -> dict[str, DataFrame]:
-    """Profiles and integrity checks of a tap extract and its dimensions."""
+def quality_report(
+    taps: DataFrame, stops: DataFrame, route_stops: DataFrame, raw: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Profiles and integrity checks of a tap extract and its dimensions.
+
+    ``raw``: (ts_text, date_text) of the extract before its times are parsed; without it the boarding times are
+    checked as they were parsed, which shows other days only.
+    """
+    if raw is None:
+        raw = taps.select(
+            F.date_format("board_ts", "yyyyMMddHHmmss").alias("ts_text"), F.date_format("op_date", "yyyyMMdd").alias("date_text")
+        )
+    faults = [F.count_if(c).alias(c) for c in ("bad_digit", "unparsable", "other_day")]
     key = {"board_stop": "stop_id", "region_code": "region_code", "mode": "mode"}
     moded = clean.with_mode(taps, "mode_code")
     return {
@@ -154,6 +165,7 @@ def quality_report(taps: DataFrame, stops: DataFrame, route_stops: DataFrame) ->
         "card_lengths": quality.length_profile(taps, "card_id"),
         "coordinates": clean.coord_issues(stops, "gps_x", "gps_y"),
         "inverted": clean.inverted(taps).agg(F.count(F.lit(1)).alias("rows")),
+        "bad_timestamps": clean.bad_timestamps(raw, "ts_text", "date_text").agg(F.count(F.lit(1)).alias("rows"), *faults),
         "board_stops": enrich.join_audit(moded, stops, key, "board_stop"),
         "board_stops_by_region": enrich.join_audit_by(moded, stops, key, "board_stop", "region_code"),
         "stop_ids": quality.key_diff(route_stops, stops, "stop_id", "stop_id"),
