@@ -225,6 +225,10 @@ _G8 = [
         for lo, hi, label in zip(quality.DISTANCE_EDGES, quality.DISTANCE_EDGES[1:], quality.DISTANCE_LABELS)
     )
     + """) b(lo, hi, label) LEFT JOIN around_gaps g ON g.distance >= b.lo AND g.distance < b.hi GROUP BY b.label""",
+    f"""SELECT 'return_bins', 'no class', CAST(count(*) AS DOUBLE) FROM around_gaps
+ WHERE distance IS NULL OR distance < {quality.DISTANCE_EDGES[0]} OR distance >= {quality.DISTANCE_EDGES[-1]} HAVING count(*) > 0""",
+    f"""SELECT 'commuters', concat_ws('.', op_date, card_id, board_stop, alight_stop), CAST(count(*) AS DOUBLE)
+ FROM (SELECT t.* FROM around_two {_IN.format('around_commute')}) GROUP BY op_date, card_id, board_stop, alight_stop""",
     """SELECT 'hours', CAST(hour(a) AS VARCHAR) || '.' || CAST(hour(b) AS VARCHAR), CAST(count(*) AS DOUBLE)
  FROM (SELECT min(alight_ts) AS a, max(board_ts) AS b FROM around_two GROUP BY op_date, card_id) GROUP BY hour(a), hour(b)""",
 ]
@@ -246,6 +250,7 @@ def g8(spark, sf):
     report = jobs.catchment_report(
         trips, stops, district_centres(stops), CATCHMENT_METRES, ["op_date", "card_id"]
     )
+    ends = ["op_date", "card_id", "board_stop", "alight_stop"]
     stamp = F.date_format("bin", "yyyy-MM-dd HH:mm:ss")
     hours = report["hours"].select(
         "arrival_hour",
@@ -260,8 +265,9 @@ def g8(spark, sf):
             figures("means", report["means"], F.col("end"), "mean_sec", "mean_m"),
             figures("board_curve", report["board_curve"], stamp, "n"),
             figures("alight_curve", report["alight_curve"], stamp, "n"),
-            figures("return_bins", report["return_bins"].where(F.col("bin").isNotNull()), F.col("bin"), "n"),
+            figures("return_bins", report["return_bins"], F.coalesce("bin", F.lit("no class")), "n"),
             figures("hours", hours.where(F.col("n") > 0), F.concat_ws(".", "arrival_hour", "h"), "n"),
+            figures("commuters", report["commuters"].groupBy(*ends).count(), F.concat_ws(".", *ends), "count"),
         ]
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from registry import QUERIES
 from tapflow.plans import jobs
 
 from .conftest import TAP_DDL, leg
@@ -18,3 +19,12 @@ def test_report_counts_impossible_timestamps(spark):
     assert tuple(got) == (3, 1, 2, 1)
     got = jobs.quality_report(taps, stops, stops.select("stop_id"))["bad_timestamps"].first()
     assert tuple(got) == (1, 0, 0, 1)
+
+
+def test_catchment_query_holds_every_part(spark):
+    rows = QUERIES["q_g8_catchment_report"](spark, "/root/testdata/sf0.01").collect()
+    value = {(r["section"], r["item"]): r["value"] for r in rows}
+    two_trip_days = sum(v for (s, _), v in value.items() if s == "hours")
+    assert sum(v for (s, _), v in value.items() if s == "return_bins") == two_trip_days
+    assert sum(v for (s, _), v in value.items() if s == "commuters") == value["funnel", "commuting.rows"]
+    assert any(s == "commuters" for s, _ in value)
