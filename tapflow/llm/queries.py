@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tapflow.session import scratch_path
 
-from . import bpe, licenses, neardup, neighbours, packing, quality, rules, secrets, tokencounts, urlfilters
+from . import bpe, licenses, merkle, neardup, negatives, neighbours, packing, quality, rules, secrets, simhash, tokencounts, urlfilters
 from .oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +79,18 @@ def op9_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    return negatives.mined(table(spark, sf, "embeddings"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.tampered_documents(table(spark, sf, "documents"))
+
+
+@query
+def op13_simhash_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf, "documents"))
