@@ -14,7 +14,7 @@ from .aggregates import OD_ROUNDED, cell_od_sql, clean_stops, modal_views, trips
 from .catalog import query, rounded
 from .joins import district_centres
 from .places import monthly_od, wkt_sql
-from .standin import cte, holidays, raw_stops, taps
+from .standin import cte, holidays, month_taps, raw_stops, stop_snapshots, taps
 from .windows import DWELL_ROUNDED, CATCHMENT_METRES, dwell_stats_sql, dwell_views
 from tapflow.functions.geo import LOCAL_FROM, LOCAL_TO
 
@@ -31,6 +31,18 @@ def e1(spark, sf):
     return rounded(monthly_od(spark, sf), *OD_ROUNDED)
 
 
+@query(
+    "q_e1_commute_od_of_months",
+    """
+SELECT ym, board_stop, split_part(board_region, '@', 1) AS board_region, board_mode, alight_stop, split_part(alight_region, '@', 1) AS alight_region,
+  alight_mode, trip_type, trips, distance_avg, distance_median, time_avg, time_median, board_name, board_grid, alight_name, alight_grid FROM m_od_grid
+""",
+    "m_od_grid",
+)
+def e1_months(spark, sf):
+    return rounded(jobs.commute_od_of_months(month_taps(spark, sf), stop_snapshots(spark, sf), holidays(spark)), *OD_ROUNDED)
+
+
 cte(
     "tagged_sc",
     """

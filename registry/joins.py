@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from tapflow.functions.geo import GRID_X_LETTERS, GRID_Y_LETTERS, LOCAL_FROM, LOCAL_TO
 
-from tapflow.operators import clean, enrich, ordering, quality, spatial
+from tapflow.functions.times import year_month
+from tapflow.operators import clean, enrich, history, ordering, quality, spatial
 from tapflow.operators.trips import purpose_trips, purpose_trips_by_leg
 
 from .catalog import query
-from .standin import cte, raw_stops, table, taps
+from .standin import cte, month_taps, raw_stops, stop_snapshots, table, taps
 
 TRIP_COLUMNS = """op_date, card_id, txn_id, board_stop, alight_stop, board_ts, alight_ts, board_region, alight_region,
   board_mode, alight_mode, total_distance, total_ride_sec"""
@@ -36,6 +37,25 @@ def j1(spark, sf):
     )
 
 
+@query(
+    "q_j1_enrich_stops_of_month",
+    """
+SELECT t.op_date, t.card_id, t.txn_id, t.event_id, b.stop_name AS board_stop_name, b.gps_x AS board_gps_x, a.stop_name AS alight_stop_name, a.gps_x AS alight_gps_x
+FROM (SELECT *, strftime(op_date, '%Y%m') AS ym, CASE WHEN mode_code BETWEEN 200 AND 299 THEN 'T' ELSE 'B' END AS mode FROM month_taps) t
+LEFT JOIN month_stops b ON t.ym = b.ym AND t.board_stop = b.stop_id AND t.region_code = b.region_code AND t.mode = b.mode
+LEFT JOIN month_stops a ON t.ym = a.ym AND t.alight_stop = a.stop_id AND t.region_code = a.region_code AND t.mode = a.mode
+""",
+    "month_taps",
+    "month_stops",
+)
+def j1_month(spark, sf):
+    legs = clean.with_mode(month_taps(spark, sf), "mode_code").withColumn("ym", year_month(F.col("op_date")))
+    ends = legs.withColumns({f"{side}_{c}": F.col(of) for side in ("board", "alight") for c, of in (("region", "region_code"), ("mode", "mode"))})
+    held = history.versions(stop_snapshots(spark, sf), ["stop_id", "region_code", "mode"])
+    named = enrich.enrich_stops(ends, held, ["stop_name", "gps_x"], month="ym")
+    return named.select("op_date", "card_id", "txn_id", "event_id", "board_stop_name", "board_gps_x", "alight_stop_name", "alight_gps_x")
+
+
 @query(
     "q_j4_canonicalise_stops",
     """

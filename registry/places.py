@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from tapflow.functions.geo import LOCAL_FROM, LOCAL_TO, local_grid
 from tapflow.operators import anchors as anchor_ops
-from tapflow.operators import clean, spatial
+from tapflow.operators import clean, history, spatial
 from tapflow.plans import jobs
 
 from .aggregates import anchored, clean_stops, trips_of
 from .catalog import query, rounded
-from .standin import cte, holidays, raw_stops, taps
+from .standin import cte, holidays, metres_sql, cell_sql, raw_stops, stop_snapshots, taps
 
 
 @query(
@@ -28,6 +28,42 @@ def g1(spark, sf):
     )
 
 
+_CHANGED = "(stop_id % 3 = 0 OR stop_id % 4 = 0 AND raw_x < 1000)"
+
+
+cte(
+    "stop_spans",
+    f"""
+SELECT stop_id, mode, span[1] AS valid_from, span[2] AS valid_to FROM (
+ SELECT stop_id, mode, unnest(CASE WHEN stop_id % 50 = 7 THEN [['202312', '202402'], ['202403', '999999']]
+  WHEN {_CHANGED} THEN [['202312', '202402'], ['202402', '999999']] ELSE [['202312', '999999']] END) AS span
+ FROM (SELECT *, gps_x AS raw_x FROM raw_stops))
+""",
+    "raw_stops",
+)
+
+
+@query(
+    "q_g1_stop_history",
+    f"""
+SELECT stop_id, region_code, mode, stop_name, xy_suspect, round(CASE WHEN xy_suspect = 0 THEN x_5179 END, 2) AS x_5179,
+  round(CASE WHEN xy_suspect = 0 THEN y_5179 END, 2) AS y_5179, valid_from, valid_to,
+  CASE WHEN xy_suspect = 0 THEN {cell_sql("x_5179", "y_5179")} END AS grid_id
+FROM ({metres_sql('''SELECT stop_id, region_code, mode, stop_name, valid_from, valid_to, CASE WHEN gps_y > 100 AND gps_x < 100 THEN gps_y ELSE gps_x END AS gps_x,
+  CASE WHEN gps_y > 100 AND gps_x < 100 THEN gps_x ELSE gps_y END AS gps_y, CAST((gps_y > 100) <> (gps_x < 100) AS INTEGER) AS xy_suspect
+ FROM (SELECT s.*, v.valid_from, v.valid_to FROM stop_spans v JOIN stop_snapshots s ON s.ym = v.valid_from AND s.stop_id = v.stop_id AND s.mode = v.mode)
+ WHERE gps_x < 1000 AND gps_y < 1000''', "gps_x", "gps_y")})
+""",
+    "stop_spans",
+    "stop_snapshots",
+)
+def g1_history(spark, sf):
+    """Versions of the stops; the SQL states which stops change when."""
+    return rounded(history.stop_history(stop_snapshots(spark, sf)), "x_5179", "y_5179", digits=2).select(
+        "stop_id", "region_code", "mode", "stop_name", "xy_suspect", "x_5179", "y_5179", "valid_from", "valid_to", "grid_id"
+    )
+
+
 def wkt_sql(cell: str) -> str:
     """Letters to 100 km steps, digits to metres."""
     x, y = f"instr('ABCDEFG', substr({cell}, 1, 1))", f"instr('BCDEFGH', substr({cell}, 2, 1))"

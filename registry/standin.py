@@ -9,6 +9,7 @@ coordinates; taps of region R9 find no stop.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -94,6 +95,32 @@ def raw_stops(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: Month of each stop snapshot; the one before the first month of taps serves it, the last is later than all taps.
+SNAPSHOTS = ["202312", "202402", "202403"]
+
+
+def month_taps(spark: SparkSession, sf: str) -> DataFrame:
+    """Taps of two months: a third of the cards travel in January, a third in February, the others in both."""
+    legs = taps(spark, sf)
+    turn, late = F.col("card_id").cast("int") % 3, F.dayofmonth("op_date") >= 16
+    days = F.when(turn == 0, 31).when((turn == 2) & late, 16).otherwise(0)
+    return legs.withColumns(
+        {**{c: F.timestamp_add("DAY", days, F.col(c)) for c in ("board_ts", "alight_ts")}, "op_date": F.date_add("op_date", days)}
+    )
+
+
+def stop_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """Three extracts of the stops: in February some are renamed, some moved, some gone, in March some are back."""
+    k, later = F.col("stop_id"), F.col("ym") >= "202402"
+    shots = raw_stops(spark, sf).withColumn("ym", F.explode(F.array(*[F.lit(m) for m in SNAPSHOTS])))
+    return shots.where(~((F.col("ym") == "202402") & (k % 50 == 7))).withColumns(
+        {
+            "stop_name": F.when(later & (k % 3 == 0), F.concat("stop_name", F.lit(" new"))).otherwise(F.col("stop_name")),
+            "gps_x": F.when(later & (k % 4 == 0) & (F.col("gps_x") < 1000), F.col("gps_x") + 0.003).otherwise(F.col("gps_x")),
+        }
+    )
+
+
 def holidays(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(dt.date(2024, 1, 1),)], "holiday_date date")
 
@@ -109,6 +136,19 @@ def cte(name: str, text: str, *needs: str) -> None:
     NEEDS[name] = list(needs)
 
 
+def views_with(prefix: str, root: str, **other: str) -> None:
+    """The views below ``root`` once more, each name led by ``prefix``, on other base views."""
+
+    def closure(name: str) -> list[str]:
+        return [x for n in NEEDS[name] for x in closure(n)] + [name]
+
+    names = [n for n in dict.fromkeys(closure(root)) if n not in other]
+    new = {n: f"{prefix}{n}" for n in names} | other
+    for n in names:
+        text = re.sub(r"\b(FROM|JOIN)(\s+)(\w+)", lambda m: m[1] + m[2] + new.get(m[3], m[3]), CTE[n])
+        cte(new[n], text, *[new[x] for x in NEEDS[n]])
+
+
 def sql(body: str, *needs: str) -> str:
     """``body`` preceded by the views it needs, in order."""
     order: list[str] = []
@@ -458,3 +498,53 @@ LEFT JOIN stops a ON p.alight_stop = CAST(a.stop_id AS VARCHAR) AND p.alight_reg
     "od",
     "stops",
 )
+
+
+# --- two months of taps, three snapshots of the stops -----------------------------------------
+cte(
+    "month_taps",
+    """
+SELECT * EXCLUDE (days) REPLACE (op_date + days AS op_date, board_ts + to_days(days) AS board_ts, alight_ts + to_days(days) AS alight_ts)
+FROM (SELECT *, CASE WHEN CAST(card_id AS INTEGER) % 3 = 0 THEN 31 WHEN CAST(card_id AS INTEGER) % 3 = 2 AND day(op_date) >= 16 THEN 16 ELSE 0 END AS days FROM taps)
+""",
+    "taps",
+)
+cte(
+    "stop_snapshots",
+    f"""
+SELECT r.* REPLACE (CASE WHEN ym >= '202402' AND stop_id % 3 = 0 THEN stop_name || ' new' ELSE stop_name END AS stop_name,
+  CASE WHEN ym >= '202402' AND stop_id % 4 = 0 AND gps_x < 1000 THEN gps_x + 0.003::DOUBLE ELSE gps_x END AS gps_x), ym
+FROM raw_stops r, (SELECT unnest({SNAPSHOTS}) AS ym) WHERE NOT (ym = '202402' AND stop_id % 50 = 7)
+""",
+    "raw_stops",
+)
+cte(
+    "month_stops",
+    """
+SELECT s.* REPLACE (m.ym AS ym) FROM (SELECT DISTINCT strftime(op_date, '%Y%m') AS ym FROM month_taps) m
+JOIN stop_snapshots s ON s.ym = (SELECT max(x.ym) FROM stop_snapshots x WHERE x.ym <= m.ym)
+""",
+    "month_taps",
+    "stop_snapshots",
+)
+# A month is part of the card and of the region, so the views of one month serve many.
+cte(
+    "m_taps",
+    """
+SELECT * REPLACE (strftime(op_date, '%Y%m') || '|' || card_id AS card_id, region_code || '@' || strftime(op_date, '%Y%m') AS region_code)
+FROM month_taps
+""",
+    "month_taps",
+)
+cte("m_raw_stops", "SELECT * EXCLUDE (ym) REPLACE (region_code || '@' || ym AS region_code) FROM month_stops", "month_stops")
+cte(
+    "m_transfer_map",
+    """
+SELECT CAST(s.stop_id AS VARCHAR) AS stop_id, s.region_code, s.mode, CAST(c.lowest AS VARCHAR) AS canonical_stop_id
+FROM m_stops s JOIN (SELECT region_code, stop_name, min(stop_id) AS lowest FROM m_stops WHERE mode = 'T'
+                     GROUP BY ALL HAVING count(DISTINCT stop_id) > 1) c ON s.stop_name = c.stop_name AND s.region_code = c.region_code
+WHERE s.mode = 'T'
+""",
+    "m_stops",
+)
+views_with("m_", "od_grid", taps="m_taps", raw_stops="m_raw_stops", transfer_map="m_transfer_map", holidays="holidays")

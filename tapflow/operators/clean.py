@@ -190,7 +190,11 @@ def build_stops(raw: DataFrame, mode: str = "paired") -> DataFrame:
     """Clean stop dimension: one row per key, repaired and projected
     coordinates, grid cell. Missing and sentinel coordinates drop out; a
     one-sided fault stays, flagged, without metres or cell."""
-    one = dedup(raw, STOP_KEY, ["stop_name", "gps_x", "gps_y"])
+    return located_stops(dedup(raw, STOP_KEY, ["stop_name", "gps_x", "gps_y"]), mode)
+
+
+def located_stops(one: DataFrame, mode: str = "paired") -> DataFrame:
+    """Stops, one row each, with repaired and projected coordinates and grid cell."""
     fixed = repair_xy(one, "gps_x", "gps_y", mode).where(has_coordinates(F.col("gps_x"), F.col("gps_y")))
     metres = project(fixed, "gps_x", "gps_y")
     good = F.col("xy_suspect") == 0

@@ -18,11 +18,25 @@ def _stop_side(stops: DataFrame, cols: list[str], prefix: str) -> DataFrame:
     )
 
 
-def enrich_stops(trips: DataFrame, stops: DataFrame, cols: list[str], sides: tuple[str, ...] = ("board", "alight")) -> DataFrame:
+def enrich_stops(
+    trips: DataFrame, stops: DataFrame, cols: list[str], sides: tuple[str, ...] = ("board", "alight"), month: str | None = None
+) -> DataFrame:
     """LEFT join of stop attributes at both ends on the three-column key.
 
-    ``stops`` must be unique on its key, so the row count is kept.
+    ``stops`` must be unique on its key, so the row count is kept. With ``month``, a column of ``trips``, ``stops`` is a
+    history (``valid_from``, ``valid_to``): an equi join on the key takes the version that holds in the row's month.
+    Versions of a key don't overlap, so the row count is kept there too.
     """
+    if month is not None:
+        for side in sides:
+            dim = stops.select(
+                *[F.col(c).alias(f"_{c}") for c in (*STOP_KEY, "valid_from", "valid_to")], *[F.col(c).alias(f"{side}_{c}") for c in cols]
+            )
+            ends = zip(("stop", "region", "mode"), STOP_KEY)
+            same = [F.col(f"{side}_{end}") == F.col(f"_{key}") for end, key in ends]
+            holds = (F.col(month) >= F.col("_valid_from")) & (F.col(month) < F.col("_valid_to"))
+            trips = trips.join(dim, [*same, holds], "left").drop(*[f"_{c}" for c in (*STOP_KEY, "valid_from", "valid_to")])
+        return trips
     dim = stops.select(*STOP_KEY, *cols)
     for side in sides:
         trips = trips.join(
@@ -31,8 +45,11 @@ def enrich_stops(trips: DataFrame, stops: DataFrame, cols: list[str], sides: tup
     return trips
 
 
-def canonicalise_stops(df: DataFrame, transfer_map: DataFrame) -> DataFrame:
-    """Replace transfer-station ids at both ends; ids become text."""
+def canonicalise_stops(df: DataFrame, transfer_map: DataFrame, month: tuple[str, ...] = ()) -> DataFrame:
+    """Replace transfer-station ids at both ends; ids become text.
+
+    ``month`` names a column of both sides where the map differs from month to month.
+    """
     known = transfer_map.where(F.col("canonical_stop_id").isNotNull())
     for side in ("board", "alight"):
         mapping = known.select(
@@ -40,10 +57,11 @@ def canonicalise_stops(df: DataFrame, transfer_map: DataFrame) -> DataFrame:
             F.col("region_code").alias(f"{side}_region"),
             F.col("mode").alias(f"{side}_mode"),
             F.col("canonical_stop_id").alias("_to"),
+            *month,
         )
         df = (
             df.withColumn(f"{side}_stop", F.col(f"{side}_stop").cast("string"))
-            .join(mapping, [f"{side}_stop", f"{side}_region", f"{side}_mode"], "left")
+            .join(mapping, [f"{side}_stop", f"{side}_region", f"{side}_mode", *month], "left")
             .withColumn(f"{side}_stop", F.coalesce("_to", f"{side}_stop"))
             .drop("_to")
         )
@@ -150,11 +168,13 @@ def canonical_ids(df: DataFrame, name: str, id_col: str, by: list[str]) -> DataF
     )
 
 
-def transfer_map_from_names(stops: DataFrame, mode: str = "T") -> DataFrame:
-    """Transfer mapping of same-named subway stops within a region."""
+def transfer_map_from_names(stops: DataFrame, mode: str = "T", month: tuple[str, ...] = ()) -> DataFrame:
+    """Transfer mapping of same-named subway stops within a region (and, if named, a month)."""
     subway = stops.where(F.col("mode") == mode)
-    lowest = canonical_ids(subway, "stop_name", "stop_id", ["region_code", "mode"])
-    return subway.join(lowest, ["region_code", "mode", "stop_name"]).select(
+    by = ["region_code", "mode", *month]
+    lowest = canonical_ids(subway, "stop_name", "stop_id", by)
+    return subway.join(lowest, [*by, "stop_name"]).select(
+        *month,
         F.col("stop_id").cast("string").alias("stop_id"),
         "region_code",
         "mode",

@@ -74,9 +74,10 @@ def commute_od(
     min_conf: float = MIN_CONFIDENCE,
     extra_keys: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Commuting OD on business days, transfer stations merged."""
+    """Commuting OD on business days, transfer stations merged (by the map of the month where it holds ``extra_keys``)."""
     days = business_days_only(trips, "op_date", holidays)
-    matched = canonicalise_stops(match_commutes(days, anchors, min_conf), transfer_map)
+    months = tuple(k for k in extra_keys if k in transfer_map.columns)
+    matched = canonicalise_stops(match_commutes(days, anchors, min_conf), transfer_map, months)
     return matched.groupBy(*extra_keys, *OD_KEY, "trip_type").agg(*od_measures())
 
 

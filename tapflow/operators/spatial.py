@@ -108,12 +108,12 @@ def _nearest_in_ring(
     )
 
 
-def attach_grid(od: DataFrame, stops: DataFrame) -> DataFrame:
-    """Monthly OD with stop names and grid cells at both ends (LEFT join)."""
+def attach_grid(od: DataFrame, stops: DataFrame, month: str | None = None) -> DataFrame:
+    """Monthly OD with stop names and grid cells at both ends (LEFT join), as they were in ``month`` if given."""
     dim = stops.withColumn("stop_id", F.col("stop_id").cast("string")).withColumnsRenamed(
         {"stop_name": "name", "grid_id": "grid"}
     )
-    return enrich_stops(od, dim, ["name", "grid"])
+    return enrich_stops(od, dim, ["name", "grid"], month=month)
 
 
 def grid_od(od_with_grid: DataFrame, extra: list[str] = ()) -> DataFrame:

@@ -14,7 +14,7 @@ from ..schema import OD_LOAD
 from ..session import scratch_path
 from ..sources.writers import overwrite_partitions, write_table
 from ..operators import anchors as anchor_ops
-from ..operators import catchment, clean, dwell, enrich, od, quality, spatial
+from ..operators import catchment, clean, dwell, enrich, history, od, quality, spatial
 from ..operators.calendar import business_day_counts
 from ..operators.ordering import dedup
 from ..operators.trips import purpose_trips, purpose_trips_by_leg
@@ -28,11 +28,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def find_anchors(trips: DataFrame, stops: DataFrame, holidays: DataFrame) -> DataFrame:
-    """Home and work stops of every card with enough rows in both windows."""
+def find_anchors(trips: DataFrame, stops: DataFrame, holidays: DataFrame, by_month: bool = False) -> DataFrame:
+    """Home and work stops of every card with enough rows in both windows.
+
+    ``by_month``: cards are those of ``cards_of_months`` and ``stops`` a history.
+    """
     visits = anchor_ops.eligible_visits(anchor_ops.trip_visits(trips, holidays))
     keyed = visits.withColumnsRenamed({"stop_id": "at_stop", "region_code": "at_region", "mode": "at_mode"})
-    located = enrich.enrich_stops(keyed, stops, ["stop_name", "x_5179", "y_5179"], ("at",)).withColumnsRenamed(
+    if by_month:
+        keyed = keyed.withColumn("ym", F.substring_index("card_id", MONTH_OF_CARD, 1))
+    located = enrich.enrich_stops(keyed, stops, ["stop_name", "x_5179", "y_5179"], ("at",), "ym" if by_month else None).withColumnsRenamed(
         {
             "at_stop": "stop_id",
             "at_region": "region_code",
@@ -42,7 +47,30 @@ def find_anchors(trips: DataFrame, stops: DataFrame, holidays: DataFrame) -> Dat
             "at_y_5179": "y",
         }
     )
-    return anchor_ops.anchors_from_visits(located)
+    return anchor_ops.anchors_from_visits(located.drop("ym"))
+
+
+MONTH_OF_CARD = "|"
+
+
+def cards_of_months(trips: DataFrame) -> DataFrame:
+    """A card is another card in each month (``ym``): home and work are those of the month."""
+    return trips.withColumn("card_id", F.concat("ym", F.lit(MONTH_OF_CARD), "card_id"))
+
+
+def commute_od_of_months(taps: DataFrame, snapshots: DataFrame, holidays: DataFrame) -> DataFrame:
+    """``monthly_commute_od`` of many months in one run, each by itself and by the stops of its time.
+
+    ``snapshots`` are raw stops with the month (``ym``, yyyyMM) of each extract. Home and work stops, names, cells and
+    merged transfer stations of a month come from the versions that hold in it: its own snapshot or the last one before.
+    """
+    trips = staged(cards_of_months(purpose_trips(taps).withColumn("ym", year_month(F.col("op_date")))), "trips")
+    stops = staged(history.stop_history(snapshots), "stop-history")
+    found = staged(find_anchors(trips, stops, holidays, by_month=True), "anchors")
+    # As many values as months are loaded at once.
+    months = sorted(row["ym"] for row in trips.select("ym").distinct().collect())
+    mapping = enrich.transfer_map_from_names(history.of_months(stops, months), month=("ym",))
+    return spatial.attach_grid(od.commute_od(trips, found, mapping, holidays, extra_keys=("ym",)), stops, "ym")
 
 
 def monthly_commute_od(
