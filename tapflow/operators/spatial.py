@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.geo import grid_wkt, planar_distance, rectangle_wkt
-from ..session import cut
+from ..session import scratch_path
 from .enrich import enrich_stops
 
 AROUND = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
@@ -52,6 +52,14 @@ def within_radius(
     return pairs.withColumn("distance_m", away).where(F.col("distance_m") <= radius).drop("_cx", "_cy", "_sx", "_sy")
 
 
+#: How many times wider the cells of a level are than those of the level below.
+FACTOR = 4
+#: Sites of a cell that points are measured against; a cell with more is taken apart further.
+LEAF = 64
+#: Levels below ``first_ring``: cells of 2 km end at half a metre.
+BELOW = 6
+
+
 def nearest_site(
     points: DataFrame,
     sites: DataFrame,
@@ -62,50 +70,115 @@ def nearest_site(
     x: str = "x_5179",
     y: str = "y_5179",
     first_ring: float = 2000.0,
+    leaf: int = LEAF,
 ) -> DataFrame:
     """Each point's nearest site (equal distances: lowest id).
 
-    Membership in a Voronoi cell is the same as having its site nearest. Each
-    ring looks only into the 3 x 3 cells of its own size, and points found
-    within the ring are final; the rest go to a ring four times as wide, until
-    none are left. With ``max_dist`` there is one ring, and points beyond it
-    get NULL. ``key`` must identify a point.
+    Membership in a Voronoi cell is the same as having its site nearest. With ``max_dist``, points without a site that
+    near get NULL, as do points without coordinates. ``key`` must identify a point.
+
+    Occupied cells are compared before points are (``candidate_cells``), so a point meets only the sites of cells that
+    can hold its nearest one, however far away it is and however dense sites are.
     """
-    open_points = cut(points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*key, x, y))
-    places = cut(
-        sites.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
-            F.col(site_id).alias("_site"), F.col(x).alias("_sx"), F.col(y).alias("_sy")
+    here = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*key, F.col(x).alias("_x"), F.col(y).alias("_y"))
+    # Of sites at one place the lowest id is the nearest.
+    places = sites.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(x).alias("_sx"), F.col(y).alias("_sy")).agg(F.min(site_id).alias("_site"))
+    here, places = _stored(here, "points"), _stored(places, "sites")
+    ends = [f(c) for c in ("_x", "_y") for f in (F.min, F.max)]
+    both = here.select("_x", "_y").unionByName(places.select(F.col("_sx").alias("_x"), F.col("_sy").alias("_y")))
+    low_x, high_x, low_y, high_y = both.agg(*ends).first()
+    if low_x is None or places.isEmpty():
+        kind = sites.schema[site_id].dataType
+        return points.withColumns({"nearest_site": F.lit(None).cast(kind), "site_distance": F.lit(None).cast("double")})
+    fine = first_ring / FACTOR**BELOW
+    top = BELOW
+    while fine * FACTOR**top <= max(high_x - low_x, high_y - low_y):
+        top += 1
+
+    def cells(df: DataFrame, cx: str, cy: str) -> DataFrame:
+        return df.withColumns({n: F.floor((F.col(c) - F.lit(low)) / F.lit(fine)).cast("bigint") for n, c, low in (("_cx", cx, low_x), ("_cy", cy, low_y))})
+
+    here, places = cells(here, "_x", "_y"), cells(places, "_sx", "_sy")
+    best = None
+    for level, pairs in candidate_cells(here, places, top, max_dist, leaf):
+        met = (
+            _at(here, level)
+            .join(pairs.select(F.col("_px").alias("_cx"), F.col("_py").alias("_cy"), "_qx", "_qy"), ["_cx", "_cy"])
+            .join(_at(places, level).select(F.col("_cx").alias("_qx"), F.col("_cy").alias("_qy"), "_sx", "_sy", "_site"), ["_qx", "_qy"])
         )
-    )
-    ring = first_ring if max_dist is None else max_dist
-    found = None
-    while True:
-        best = _nearest_in_ring(open_points, places, ring, key, x, y)
-        best = best if max_dist is not None else cut(best)
-        found = best if found is None else found.unionByName(best)
-        if max_dist is not None:
-            break
-        open_points = open_points.join(best.select(*key), key, "left_anti")
-        if open_points.isEmpty() or places.isEmpty():
-            break
-        ring *= 4.0
+        away = planar_distance(F.col("_x"), F.col("_y"), F.col("_sx"), F.col("_sy"))
+        met = met.select(*key, F.struct(away.alias("_away"), "_site").alias("_near"))
+        best = met if best is None else best.unionByName(met)
+    found = best.groupBy(*key).agg(F.min("_near").alias("_near"))
+    if max_dist is not None:
+        found = found.where(F.col("_near._away") <= max_dist)
+    found = found.select(*key, F.col("_near._site").alias("nearest_site"), F.col("_near._away").alias("site_distance"))
     return points.join(found, key, "left")
 
 
-def _nearest_in_ring(
-    points: DataFrame, places: DataFrame, ring: float, key: list[str], x: str, y: str
-) -> DataFrame:
-    near = _spread(_cells(places, "_sx", "_sy", ring))
-    away = planar_distance(F.col(x), F.col(y), F.col("_sx"), F.col("_sy"))
-    return (
-        _cells(points, x, y, ring)
-        .join(near, ["_cx", "_cy"])
-        .withColumn("_away", away)
-        .where(F.col("_away") <= ring)
-        .groupBy(*key)
-        .agg(F.min(F.struct("_away", "_site")).alias("_best"))
-        .select(*key, F.col("_best._site").alias("nearest_site"), F.col("_best._away").alias("site_distance"))
-    )
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _at(df: DataFrame, level: int) -> DataFrame:
+    """Rows with their cell of a level; cells of level 0 are the finest."""
+    return df.withColumns({c: F.floor(F.col(c) / F.lit(FACTOR**level)).cast("bigint") for c in ("_cx", "_cy")})
+
+
+def _occupied(df: DataFrame, level: int, px: str, py: str) -> DataFrame:
+    """The occupied cells of a level with how many rows they hold and the box around these."""
+    box = [f(c).alias(n) for n, f, c in (("_x0", F.min, px), ("_x1", F.max, px), ("_y0", F.min, py), ("_y1", F.max, py))]
+    return _at(df, level).groupBy("_cx", "_cy").agg(F.count(F.lit(1)).alias("_n"), *box)
+
+
+def candidate_cells(points: DataFrame, sites: DataFrame, top: int, max_dist: float | None, leaf: int) -> list[tuple[int, DataFrame]]:
+    """(level, pairs (_px, _py, _qx, _qy)): which occupied cells of sites may hold the nearest site of a cell's points.
+
+    From one cell over everything downwards, each pair of cells gives the pairs of its occupied parts. The farthest that a
+    point of a cell can have to a site is bounded by the box of any cell of sites; pairs whose boxes are farther apart
+    than the least such bound go. At ``first_ring`` and below, a pair whose cell of sites holds at most ``leaf`` is
+    done; others are taken apart further, down to cells that hold one place.
+    """
+    out: list[tuple[int, DataFrame]] = []
+    # Upper levels are made from the occupied cells of ``first_ring``, which are few.
+    base = [_stored(_occupied(df, BELOW, px, py), "occupied") for df, px, py in ((points, "_x", "_y"), (sites, "_sx", "_sy"))]
+
+    def parts(df: DataFrame, cells: DataFrame, level: int, px: str, py: str) -> DataFrame:
+        if level < BELOW:
+            return _occupied(df, level, px, py)
+        merged = [F.sum("_n").alias("_n"), *[f(c).alias(c) for c, f in (("_x0", F.min), ("_x1", F.max), ("_y0", F.min), ("_y1", F.max))]]
+        return _at(cells, level - BELOW).groupBy("_cx", "_cy").agg(*merged)
+
+    def named(cells: DataFrame, to: str) -> DataFrame:
+        up = [F.floor(F.col(f"_c{d}") / F.lit(FACTOR)).cast("bigint").alias(f"_{to}p{d}") for d in "xy"]
+        return cells.select(*up, *[F.col(f"_c{d}").alias(f"_{to}{d}") for d in "xy"], *[F.col(c).alias(f"_{to}{c}") for c in ("_n", "_x0", "_x1", "_y0", "_y1")])
+
+    pairs = None
+    for level in range(top - 1, -1, -1):
+        mine, theirs = named(parts(points, base[0], level, "_x", "_y"), "p"), named(parts(sites, base[1], level, "_sx", "_sy"), "q")
+        if pairs is None:
+            # The cell of the level above is one for all.
+            met = mine.withColumn("_bound", F.lit(float("inf") if max_dist is None else float(max_dist))).join(theirs, (F.col("_ppx") == F.col("_qpx")) & (F.col("_ppy") == F.col("_qpy")))
+        else:
+            up = pairs.select(*[F.col(f"_{t}{d}").alias(f"_{t}p{d}") for t in "pq" for d in "xy"], "_bound")
+            met = up.join(mine, ["_ppx", "_ppy"]).join(theirs, ["_qpx", "_qpy"])
+        gap = [F.greatest(F.lit(0.0), F.col(f"_q_{d}0") - F.col(f"_p_{d}1"), F.col(f"_p_{d}0") - F.col(f"_q_{d}1")) for d in "xy"]
+        span = [F.greatest(F.col(f"_q_{d}1") - F.col(f"_p_{d}0"), F.col(f"_p_{d}1") - F.col(f"_q_{d}0")) for d in "xy"]
+        met = met.withColumns({"_near": F.sqrt(gap[0] * gap[0] + gap[1] * gap[1]), "_far": F.sqrt(span[0] * span[0] + span[1] * span[1])})
+        least = F.least("_bound", F.min("_far").over(Window.partitionBy("_px", "_py")))
+        # Wider than any rounding of metres.
+        kept = met.withColumn("_bound", least).where(F.col("_near") <= F.col("_bound") * (1 + 1e-9) + 1e-6)
+        pairs = kept.select("_px", "_py", "_qx", "_qy", "_bound", F.col("_q_n").alias("_n"))
+        if level > BELOW:
+            continue
+        pairs = _stored(pairs, "cell-pairs")
+        out.append((level, pairs if level == 0 else pairs.where(F.col("_n") <= leaf)))
+        pairs = pairs.where(F.col("_n") > leaf)
+        if pairs.isEmpty():
+            break
+    return out
 
 
 def attach_grid(od: DataFrame, stops: DataFrame, month: str | None = None) -> DataFrame:

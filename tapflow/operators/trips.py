@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
+from operator import and_, or_
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.codes import mode_of
 from ..schema import TRIP_KEY
@@ -62,43 +65,29 @@ def purpose_trips(
 def purpose_trips_by_leg(taps: DataFrame, *, keys: list[str] = TRIP_KEY) -> DataFrame:
     """First leg = transfer number 0, last leg = the highest transfer number.
 
-    Joins the summary to both legs, so duplicate legs multiply a trip, and a
-    trip whose first leg is missing keeps NULLs. No time filter.
+    A copied first or last leg multiplies its trip, and a trip whose first leg is missing keeps NULLs. No time filter.
+
+    One shuffle: legs are dealt by the trip key, a window over the key finds sums and the highest number, and only
+    first and last legs go on to be paired where they lie. Legs with an unknown key column match nothing; they are
+    summed apart, before the shuffle, so that they cannot fill a task.
     """
     legs = taps.withColumn("mode", mode_of(F.col("mode_code")))
-    summary = legs.groupBy(*keys).agg(
-        F.max("transfer_no").alias("max_transfers"),
-        F.sum("distance").alias("total_distance"),
-        F.sum("ride_sec").alias("total_ride_sec"),
-    )
-    first = legs.where(F.col("transfer_no") == 0).select(
-        *keys,
-        "board_stop",
-        "board_ts",
-        F.col("region_code").alias("board_region"),
-        F.col("mode").alias("board_mode"),
-    )
-    last = legs.select(
-        *keys,
-        F.col("transfer_no").alias("max_transfers"),
-        "alight_stop",
-        "alight_ts",
-        F.col("region_code").alias("alight_region"),
-        F.col("mode").alias("alight_mode"),
+    known = legs.where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
+    w = Window.partitionBy(*keys)
+    sums = {"total_distance": F.sum("distance").over(w), "total_ride_sec": F.sum("ride_sec").over(w), "_top": F.max("transfer_no").over(w)}
+    numbered = known.select(*keys, "transfer_no", "board_stop", "alight_stop", "board_ts", "alight_ts", "region_code", "mode", "distance", "ride_sec").withColumns(
+        {**sums, "_turn": F.row_number().over(w.orderBy("transfer_no"))}
     )
-    # All three inputs are hashed by the trip key, so the aggregate's
-    # partitioning serves both joins.
-    joined = summary.join(first, keys, "left").join(last, [*keys, "max_transfers"], "left")
-    return joined.select(
-        *keys,
-        "board_stop",
-        "alight_stop",
-        "board_ts",
-        "alight_ts",
-        "board_region",
-        "alight_region",
-        "board_mode",
-        "alight_mode",
-        "total_distance",
-        "total_ride_sec",
+    first = F.when(F.col("transfer_no") == 0, F.struct("board_stop", "board_ts", F.col("region_code").alias("board_region"), F.col("mode").alias("board_mode")))
+    last = F.when(F.col("transfer_no") == F.col("_top"), F.struct("alight_stop", "alight_ts", F.col("region_code").alias("alight_region"), F.col("mode").alias("alight_mode")))
+    # One leg at least stays, so that a trip without a first or a last one stays.
+    ends = numbered.withColumns({"_first": first, "_last": last}).where("_first IS NOT NULL OR _last IS NOT NULL OR _turn = 1")
+    trips = ends.groupBy(*keys).agg(
+        *[F.first(c).alias(c) for c in ("total_distance", "total_ride_sec")], F.collect_list("_first").alias("_firsts"), F.collect_list("_last").alias("_lasts")
     )
+    paired = trips.withColumn("_f", F.explode_outer("_firsts")).withColumn("_l", F.explode_outer("_lasts"))
+    whole = paired.select(*keys, "_f.*", "_l.*", "total_distance", "total_ride_sec")
+    unknown = legs.where(reduce(or_, [F.col(k).isNull() for k in keys]))
+    loose = unknown.groupBy(*keys).agg(F.sum("distance").alias("total_distance"), F.sum("ride_sec").alias("total_ride_sec"))
+    columns = ["board_stop", "alight_stop", "board_ts", "alight_ts", "board_region", "alight_region", "board_mode", "alight_mode", "total_distance", "total_ride_sec"]
+    return whole.unionByName(loose, allowMissingColumns=True).select(*keys, *columns)

@@ -104,3 +104,34 @@ def test_within_radius(scene):
 def test_decode_can_drop_cells(spark):
     df = spark.createDataFrame([("CG6375150378", None)], "board_grid string, alight_grid string")
     assert spatial.decode_grid_od(df, drop_grid=True).columns == ["board_wkt", "alight_wkt"]
+
+
+@pytest.mark.parametrize("where", ["remote", "among", "one spot"])
+def test_points_meet_few_of_many_sites(spark, monkeypatch, where):
+    """A thousand sites, most of them in one square: no cell of sites that a point is measured against holds many."""
+    rnd = random.Random(where)
+    sites = [(i, rnd.uniform(0, 800), rnd.uniform(0, 800)) for i in range(900)] + [(1000 + i, rnd.uniform(-20000, 20000), rnd.uniform(-20000, 20000)) for i in range(100)]
+    spread = {"remote": (100_000, 140_000), "among": (0, 800), "one spot": (300, 300)}[where]
+    pts = [(i, rnd.uniform(*spread), rnd.uniform(*spread)) for i in range(300)]
+    tables = [spark.createDataFrame(pts, "pid int, x double, y double"), spark.createDataFrame(sites, "site_id int, x double, y double")]
+    seen, plain = [], spatial.candidate_cells
+
+    def counted(here, places, *rest):
+        out = plain(here, places, *rest)
+        for level, pairs in out:
+            seen.append((pairs.agg(F.max("_n")).first()[0] or 0, spatial._at(here, level).join(pairs, (F.col("_cx") == F.col("_px")) & (F.col("_cy") == F.col("_py"))).agg(F.sum("_n")).first()[0] or 0))
+        return out
+
+    monkeypatch.setattr(spatial, "candidate_cells", counted)
+    got = {r.pid: (r.nearest_site, r.site_distance) for r in spatial.nearest_site(*tables, key=["pid"], x="x", y="y", leaf=8).collect()}
+    for p, (d, s) in brute(pts, sites).items():
+        assert got[p] == (s, pytest.approx(d, abs=1e-9))
+    assert max(n for n, _ in seen) <= 8
+    assert sum(m for _, m in seen) < 0.1 * len(pts) * len(sites)
+
+
+def test_sites_at_one_place_and_points_on_them(spark):
+    sites = spark.createDataFrame([(i, 5.0, 5.0) for i in range(200, 0, -1)], "site_id int, x double, y double")
+    pts = spark.createDataFrame([(1, 5.0, 5.0), (2, 1e7, -1e7), (3, None, None)], "pid int, x double, y double")
+    got = {r.pid: (r.nearest_site, r.site_distance) for r in spatial.nearest_site(pts, sites, key=["pid"], x="x", y="y", leaf=1).collect()}
+    assert got[1] == (1, 0.0) and got[2][0] == 1 and got[3] == (None, None)

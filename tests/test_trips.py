@@ -87,3 +87,19 @@ def test_touching(spark):
     assert got == {"either": ["half", "in"], "both": ["in"], "board": ["half", "in"], "alight": ["in"]}
     with pytest.raises(ValueError):
         clean.touching(df, stops, "never")
+
+
+def test_legs_are_shuffled_once_by_the_trip_key(spark):
+    out = purpose_trips_by_leg(spark.createDataFrame([leg(), leg(no=1)], TAP_DDL))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # One for legs with a key; those without are summed before theirs.
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
+
+
+def test_legs_without_a_key_or_number_match_nothing(spark):
+    rows = [leg(), leg(no=1), leg(card=None), leg(card=None, no=2), leg(txn="9", no=None), leg(txn="8", no=3), leg(txn="7"), leg(txn="7"), leg(txn="7", no=1), leg(txn="7", no=1)]
+    got = sorted((str(r.card_id), r.txn_id, str(r.board_stop), str(r.alight_stop), r.total_distance) for r in purpose_trips_by_leg(spark.createDataFrame(rows, TAP_DDL)).collect())
+    want = [("None", "1", "None", "None", 2000.0), ("c", "1", "1", "2", 2000.0), *[("c", "7", "1", "2", 4000.0)] * 4, ("c", "8", "None", "2", 1000.0), ("c", "9", "None", "None", 1000.0)]
+    assert got == want
+    assert purpose_trips_by_leg(spark.createDataFrame([], TAP_DDL)).count() == 0
