@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tapflow.operators import clean, quality
-from tapflow.operators.calendar import business_day_counts
+from tapflow.operators import clean, od, quality
+from tapflow.operators.calendar import business_day_counts, business_days_only
 from tapflow.plans import jobs
-from tapflow.schema import PUBLISHED_OD_COLUMNS
+from tapflow.schema import DAILY_LOAD, PUBLISHED_OD_COLUMNS
 from tapflow.session import scratch_path
 
-from .aggregates import OD_ROUNDED, cell_od_sql, clean_stops, modal_views, trips_of
+from .aggregates import OD_ROUNDED, anchored, cell_od_sql, clean_stops, modal_views, trips_of
 from .catalog import query, rounded
 from .joins import district_centres
 from .places import monthly_od, wkt_sql
@@ -131,6 +131,37 @@ def e4(spark, sf):
     return loaded.withColumns({c: F.col(c).cast("double") for c in _NUMERIC})
 
 
+@query(
+    "q_a12_publish_daily",
+    f"""
+SELECT op_date AS standard_date, lpad(CAST(hour(board_ts) AS VARCHAR), 2, '0') AS hour, CAST(board_stop AS VARCHAR) AS departure_station_id,
+  b.stop_name AS departure_station_name, board_region AS departure_region_code, board_mode AS departure_station_type,
+  {_LOCAL.format('b.grid_id')} AS departure_grid_id, CAST(alight_stop AS VARCHAR) AS arrival_station_id,
+  a.stop_name AS arrival_station_name, alight_region AS arrival_region_code, alight_mode AS arrival_station_type,
+  {_LOCAL.format('a.grid_id')} AS arrival_grid_id, CASE trip_type WHEN 'morning' THEN '출근' ELSE '퇴근' END AS trip_type,
+  CAST(count(*) AS DOUBLE) AS use_count, CAST(count(DISTINCT card_id) AS DOUBLE) AS unique_use_count,
+  CAST(CAST(median(total_ride_sec) AS DECIMAL(6, 0)) AS DOUBLE) AS median_elapse_time, CAST(CAST(round(avg(total_ride_sec), 6) AS DECIMAL(6, 0)) AS DOUBLE) AS average_elapse_time,
+  CAST(CAST(median(total_distance) AS DECIMAL(6, 0)) AS DOUBLE) AS median_distance, CAST(CAST(round(avg(total_distance), 6) AS DECIMAL(6, 0)) AS DOUBLE) AS average_distance,
+  CAST(CAST(median(max_transfers) AS DECIMAL(6, 1)) AS DOUBLE) AS median_transfer_count, CAST(CAST(round(avg(max_transfers), 6) AS DECIMAL(6, 1)) AS DOUBLE) AS average_transfer_count,
+  {wkt_sql('b.grid_id')} AS departure_station_geometry, {wkt_sql('a.grid_id')} AS arrival_station_geometry
+FROM (SELECT * FROM matched WHERE isodow(op_date) < 6 AND op_date NOT IN (SELECT holiday_date FROM holidays)) m
+LEFT JOIN stops b ON board_stop = b.stop_id AND board_region = b.region_code AND board_mode = b.mode
+LEFT JOIN stops a ON alight_stop = a.stop_id AND alight_region = a.region_code AND alight_mode = a.mode
+GROUP BY ALL
+""",
+    "matched",
+    "stops",
+    "holidays",
+)
+def a12_daily(spark, sf):
+    """Loaded at a path in two levels, month and day, and read back; decimals as doubles, as above."""
+    trips, stops, found = anchored(spark, sf)
+    path = scratch_path(spark, "published-daily")
+    matched = od.match_commutes(business_days_only(trips, "op_date", holidays(spark)), found)
+    rows = jobs.publish_daily_od(matched, stops, path)
+    return rows.withColumns({c: F.col(c).cast("double") for c in DAILY_LOAD.numerics})
+
+
 # --- reports, one (section, item, value) row per figure -------------------------------------------
 
 

@@ -8,7 +8,7 @@ from ..functions.codes import ADULT, mode_of, purpose_name
 from ..functions.geo import grid_cell, grid_wkt, local_grid, project
 from ..functions.numbers import half_even, text_to_id
 from ..functions.times import hour_in, tap_date, tap_time
-from ..schema import PUBLISHED_OD_COLUMNS, STOP_KEY
+from ..schema import PUBLISHED_DAILY_COLUMNS, PUBLISHED_OD_COLUMNS, STOP_KEY
 from .ordering import dedup
 
 # Sentinel limit and bounding box of valid coordinates.
@@ -214,23 +214,46 @@ def to_published_od(df: DataFrame, business_days: DataFrame, ym: str = "ym") ->
     )
     named = df.join(days, ym, "left").select(
         F.col(ym).alias("standard_ym"),
-        F.col("board_stop").cast("string").alias("departure_station_id"),
-        F.col("board_name").alias("departure_station_name"),
-        F.col("board_region").alias("departure_region_code"),
-        F.col("board_mode").alias("departure_station_type"),
-        local_grid(F.col("board_grid")).alias("departure_grid_id"),
-        F.col("alight_stop").cast("string").alias("arrival_station_id"),
-        F.col("alight_name").alias("arrival_station_name"),
-        F.col("alight_region").alias("arrival_region_code"),
-        F.col("alight_mode").alias("arrival_station_type"),
-        local_grid(F.col("alight_grid")).alias("arrival_grid_id"),
+        *published_ends(),
         purpose_name(F.col("trip_type")).alias("purpose_name"),
         daily.alias("daily_use_count"),
         F.col("time_median").alias("median_elapse_time"),
         F.col("time_avg").alias("average_elapse_time"),
         F.col("distance_median").alias("median_distance"),
         F.col("distance_avg").alias("average_distance"),
-        grid_wkt(F.col("board_grid")).alias("departure_station_geometry"),
-        grid_wkt(F.col("alight_grid")).alias("arrival_station_geometry"),
     )
     return named.select(*PUBLISHED_OD_COLUMNS)
+
+
+def published_ends() -> list[Column]:
+    """Id, name, region, type, local cell and WKT point of both ends under their published names."""
+    out = []
+    for end, name in (("board", "departure"), ("alight", "arrival")):
+        out += [
+            F.col(f"{end}_stop").cast("string").alias(f"{name}_station_id"),
+            F.col(f"{end}_name").alias(f"{name}_station_name"),
+            F.col(f"{end}_region").alias(f"{name}_region_code"),
+            F.col(f"{end}_mode").alias(f"{name}_station_type"),
+            local_grid(F.col(f"{end}_grid")).alias(f"{name}_grid_id"),
+            grid_wkt(F.col(f"{end}_grid")).alias(f"{name}_station_geometry"),
+        ]
+    return out
+
+
+def to_published_daily(cube: DataFrame) -> DataFrame:
+    """The published daily schema from rows of the hourly OD cube (with ``trip_type``) with names and cells."""
+    named = cube.select(
+        F.col("op_date").alias("standard_date"),
+        F.lpad(F.col("hour").cast("string"), 2, "0").alias("hour"),
+        *published_ends(),
+        purpose_name(F.col("trip_type")).alias("trip_type"),
+        "use_count",
+        "unique_use_count",
+        F.col("time_median").alias("median_elapse_time"),
+        F.col("time_avg").alias("average_elapse_time"),
+        F.col("distance_median").alias("median_distance"),
+        F.col("distance_avg").alias("average_distance"),
+        F.col("transfer_median").alias("median_transfer_count"),
+        F.col("transfer_avg").alias("average_transfer_count"),
+    )
+    return named.select(*PUBLISHED_DAILY_COLUMNS)

@@ -192,11 +192,19 @@ def card_commute_pairs(trips: DataFrame, stops: DataFrame) -> DataFrame:
     return pair_stats(tagged, strict_cells(tagged))
 
 
-def od_hourly(trips: DataFrame) -> DataFrame:
-    """Daily, hourly OD cube by boarding hour."""
-    return trips.groupBy("op_date", F.hour("board_ts").alias("hour"), *OD_KEY).agg(
-        F.count(F.lit(1)).alias("use_count"),
-        F.countDistinct("card_id").alias("unique_use_count"),
+def od_hourly(trips: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
+    """Daily, hourly OD cube by boarding hour.
+
+    Two grains: cards are first made distinct per cell of the cube, as rows without measures; trips and these rows then
+    go through one aggregate. Its partial maps of whole metres, seconds and transfers are made per cell, not per card.
+    """
+    keys = ["op_date", "hour", *OD_KEY, *extra_keys]
+    timed = trips.withColumn("hour", F.hour("board_ts"))
+    cards = timed.where(F.col("card_id").isNotNull()).select(*keys, "card_id").distinct().select(*keys, F.lit(1).alias("_card"))
+    rows = timed.select(*keys, F.lit(1).alias("_trip"), "total_ride_sec", "total_distance", "max_transfers")
+    return rows.unionByName(cards, allowMissingColumns=True).groupBy(*keys).agg(
+        F.count("_trip").alias("use_count"),
+        F.count("_card").alias("unique_use_count"),
         F.median("total_ride_sec").alias("time_median"),
         F.avg("total_ride_sec").alias("time_avg"),
         F.median("total_distance").alias("distance_median"),

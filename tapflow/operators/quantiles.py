@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import scratch_path
 
 #: Distinct values of a range that are put in order; a range with more is split first.
-SMALL = 100_000
+SMALL = 1_000_000
 # Bits of a double's mantissa, and how they are shared among the digits below the exponent.
 MANTISSA = 52
 DIGIT_BITS = (17, 17, 18)

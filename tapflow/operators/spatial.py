@@ -80,10 +80,11 @@ def nearest_site(
     Occupied cells are compared before points are (``candidate_cells``), so a point meets only the sites of cells that
     can hold its nearest one, however far away it is and however dense sites are.
     """
+    points = _stored(points, "points")
     here = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*key, F.col(x).alias("_x"), F.col(y).alias("_y"))
     # Of sites at one place the lowest id is the nearest.
     places = sites.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(x).alias("_sx"), F.col(y).alias("_sy")).agg(F.min(site_id).alias("_site"))
-    here, places = _stored(here, "points"), _stored(places, "sites")
+    places = _stored(places, "sites")
     ends = [f(c) for c in ("_x", "_y") for f in (F.min, F.max)]
     both = here.select("_x", "_y").unionByName(places.select(F.col("_sx").alias("_x"), F.col("_sy").alias("_y")))
     low_x, high_x, low_y, high_y = both.agg(*ends).first()
@@ -136,7 +137,7 @@ def _occupied(df: DataFrame, level: int, px: str, py: str) -> DataFrame:
 def candidate_cells(points: DataFrame, sites: DataFrame, top: int, max_dist: float | None, leaf: int) -> list[tuple[int, DataFrame]]:
     """(level, pairs (_px, _py, _qx, _qy)): which occupied cells of sites may hold the nearest site of a cell's points.
 
-    From one cell over everything downwards, each pair of cells gives the pairs of its occupied parts. The farthest that a
+    From one cell over everything downwards (first two levels at once, at most 256 cells each), each pair of cells gives the pairs of its occupied parts. The farthest that a
     point of a cell can have to a site is bounded by the box of any cell of sites; pairs whose boxes are farther apart
     than the least such bound go. At ``first_ring`` and below, a pair whose cell of sites holds at most ``leaf`` is
     done; others are taken apart further, down to cells that hold one place.
@@ -151,15 +152,16 @@ def candidate_cells(points: DataFrame, sites: DataFrame, top: int, max_dist: flo
         merged = [F.sum("_n").alias("_n"), *[f(c).alias(c) for c, f in (("_x0", F.min), ("_x1", F.max), ("_y0", F.min), ("_y1", F.max))]]
         return _at(cells, level - BELOW).groupBy("_cx", "_cy").agg(*merged)
 
-    def named(cells: DataFrame, to: str) -> DataFrame:
-        up = [F.floor(F.col(f"_c{d}") / F.lit(FACTOR)).cast("bigint").alias(f"_{to}p{d}") for d in "xy"]
+    def named(cells: DataFrame, to: str, above: int) -> DataFrame:
+        up = [F.floor(F.col(f"_c{d}") / F.lit(FACTOR**above)).cast("bigint").alias(f"_{to}p{d}") for d in "xy"]
         return cells.select(*up, *[F.col(f"_c{d}").alias(f"_{to}{d}") for d in "xy"], *[F.col(c).alias(f"_{to}{c}") for c in ("_n", "_x0", "_x1", "_y0", "_y1")])
 
     pairs = None
-    for level in range(top - 1, -1, -1):
-        mine, theirs = named(parts(points, base[0], level, "_x", "_y"), "p"), named(parts(sites, base[1], level, "_sx", "_sy"), "q")
+    for level in range(top - 2 if top - 2 >= BELOW else top - 1, -1, -1):
+        above = 1 if pairs is not None else top - level
+        mine, theirs = named(parts(points, base[0], level, "_x", "_y"), "p", above), named(parts(sites, base[1], level, "_sx", "_sy"), "q", above)
         if pairs is None:
-            # The cell of the level above is one for all.
+            # The cell above is one for all.
             met = mine.withColumn("_bound", F.lit(float("inf") if max_dist is None else float(max_dist))).join(theirs, (F.col("_ppx") == F.col("_qpx")) & (F.col("_ppy") == F.col("_qpy")))
         else:
             up = pairs.select(*[F.col(f"_{t}{d}").alias(f"_{t}p{d}") for t in "pq" for d in "xy"], "_bound")

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.times import year_month
-from ..schema import OD_LOAD
+from ..schema import DAILY_LOAD, OD_LOAD, Contract
 from ..session import scratch_path
+from ..sources import published
 from ..sources.writers import overwrite_partitions, write_table
 from ..operators import anchors as anchor_ops
 from ..operators import catchment, clean, dwell, enrich, history, od, quality, spatial
@@ -112,22 +113,48 @@ def dwell_job(taps: DataFrame, stops: DataFrame, parts: int | None = None) -> Da
     return dwell.dwell_stats(dwell.dwell_events(trips, cells, dim, parts), dim)
 
 
-def publish_od(od_with_grid: DataFrame, holidays: DataFrame, path: str | None = None) -> DataFrame:
+def publish_od(
+    od_with_grid: DataFrame, holidays: DataFrame, path: str | None = None, months: list[str] | None = None, at_once: bool = False
+) -> DataFrame:
     """The published table of all months in ``od_with_grid``: daily means over
     business days, WKT points, local cells. Rows that break the load contract
-    stop the job. With ``path`` the months are replaced there."""
+    stop the job. With ``path`` the months (``months``, if named) are replaced there: partition by partition in a plain
+    Parquet folder or, ``at_once``, by one commit (``sources.published``)."""
     days = business_day_counts(od_with_grid.select("ym"), holidays)
-    published = clean.to_published_od(od_with_grid, days)
+    rows = clean.to_published_od(od_with_grid, days)
+    return rows if path is None else loaded(rows, OD_LOAD, path, ["standard_ym"], months, at_once)
+
+
+def publish_daily_od(matched: DataFrame, stops: DataFrame, path: str | None = None, months: list[str] | None = None) -> DataFrame:
+    """The published daily table of commuting trips (``match_commutes``): the hourly cube with names, cells and points.
+
+    With ``path``, partitions are first the month and then the day; they are replaced by one commit.
+    """
+    cube = od.od_hourly(matched, ("trip_type",))
+    dim = stops.withColumnsRenamed({"stop_name": "name", "grid_id": "grid"})
+    rows = clean.to_published_daily(enrich.enrich_stops(cube, dim, ["name", "grid"]))
     if path is None:
-        return published
-    published = staged(published, "published")
-    broken = quality.validate_target(published, OD_LOAD).where(F.col("violations") > 0)
+        return rows
+    dated = rows.withColumn("standard_ym", year_month(F.col("standard_date")))
+    return loaded(dated, DAILY_LOAD, path, ["standard_ym", "standard_date"], months).select(*rows.columns)
+
+
+def loaded(
+    rows: DataFrame, contract: Contract, path: str, by: list[str], named: list[str] | None = None, at_once: bool = True
+) -> DataFrame:
+    """``rows`` held to their contract and loaded at ``path``; returns the whole table as it stands then."""
+    rows = staged(rows, "published")
+    broken = quality.validate_target(rows, contract).where(F.col("violations") > 0)
     # At most one row per rule of the contract.
     found = broken.collect()
     if found:
         raise ValueError(f"load contract broken: {[row.asDict() for row in found]}")
-    overwrite_partitions(quality.to_target_types(published, OD_LOAD), path, ["standard_ym"])
-    return df_from(path, published)
+    typed = quality.to_target_types(rows, contract)
+    if at_once:
+        published.load(typed, path, by, named)
+        return published.read(rows.sparkSession, path)
+    overwrite_partitions(typed, path, by, named)
+    return df_from(path, rows)
 
 
 def df_from(path: str, like: DataFrame) -> DataFrame:

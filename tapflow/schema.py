@@ -151,3 +151,45 @@ OD_LOAD = Contract(
     required=OD_LOAD_KEY,
     key=OD_LOAD_KEY,
 )
+
+
+# Columns, key and field sizes of the daily table.
+PUBLISHED_DAILY_COLUMNS = [
+    "standard_date",
+    "hour",
+    "departure_station_id",
+    "departure_station_name",
+    "departure_region_code",
+    "departure_station_type",
+    "departure_grid_id",
+    "arrival_station_id",
+    "arrival_station_name",
+    "arrival_region_code",
+    "arrival_station_type",
+    "arrival_grid_id",
+    "trip_type",
+    "use_count",
+    "unique_use_count",
+    "median_elapse_time",
+    "average_elapse_time",
+    "median_distance",
+    "average_distance",
+    "median_transfer_count",
+    "average_transfer_count",
+    "departure_station_geometry",
+    "arrival_station_geometry",
+]
+
+DAILY_LOAD_KEY = ("standard_date", "hour", *OD_LOAD_KEY[1:-1], "trip_type")
+
+DAILY_LOAD = Contract(
+    lengths={"hour": 2, "trip_type": 2, **{c: n for c, n in OD_LOAD.lengths.items() if c.startswith(("departure", "arrival"))}}
+    | {"departure_station_type": 2, "arrival_station_type": 2},
+    numerics={
+        "use_count": (10, 0),
+        "unique_use_count": (10, 0),
+        **{f"{kind}_{what}": (6, scale) for what, scale in (("elapse_time", 0), ("distance", 0), ("transfer_count", 1)) for kind in ("median", "average")},
+    },
+    required=DAILY_LOAD_KEY,
+    key=DAILY_LOAD_KEY,
+)
