@@ -6,9 +6,13 @@ far. Two documents with similarity s stay together at a step with probability 1
 ``SMALL`` documents are compared exhaustively; larger ones are first compared with a few of their documents (the
 pivots), lose nothing but what is already known to be one component, and branch again. Links are confirmed on whole sets.
 
-Documents with equal sets are one class from the start. Signatures only choose what is compared: with a pair at the
-threshold the chance that no tree brings it together, or that its signatures look too different, is below one in 10^5
-at the usual depths.
+Documents with equal sets are one class from the start. Signatures only choose what is compared. A pair at the threshold
+of 85 (80) percent has too few equal coordinates for ``MARGIN`` with a chance of 6.3e-7 (4.2e-6), and no tree of one level
+brings it together with one of 2.6e-7 (2.6e-6): together below one in 10^5.
+
+What is found alike is a group, whose whole sets meet once. A group of more than ``GROUP_SHINGLES`` is cut into chunks of
+documents, each with one document of the first beside its own; only where these leave a group in several components, its
+chunks meet pair by pair. So groups cost rows in proportion to their documents, whatever they weigh.
 """
 
 from __future__ import annotations
@@ -36,9 +40,11 @@ SMALL = 3000
 PIVOTS = 4
 LEVELS = 12
 #: A pair isn't looked at when its share of equal signature coordinates is this much below the threshold.
-MARGIN = 0.2
-#: Shingles of a group beyond which its pairs are compared one by one.
+MARGIN = 0.25
+#: Shingles of a group beyond which it is compared chunk by chunk; a chunk has half as many, or one document.
 GROUP_SHINGLES = 2_000_000
+#: Words of 64 bits of the map that tells most texts apart from those whose sets are wanted: the map has 16 MB at most.
+MAP_WORDS = 1 << 20
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -111,17 +117,18 @@ def described(docs: DataFrame, width: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, width: int) -> DataFrame:
-    """(key, hashes) of rows (id, text)."""
+    """(key, hashes, groups, large) of rows (text, groups, large)."""
 
     def run(batches):
         for batch in batches:
-            for _, texts in slices(batch, "text"):
+            for part, texts in slices(batch, "text"):
                 values, begin = shingle_sets(texts, width)
                 keys = [hashlib.blake2b(values[a:b].tobytes(), digest_size=16).digest() if b > a else None for a, b in itertools.pairwise(begin)]
                 rows = pa.LargeListArray.from_arrays(pa.array(begin), pa.array(values.view(np.int64))).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), rows], names=["key", "hashes"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), rows, part.column(1), part.column(2)], names=["key", "hashes", "groups", "large"])
 
-    return docs.select("text").mapInArrow(run, "key binary, hashes array<bigint>").where(F.col("key").isNotNull())
+    found = docs.select("text", "groups", "large").mapInArrow(run, "key binary, hashes array<bigint>, groups array<bigint>, large boolean")
+    return found.where(F.col("key").isNotNull())
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
@@ -167,8 +174,16 @@ def _alike(sig: np.ndarray, least: float) -> np.ndarray:
 
 
 def met_in(groups_: DataFrame) -> DataFrame:
-    """(key, met): the groups that each document is in, as names of 8 bytes."""
-    return groups_.select(F.xxhash64("members").alias("g"), F.explode("members").alias("key")).groupBy("key").agg(F.collect_set("g").alias("met"))
+    """(key, met): the groups that each document is in, as names of 8 bytes; chunks of a group count as the group."""
+    name = F.coalesce("heavy", F.xxhash64("members"))
+    return groups_.select(name.alias("g"), F.explode("members").alias("key")).groupBy("key").agg(F.collect_set("g").alias("met"))
+
+
+def _chunks(members: np.ndarray, weight: np.ndarray) -> list[list[bytes]]:
+    """``members`` in runs of about ``GROUP_SHINGLES / 2``, the first member in each."""
+    run = np.cumsum(weight) // max(1, GROUP_SHINGLES // 2)
+    parts = [list(members[run == r]) for r in np.unique(run)]
+    return [parts[0], *[[members[0], *p] for p in parts[1:]]]
 
 
 def _share(groups_of: np.ndarray) -> np.ndarray:
@@ -181,9 +196,10 @@ def _share(groups_of: np.ndarray) -> np.ndarray:
 
 
 def groups(nodes: DataFrame, classes: DataFrame, percent: int, met: DataFrame | None = None) -> DataFrame:
-    """(members): in each small node, the documents that pairs with alike signatures connect.
+    """(members, heavy): in each small node, the documents that pairs with alike signatures connect.
 
-    Pairs that stand in a group of ``met`` together are compared there, and don't count again.
+    A group that is too heavy for one comparison is several rows, its chunks, with the group's name as ``heavy``. Pairs that
+    stand in a group of ``met`` together are compared there, and don't count again.
     """
     whole = nodes.join(classes.select("key", "n_shingles", "sig"), "key")
     whole = whole.join(met, "key", "left") if met is not None else whole.withColumn("met", F.lit(None).cast("array<bigint>"))
@@ -205,7 +221,8 @@ def groups(nodes: DataFrame, classes: DataFrame, percent: int, met: DataFrame |
             groups_of = -np.arange(1, len(held) + 1)[:, None] - np.zeros((1, max(1, held.max())), np.int64)
             groups_of[np.repeat(np.arange(len(held)), held), spread(np.zeros(len(held), np.int64), held)] = seen.flatten().to_numpy()
             begin = np.cumsum(sizes) - sizes
-            out = []
+            out: list[list[bytes]] = []
+            heavy: list[int | None] = []
             for n in np.unique(sizes[sizes > 1]):
                 at = begin[sizes == n]
                 step = max(1, 1_000_000 // n**2)
@@ -216,18 +233,23 @@ def groups(nodes: DataFrame, classes: DataFrame, percent: int, met: DataFrame |
                         near &= ~_share(groups_of[place])
                     hit = np.flatnonzero(near.any((1, 2)))
                     near = near[hit]
-                    for node, part, graph in zip(place[hit], _components(near), near):
+                    for node, part in zip(place[hit], _components(near)):
                         for c in np.unique(part):
                             members = node[part == c]
                             if len(members) < 2 or len(set(label[members])) < 2:
                                 continue
+                            members = members[np.argsort(key[members])]
                             if weight[members].sum() <= GROUP_SHINGLES:
-                                out.append(sorted(key[members]))
+                                out.append(list(key[members]))
+                                heavy.append(None)
                             else:
-                                out += [sorted((key[node[i]], key[node[j]])) for i, j in zip(*np.nonzero(np.triu(graph))) if part[i] == c]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.binary()))], names=["members"])
+                                parts = _chunks(key[members], weight[members])
+                                name = xxhash.xxh64_intdigest(b"".join(key[members])) - (1 << 63)
+                                out += parts
+                                heavy += [name] * len(parts)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.binary())), pa.array(heavy, pa.int64())], names=["members", "heavy"])
 
-    return gathered.mapInArrow(run, "members array<binary>")
+    return gathered.mapInArrow(run, "members array<binary>, heavy bigint")
 
 
 def _linked(values: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
@@ -256,12 +278,9 @@ def _linked(values: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
     return label
 
 
-def links_within(groups_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) for documents that confirmed links connect within a group; one row per document but the group's first."""
-    # The same group from several trees is compared once.
-    once = groups_.groupBy(F.xxhash64("members").alias("h"), "members").agg(F.count(F.lit(1)).alias("_")).select(F.monotonically_increasing_id().alias("group"), "members")
-    rows = _stored(once, "groups").select("group", F.explode("members").alias("key"))
-    gathered = rows.join(sets, "key").groupBy("group").agg(F.collect_list(F.struct("key", "hashes")).alias("rows"))
+def links_of_groups(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b) for documents that confirmed links connect within a group, of rows (group, key, hashes); one row per document at most."""
+    gathered = rows.groupBy("group").agg(F.collect_list(F.struct("key", "hashes")).alias("rows"))
 
     def run(batches):
         for batch in batches:
@@ -277,6 +296,28 @@ def links_within(groups_: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return gathered.mapInArrow(run, "a binary, b binary")
 
 
+def links_within(groups_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``links_of_groups`` for groups (members), with their documents' sets looked up."""
+    # The same group from several trees is compared once.
+    rows = groups_.select(F.xxhash64("members").alias("group"), F.explode("members").alias("key")).distinct()
+    return links_of_groups(rows.join(sets.select("key", "hashes"), "key").select("group", "key", "hashes"), percent)
+
+
+def links_between_chunks(groups_: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """Links that chunks of heavy groups have with each other, where ``roots`` (key, root) leave a group in several components."""
+    chunks = groups_.where("heavy IS NOT NULL").select("heavy", "members").distinct()
+    if chunks.isEmpty():
+        return None
+    label = F.coalesce("root", "key")
+    seen = chunks.withColumn("key", F.explode("members")).join(roots, "key", "left").groupBy("heavy", "members").agg(F.min(label).alias("low"), F.max(label).alias("high"))
+    seen = _stored(seen, "chunks")
+    one, other = (seen.select("heavy", F.col("members").alias(m), F.col("low").alias(f"low_{m}"), F.col("high").alias(f"high_{m}")) for m in ("m", "o"))
+    apart = (F.col("low_m") != F.col("high_o")) | (F.col("low_o") != F.col("high_m"))
+    # Chunks and not documents: a node has SMALL documents at most, and a chunk is one or half of GROUP_SHINGLES.
+    pairs = one.join(other, "heavy").where((F.col("m") < F.col("o")) & apart).select(F.array_union("m", "o").alias("members"))
+    return links_within(pairs, sets, percent)
+
+
 def pivot_links(nodes: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b) for documents of large nodes that are linked with a pivot of their node."""
     pairs = nodes.select(F.explode("pivots").alias("pivot"), "key").where(F.col("key") != F.col("pivot")).distinct()
@@ -324,6 +365,22 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _likely(source: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``source`` whose id may be among ``ids``: all that are, and few others while ids are fewer than bits.
+
+    A map of ``MAP_WORDS`` words of 64 bits, one bit per id by its hash, is all that is broadcast, however many ids there are.
+    """
+
+    def place(of: str) -> tuple[Column, Column]:
+        h = F.xxhash64(of)
+        bit = F.lit(1).cast("bigint")
+        return F.pmod(h, F.lit(MAP_WORDS)).alias("word"), F.call_function("shiftleft", bit, F.pmod(F.shiftright(h, 20), F.lit(64)).cast("int")).alias("bit")
+
+    marks = ids.select(*place("id")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    placed = source.select("*", *place("id")).join(F.broadcast(marks), "word")
+    return placed.where(F.col("bits").bitwiseAND(F.col("bit")) != 0).drop("word", "bit", "bits")
+
+
 def _descend(large: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, found: list[DataFrame]) -> list[DataFrame]:
     """Take large nodes apart level by level: pivots' links are returned, groups of small nodes are added to ``found``."""
     links: list[DataFrame] = []
@@ -332,7 +389,6 @@ def _descend(large: DataFrame, classes: DataFrame, sets: DataFrame, percent: int
     # Levels read what these nodes hold, not the whole tables again.
     own = large.select("key").distinct()
     classes = _stored(classes.join(own, "key", "left_semi").select("key", "n_shingles", "sig"), "classes-of-nodes")
-    sets = _stored(sets.join(own, "key", "left_semi"), "sets-of-nodes")
     for level in range(1, LEVELS + 1):
         if large.isEmpty():
             break
@@ -376,16 +432,27 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     found = [_stored(groups(nodes[0].where(F.col("n") <= SMALL), classes, percent), "groups-of-nodes")]
     found.append(_stored(groups(nodes[1].where(F.col("n") <= SMALL), classes, percent, met_in(found[0])), "groups-of-nodes"))
     large = _union(nodes).where(F.col("n") > SMALL)
-    members = _union(found).select(F.explode("members").alias("key"))
-    wanted = members.union(large.select("key")).distinct()
-    ids = wanted.join(classes, "key").select(F.col("least_id").alias("id")).distinct()
-    texts = source.join(ids.hint("shuffle_hash"), source["id"].eqNullSafe(ids["id"]), "left_semi")
-    sets = _stored(sets_of(texts, width).join(wanted, "key", "left_semi").dropDuplicates(["key"]), "sets")
-
-    links = _descend(large, classes, sets, percent, found)
     every = _union(found)
-    all_links = _union([links_within(every, sets, percent), *links])
+    # Each document's groups go with its text, so that its set goes to them once, straight from where it is made.
+    of_key = every.select(F.explode("members").alias("key"), F.xxhash64("members").alias("g"), F.lit(False).alias("large"))
+    of_key = of_key.unionByName(large.select("key", F.lit(True).alias("large")).distinct(), allowMissingColumns=True)
+    of_key = of_key.groupBy("key").agg(F.collect_set("g").alias("groups"), F.max("large").alias("large"))
+    ids = of_key.join(classes.select("key", "least_id"), "key").groupBy(F.col("least_id").alias("id"))
+    # Rows of one id with other sets are compared along with it: they get links that they have, no others.
+    ids = _stored(ids.agg(F.array_distinct(F.flatten(F.collect_list("groups"))).alias("groups"), F.max("large").alias("large")), "wanted")
+    texts = _likely(source, ids).join(ids.withColumnRenamed("id", "wanted").hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("wanted")))
+    sets = _stored(sets_of(texts, width), "sets")
+
+    links = [links_of_groups(sets.select(F.explode("groups").alias("group"), "key", "hashes"), percent)]
+    early = len(found)
+    links += _descend(large, classes, sets.where("large").select("key", "hashes"), percent, found)
+    if found[early:]:
+        links.append(links_within(_union(found[early:]), sets.where("large"), percent))
+    all_links = _stored(_union(links), "confirmed")
     roots_of = connected(all_links)
+    more = links_between_chunks(_union(found), roots_of, sets, percent)
+    if more is not None:
+        roots_of = connected(all_links.union(_stored(more, "confirmed")))
     joined = classes.select("key", "least_id").join(roots_of, "key", "left").select("key", "least_id", F.coalesce("root", "key").alias("root"))
     least = joined.groupBy("root").agg(F.min("least_id").alias("component"))
     of_class = joined.join(least, "root").select("key", "component")
