@@ -140,6 +140,13 @@ def g5(spark, sf):
     return anchored(spark, sf)[2]
 
 
+@query("q_g5_anchors_joins", "SELECT * FROM anchors", "anchors")
+def g5_joins(spark, sf):
+    """Every card through the joins that cards with many stops take."""
+    trips, stops = jobs.staged(trips_of(spark, sf), "trips"), jobs.staged(clean_stops(spark, sf), "stops")
+    return jobs.find_anchors(trips, stops, holidays(spark), small_card=0)
+
+
 @query("q_g6_all_anchors", "SELECT * FROM anchors", "anchors")
 def g6(spark, sf):
     """From candidate rows, each window clustered on its own, then merged and

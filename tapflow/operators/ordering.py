@@ -32,7 +32,8 @@ def nth_row(df: DataFrame, key: str | list[str], order: list[str], n: int) -> Da
 
 
 def nth_trip(df: DataFrame, n: int, key: str | list[str] = "card_id") -> DataFrame:
-    return nth_row(df, key, ["board_ts", "txn_id"], n)
+    """The n-th trip in a total order: copies of a boarding can't trade places."""
+    return nth_row(df, key, TRIP_ORDER, n)
 
 
 def cards_with(

@@ -29,10 +29,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def find_anchors(trips: DataFrame, stops: DataFrame, holidays: DataFrame, by_month: bool = False) -> DataFrame:
+def find_anchors(
+    trips: DataFrame, stops: DataFrame, holidays: DataFrame, by_month: bool = False, small_card: int = anchor_ops.SMALL_CARD
+) -> DataFrame:
     """Home and work stops of every card with enough rows in both windows.
 
-    ``by_month``: cards are those of ``cards_of_months`` and ``stops`` a history.
+    ``by_month``: cards are those of ``cards_of_months`` and ``stops`` a history. Cards with more than ``small_card``
+    visited stops are clustered by joins.
     """
     visits = anchor_ops.eligible_visits(anchor_ops.trip_visits(trips, holidays))
     keyed = visits.withColumnsRenamed({"stop_id": "at_stop", "region_code": "at_region", "mode": "at_mode"})
@@ -48,7 +51,7 @@ def find_anchors(trips: DataFrame, stops: DataFrame, holidays: DataFrame, by_mon
             "at_y_5179": "y",
         }
     )
-    return anchor_ops.anchors_from_visits(located.drop("ym"))
+    return anchor_ops.anchors_from_visits(located.drop("ym"), small_card=small_card)
 
 
 MONTH_OF_CARD = "|"
