@@ -32,8 +32,8 @@ def nth_row(df: DataFrame, key: str | list[str], order: list[str], n: int) -> Da
 
 
 def nth_trip(df: DataFrame, n: int, key: str | list[str] = "card_id") -> DataFrame:
-    """The n-th trip in a total order: copies of a boarding can't trade places."""
-    return nth_row(df, key, TRIP_ORDER, n)
+    """The n-th trip in the order of all columns of TRIP_ORDER that there are: copies of a boarding can't trade places."""
+    return nth_row(df, key, [c for c in TRIP_ORDER if c in df.columns], n)
 
 
 def cards_with(
