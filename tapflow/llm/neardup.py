@@ -259,7 +259,8 @@ def _linked(values: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
     not yet taken are one component, no pair is left that could join two.
     """
     held, place = np.unique(values, return_inverse=True)
-    row = np.repeat(np.arange(len(size)), size)
+    place = place.astype(np.int32)
+    row = np.repeat(np.arange(len(size), dtype=np.int32), size)
     begin = np.append(0, np.cumsum(size))
     common = np.bincount(row, np.bincount(place)[place], len(size)) / size
     label = np.arange(len(size))
@@ -280,20 +281,15 @@ def _linked(values: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
 
 def links_of_groups(rows: DataFrame, percent: int) -> DataFrame:
     """(a, b) for documents that confirmed links connect within a group, of rows (group, key, hashes); one row per document at most."""
-    gathered = rows.groupBy("group").agg(F.collect_list(F.struct("key", "hashes")).alias("rows"))
 
-    def run(batches):
-        for batch in batches:
-            a, b = [], []
-            for rows in batch.column(1):
-                keys = [k.as_py() for k in rows.values.field("key")]
-                lists = rows.values.field("hashes")
-                for i, root in enumerate(_linked(lists.flatten().to_numpy(), lists.value_lengths().to_numpy(), percent)):
-                    if i != root:
-                        a.append(keys[root]), b.append(keys[i])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
-
-    return gathered.mapInArrow(run, "a binary, b binary")
+    def run(group: pa.Table) -> pa.Table:
+        # One group at a time: a task holds no more than its heaviest group.
+        key, lists = group.column("key").combine_chunks(), group.column("hashes").combine_chunks()
+        root = _linked(lists.flatten().to_numpy(), lists.value_lengths().to_numpy(), percent)
+        other = np.flatnonzero(root != np.arange(len(root)))
+        return pa.table({"a": key.take(pa.array(root[other])), "b": key.take(pa.array(other))})
+
+    return rows.groupBy("group").applyInArrow(run, "a binary, b binary")
 
 
 def links_within(groups_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
