@@ -459,6 +459,24 @@ def test_entries_count_only_while_active(spark):
     assert {r["verdict"] for r in urlfilters.judge(captures, edits.where("false")).collect()} == {"none"}
 
 
+def test_entries_within_a_segment_and_in_capitals(spark):
+    entries = ["bad.example/ab", "Caps.Example", "deep.example/a/b/c", "x.y.z.example/", "bad.example/ab/cd/", None, ""]
+    edits = spark.createDataFrame([("l", "block", e, True) for e in entries], "list string, action string, entry string, added boolean").withColumn("at", F.lit("2024-01-01").cast("timestamp_ntz"))
+    urls = ["http://bad.example/abc", "http://bad.example/ab", "http://bad.example/a", "http://bad.example", "http://WWW.caps.EXAMPLE/q", "http://deep.example/a/b/cde/f", "http://deep.example/a/b/", "http://w.x.y.z.example/q?r", "http://x.y.z.example",
+            "http://y.z.example/", "http://bad.example/ab/cd/e", "http://deep.example/" + "a/" * 20_000, "http://" + "a." * 20_000 + "caps.example/", "http://example/", "http:///x"]
+    captures = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("fetched_at", F.lit("2024-03-05").cast("timestamp_ntz"))
+
+    def meets(url: str, entry: str) -> bool:
+        host, _, path = url.removeprefix("http://").partition("/")
+        domain, _, rest = entry.partition("/")
+        path, rest = "/" * ("/" in url.removeprefix("http://")) + path.split("?")[0], "/" * ("/" in entry) + rest
+        return ("." + host.lower()).endswith("." + domain.lower()) and path.startswith(rest)
+
+    for row in urlfilters.judge(captures, edits).collect():
+        met = sorted((e for e in entries if e and meets(row["url"], e)), key=len)
+        assert (row["n_active"], row["entry"]) == (len(met), met[-1].lower() if met else None), row["url"][:60]
+
+
 # the pipeline
 
 
