@@ -1,12 +1,13 @@
 """Licence scans as an exact set-similarity join of text blocks with licence templates.
 
 A block is a run of ``2 * step`` words, one beginning every ``step`` words, so that a passage of up to ``step``
-words lies whole in some block. A block meets a template when it holds at least ``threshold`` of the template's
+words lies whole in some block; a template of more words has blocks of so many steps that it fits. A block meets a template when it holds at least ``threshold`` of the template's
 distinct words. Words are ordered by how often the corpus has them, rarest first. A block that meets a template
 of n words with an overlap of a must hold one of the template's n - a + 1 rarest words (prefix filter), at
 least a of the templates' words at all (length filter), and enough of them on either side of the shared word
 (positional filter); what passes is counted exactly. Words that no template has take no part, so a text is
-reduced to the places of template words before anything else happens.
+reduced to the places of template words before anything else happens. They are kept step by step and a block puts its own
+steps together: no block sees the rest of its text, and the work grows with a text's length.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ class Template:
         return "".join(c if c.isascii() and c.isalnum() else " " for c in self.text.lower()).split()
 
 
-# Phrases and opening sentences of public licences.
+# Phrases, opening sentences and one whole text of public licences.
 TEMPLATES = [
     Template("gpl", "gnu general public license", True),
     Template("apache", "apache license", True),
@@ -51,6 +52,10 @@ TEMPLATES = [
     Template("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License"),
     Template("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     Template("public-domain", "This is free and unencumbered software released into the public domain"),
+    Template(
+        "mit",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
 ]
 INDEX = "word string, template int, label string, phrase array<string>, words array<string>, size int, need int, place int, rank int"
 
@@ -71,13 +76,61 @@ def _index(templates: list[Template], order: list[str], threshold: float) -> lis
     return rows
 
 
-def reduced(docs: DataFrame, vocabulary: list[str], id_col: str, text_col: str) -> DataFrame:
-    """Each row as (row, id, n_words, hits): the places of template words."""
+def reduced(docs: DataFrame, vocabulary: list[str], step: int, id_col: str, text_col: str) -> DataFrame:
+    """Each row as (row, id, n_words, steps): the places of template words in every ``step`` words."""
     split = docs.select(F.col(id_col).alias("id"), words_of(F.col(text_col)).alias("words"))
     n = F.size("words")
-    at = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.col("words")[i].isin(vocabulary))
-    hits = F.when(n > 0, F.transform(at, lambda i: F.struct(i.alias("at"), F.col("words")[i].alias("word"))))
-    return split.select(F.monotonically_increasing_id().alias("row"), "id", n.cast("long").alias("n_words"), hits.alias("hits"))
+
+    def places(begin: Column) -> Column:
+        own = F.transform(F.slice("words", begin + 1, step), lambda w, i: F.struct((begin + i).alias("at"), w.alias("word")))
+        return F.filter(own, lambda h: h["word"].isin(vocabulary))
+
+    steps = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1, F.lit(step)), places))
+    return split.select(F.monotonically_increasing_id().alias("row"), "id", n.cast("long").alias("n_words"), steps.alias("steps"))
+
+
+def blocks_of(texts: DataFrame, times: int) -> DataFrame:
+    """(row, block, inside) of rows (row, steps): each run of ``2 * times`` steps that holds a template word."""
+    last = F.ceil(F.size("steps") / times).cast("int") - 1
+    runs = F.transform(F.sequence(F.lit(0), last), lambda b: F.struct(b.alias("block"), F.flatten(F.slice("steps", b * times + 1, 2 * times)).alias("inside")))
+    some = F.filter(F.when(F.size("steps") > 0, runs), lambda r: F.size(r["inside"]) > 0)
+    return texts.select("row", F.inline(some))
+
+
+def met_by(blocks: DataFrame, index: list[tuple], order: list[str], width: int) -> DataFrame:
+    """(row, template, label, phrase, starts, share) for blocks (row, block, inside), one every ``width`` words, and templates that meet."""
+    by_word = blocks.sparkSession.createDataFrame(index, INDEX)
+    probes = sorted({r[0] for r in index})
+    own = blocks.withColumn("own", F.array_distinct("inside.word"))
+    found = own.withColumn("word", F.explode(F.filter("own", lambda w: w.isin(probes)))).join(F.broadcast(by_word), "word")
+    have = F.size("own")
+    found = found.where(have >= F.col("need"))
+    # A block's words as ranks, so that smaller means rarer.
+    by_rank = F.create_map(*[x for i, w in enumerate(order) for x in (F.lit(w), F.lit(i))])
+    before = F.size(F.filter("own", lambda w: by_rank[w] < F.col("rank")))
+    most = F.least("place", before) + 1 + F.least(F.col("size") - F.col("place") - 1, have - before - 1)
+    found = found.where(most >= F.col("need"))
+    overlap = F.size(F.array_intersect("own", "words"))
+    met = found.withColumn("overlap", overlap).where(F.col("overlap") >= F.col("need"))
+    # A phrase's place belongs to the block in whose first half it begins.
+    starts = F.filter(
+        F.transform("inside", lambda h: h["at"]),
+        lambda a: (F.floor(a / width) == F.col("block"))
+        & F.forall(
+            F.sequence(F.lit(0), F.size("phrase") - 1),
+            lambda k: F.exists("inside", lambda h: (h["at"] == a + k) & (h["word"] == F.col("phrase")[k])),
+        ),
+    )
+    # Words of a template that a block shares meet it several times.
+    return (
+        met.withColumn("starts", F.when(F.col("phrase").isNotNull(), starts))
+        .groupBy("row", "template", "block")
+        .agg(F.first("label").alias("label"), F.first("starts").alias("starts"), F.first("phrase").alias("phrase"), F.first(F.col("overlap") / F.col("size")).alias("share"))
+    )
+
+
+def steps_of(template: Template, step: int) -> int:
+    return max(1, math.ceil(len(template.words) / step))
 
 
 def license_scan(
@@ -100,47 +153,21 @@ def license_scan(
     """
     if any(t.phrase and threshold * len(set(t.words)) <= len(set(t.words)) - 1 for t in templates):
         raise ValueError("a phrase must be held whole: raise the threshold")
-    if any(len(t.words) > step for t in templates):
-        raise ValueError("a template must fit in a step")
     spark = docs.sparkSession
     vocabulary = sorted({w for t in templates for w in t.words})
     path = scratch_path(spark, "license-words")
-    reduced(docs, vocabulary, id_col, text_col).write.parquet(path)
+    reduced(docs, vocabulary, step, id_col, text_col).write.parquet(path)
     texts = spark.read.parquet(path)
-    counted = texts.select(F.explode("hits.word").alias("word")).groupBy("word").count().collect()
+    counted = texts.select(F.explode(F.flatten("steps").getField("word")).alias("word")).groupBy("word").count().collect()
     times = {r["word"]: r["count"] for r in counted}
     order = sorted(vocabulary, key=lambda w: (times.get(w, 0), w))
-    index = spark.createDataFrame(_index(templates, order, threshold), INDEX)
-    probes = sorted({r[0] for r in _index(templates, order, threshold)})
-
-    found = texts.select("row", "hits", F.explode(F.filter("hits", lambda h: h["word"].isin(probes))).alias("probe"))
-    joined = found.join(F.broadcast(index), F.col("probe.word") == F.col("word"))
-    last = F.floor(F.col("probe.at") / step)
-    blocks = joined.withColumn("block", F.explode(F.when(last > 0, F.array(last - 1, last)).otherwise(F.array(last))))
-    inside = F.filter("hits", lambda h: (h["at"] >= F.col("block") * step) & (h["at"] < (F.col("block") + 2) * step))
-    # A block's words as ranks, so that smaller means rarer.
-    by_rank = F.create_map(*[x for i, w in enumerate(order) for x in (F.lit(w), F.lit(i))])
-    blocks = blocks.withColumn("inside", inside).withColumn("own", F.array_distinct("inside.word"))
-    have = F.size("own")
-    blocks = blocks.where(have >= F.col("need"))
-    before = F.size(F.filter("own", lambda w: by_rank[w] < F.col("rank")))
-    most = F.least("place", before) + 1 + F.least(F.col("size") - F.col("place") - 1, have - before - 1)
-    blocks = blocks.where(most >= F.col("need"))
-    share = F.size(F.array_intersect("own", "words"))
-    met = blocks.withColumn("overlap", share).where(F.col("overlap") >= F.col("need"))
-    # A phrase's place belongs to the block in whose first half it begins.
-    starts = F.filter(
-        F.transform("inside", lambda h: h["at"]),
-        lambda a: (F.floor(a / step) == F.col("block"))
-        & F.forall(
-            F.sequence(F.lit(0), F.size("phrase") - 1),
-            lambda k: F.exists("inside", lambda h: (h["at"] == a + k) & (h["word"] == F.col("phrase")[k])),
-        ),
-    )
-    met = met.withColumn("starts", F.when(F.col("phrase").isNotNull(), starts))
-    single = met.groupBy("row", "template", "block").agg(
-        F.first("label").alias("label"), F.first("starts").alias("starts"), F.first("phrase").alias("phrase"), F.first(F.col("overlap") / F.col("size")).alias("share")
-    )
+    index = _index(templates, order, threshold)
+    # One pass per length of blocks: most templates fit in a step, whole licences in a few.
+    single = None
+    for n in sorted({steps_of(t, step) for t in templates}):
+        fitting = [row for row in index if steps_of(templates[row[1]], step) == n]
+        more = met_by(blocks_of(texts, n), fitting, order, n * step)
+        single = more if single is None else single.unionByName(more)
     # A phrase labels a text only where its words stand one after another.
     single = single.where(F.col("phrase").isNull() | (F.size("starts") > 0))
     per_row = single.groupBy("row").agg(
@@ -160,13 +187,14 @@ def license_scan(
 
 def oracle() -> str:
     """Every block against every template, without any filter."""
-    rows = ", ".join(f"({i}, '{t.label}', {t.phrase}, {t.words!r})" for i, t in enumerate(TEMPLATES))
+    rows = ", ".join(f"({i}, '{t.label}', {t.phrase}, {STEP * steps_of(t, STEP)}, {t.words!r})" for i, t in enumerate(TEMPLATES))
     return f"""
-WITH templates(template, label, phrase, words) AS (VALUES {rows}),
+WITH templates(template, label, phrase, width, words) AS (VALUES {rows}),
 texts AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
-blocks AS (SELECT row, list_distinct(w[{STEP} * b + 1 : {STEP} * (b + 2)]) AS own FROM (SELECT row, w, unnest(range(0, (len(w) + {STEP} - 1) // {STEP})) AS b FROM texts)),
+widths AS (SELECT DISTINCT width FROM templates WHERE NOT phrase),
+blocks AS (SELECT row, width, list_distinct(w[width * b + 1 : width * (b + 2)]) AS own FROM (SELECT row, w, width, unnest(range(0, (len(w) + width - 1) // width)) AS b FROM texts, widths)),
 shares AS (SELECT row, template, label, max(len(list_intersect(own, words)) / len(list_distinct(words))) AS share
-  FROM blocks, templates WHERE NOT phrase GROUP BY ALL HAVING share >= {THRESHOLD}),
+  FROM blocks JOIN templates USING (width) WHERE NOT phrase GROUP BY ALL HAVING share >= {THRESHOLD}),
 places AS (SELECT row, template, label, unnest(list_filter(range(0, len(w)), lambda i: w[i + 1 : i + len(words)] = words)) AS spot FROM texts, templates WHERE phrase),
 phrases AS (SELECT row, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY row),
 labels AS (SELECT row, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score

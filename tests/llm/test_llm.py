@@ -254,6 +254,19 @@ def test_license_places_and_templates(spark):
     assert licenses.license_scan(docs.where("false")).count() == 0
 
 
+def test_whole_licence_and_long_texts(spark):
+    whole = max(licenses.TEMPLATES, key=lambda t: len(t.words))
+    assert len(whole.words) > 150
+    # Without its beginning, which is a template of its own; across any place of a block; with every tenth word another.
+    late = " ".join(whole.words[25:])
+    changed = " ".join("x" if i % 10 == 0 else w for i, w in enumerate(whole.words))
+    rows = [(i, "z " * (i * 37) + late + " y" * i) for i in range(12)] + [(12, changed), (13, " ".join(whole.words[:12])), (14, "mit license " * 16_000), (15, "mit " * 20_000)]
+    got = {r["doc_id"]: r for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i]["labels"] == "mit" and got[i]["score"] >= 0.8 and got[i]["n_base"] == 0 for i in range(13))
+    assert got[13]["labels"] == got[15]["labels"] == ""
+    assert tuple(got[14])[1:4] == (32_000, 16_000, 0) and got[14]["last_word"] == 31_998 and got[14]["labels"] == "mit"
+
+
 # 3: secrets
 
 
