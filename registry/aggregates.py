@@ -81,10 +81,7 @@ def a2(spark, sf):
 
 @query("q_a3_valid_cards", "SELECT card_id FROM valid_cards", "valid_cards")
 def a3(spark, sf):
-    trips, stops, off = trips_of(spark, sf), clean_stops(spark, sf), holidays(spark)
-    return anchor_ops.valid_cards(
-        anchor_ops.candidate_stops(trips, stops, off, "residence"), anchor_ops.candidate_stops(trips, stops, off, "office")
-    )
+    return anchor_ops.enough_rows(anchor_ops.window_rows(trips_of(spark, sf), holidays(spark)))
 
 
 @query(
@@ -97,12 +94,7 @@ FROM (SELECT * FROM residence UNION ALL SELECT * FROM office)
     "office",
 )
 def a4(spark, sf):
-    trips, stops, off = trips_of(spark, sf), clean_stops(spark, sf), holidays(spark)
-    both = [
-        anchor_ops.candidate_stops(trips, stops, off, kind).withColumn("location_type", F.lit(kind))
-        for kind in ("residence", "office")
-    ]
-    return both[0].unionByName(both[1]).drop("event_ts")
+    return anchor_ops.candidates(trips_of(spark, sf), clean_stops(spark, sf), holidays(spark)).drop("event_ts")
 
 
 OD_ROUNDED = ("distance_avg", "distance_median", "time_avg", "time_median")

@@ -32,32 +32,57 @@ CANDIDATE_ENDS = {
 SMALL_CARD = 128
 
 
-def candidate_stops(
-    trips: DataFrame, stops: DataFrame, holidays: DataFrame, kind: str, cols: tuple[str, ...] = ("stop_name", "gps_y", "gps_x")
-) -> DataFrame:
-    """Stops a card used in the hours that hint at ``residence`` or ``office``.
-
-    Long form: one row per trip end on business days.
-    """
+def window_rows(trips: DataFrame, holidays: DataFrame, kinds: tuple[str, ...] = tuple(CANDIDATE_ENDS)) -> DataFrame:
+    """One row per trip end on business days in the hours that hint at a kind of place, from one read of the trips."""
     days = business_days_only(trips, "op_date", holidays)
-    sides = []
-    for end, hours in CANDIDATE_ENDS[kind]:
-        here = days.where(hour_in(F.col(f"{end}_ts"), *hours))
-        named = enrich_stops(here, stops, list(cols), (end,))
-        sides.append(
-            named.select(
-                "op_date",
-                "card_id",
+    ends = [
+        F.when(
+            hour_in(F.col(f"{end}_ts"), *hours),
+            F.struct(
+                F.lit(kind).alias("location_type"),
                 F.col(f"{end}_stop").alias("stop_id"),
                 F.hour(f"{end}_ts").alias("hour"),
                 F.lit(end).alias("type"),
                 F.col(f"{end}_region").alias("region_code"),
                 F.col(f"{end}_mode").alias("mode"),
-                *[F.col(f"{end}_{c}").alias(c) for c in cols],
                 F.col(f"{end}_ts").alias("event_ts"),
-            )
+            ),
         )
-    return sides[0].unionByName(sides[1])
+        for kind in kinds
+        for end, hours in CANDIDATE_ENDS[kind]
+    ]
+    return days.select("op_date", "card_id", F.inline(F.array_compact(F.array(*ends))))
+
+
+def candidates(
+    trips: DataFrame,
+    stops: DataFrame,
+    holidays: DataFrame,
+    cols: tuple[str, ...] = ("stop_name", "gps_y", "gps_x"),
+    kinds: tuple[str, ...] = tuple(CANDIDATE_ENDS),
+) -> DataFrame:
+    """Stops a card used in the hours that hint at its home and work (``location_type``), long form.
+
+    All ends of all windows meet the stops in one join.
+    """
+    at = {"stop_id": "at_stop", "region_code": "at_region", "mode": "at_mode"}
+    named = enrich_stops(window_rows(trips, holidays, kinds).withColumnsRenamed(at), stops, list(cols), ("at",))
+    back = {new: old for old, new in at.items()} | {f"at_{c}": c for c in cols}
+    key = ["op_date", "card_id", "stop_id", "hour", "type", "region_code", "mode"]
+    return named.withColumnsRenamed(back).select(*key, *cols, "event_ts", "location_type")
+
+
+def candidate_stops(
+    trips: DataFrame, stops: DataFrame, holidays: DataFrame, kind: str, cols: tuple[str, ...] = ("stop_name", "gps_y", "gps_x")
+) -> DataFrame:
+    """``candidates`` for ``residence`` or ``office`` alone."""
+    return candidates(trips, stops, holidays, cols, (kind,)).drop("location_type")
+
+
+def enough_rows(rows: DataFrame, n: int = MIN_ROWS) -> DataFrame:
+    """Cards with at least ``n`` rows in each window, of rows of both (``window_rows``, ``candidates``): one count a card."""
+    each = [F.count_if(F.col("location_type") == kind) >= n for kind in CANDIDATE_ENDS]
+    return rows.groupBy("card_id").agg((each[0] & each[1]).alias("_enough")).where("_enough").select("card_id")
 
 
 def valid_cards(home: DataFrame, work: DataFrame, n: int = MIN_ROWS) -> DataFrame:
@@ -78,23 +103,7 @@ def trip_visits(trips: DataFrame, holidays: DataFrame) -> DataFrame:
     One row per (window, card, stop) with its row count and first use: what
     clustering needs, in one pass over the trips and one shuffle.
     """
-    days = business_days_only(trips, "op_date", holidays)
-    ends = []
-    for kind, sides in CANDIDATE_ENDS.items():
-        for end, hours in sides:
-            ends.append(
-                F.when(
-                    hour_in(F.col(f"{end}_ts"), *hours),
-                    F.struct(
-                        F.lit(kind).alias("location_type"),
-                        F.col(f"{end}_stop").alias("stop_id"),
-                        F.col(f"{end}_region").alias("region_code"),
-                        F.col(f"{end}_mode").alias("mode"),
-                        F.col(f"{end}_ts").alias("event_ts"),
-                    ),
-                )
-            )
-    rows = days.select("card_id", F.inline(F.array_compact(F.array(*ends))))
+    rows = window_rows(trips, holidays)
     return rows.groupBy("location_type", "card_id", "stop_id", "region_code", "mode").agg(
         F.count(F.lit(1)).alias("n"), F.min("event_ts").alias("first_ts")
     )

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tapflow.operators import anchors as ops
 
+from .conftest import TRIP_DDL, trip
+
 DDL = "location_type string, card_id string, stop_id bigint, region_code string, mode string, stop_name string, x double, y double, event_ts timestamp_ntz"
 START = dt.datetime(2025, 1, 6, 6)
 
@@ -147,3 +149,23 @@ def test_agreed_cells(spark):
     ]
     df = spark.createDataFrame(rows_, "card_id string, win string, cell bigint")
     assert [tuple(r) for r in ops.agreed_cells(df).collect()] == [("yes", 1, 9)]
+
+
+def test_candidates_read_each_table_once(spark, tmp_path):
+    rows = [trip("c", 1, 2, f"2025-01-{d:02} 08:00:00", f"2025-01-{d:02} 18:00:00", str(d)) for d in range(1, 32)]
+    rows += [trip("few", 2, 1, "2025-01-07 09:00:00", "2025-01-07 09:30:00"), trip(None, 1, 9, "2025-01-07 11:00:00", "2025-01-07 12:00:00")]
+    spark.createDataFrame(rows, TRIP_DDL).write.parquet(f"{tmp_path}/trips")
+    stops = [(i, "R0", "T", f"s{i}", 37.0, 127.0) for i in (1, 2)]
+    spark.createDataFrame(stops, "stop_id long, region_code string, mode string, stop_name string, gps_y double, gps_x double").write.parquet(f"{tmp_path}/stops")
+    trips, dim = spark.read.parquet(f"{tmp_path}/trips"), spark.read.parquet(f"{tmp_path}/stops")
+    off = spark.createDataFrame([], "holiday_date date")
+    got = ops.candidates(trips, dim, off)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2 + off._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+    sides = [ops.candidate_stops(trips, dim, off, kind).withColumn("location_type", F.lit(kind)) for kind in ("residence", "office")]
+    both = sides[0].unionByName(sides[1])
+    assert got.exceptAll(both.select(*got.columns)).isEmpty() and both.select(*got.columns).exceptAll(got).isEmpty()
+    plan = ops.enough_rows(ops.window_rows(trips, off))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    cards = [r.card_id for r in ops.enough_rows(got).collect()]
+    assert cards == [r.card_id for r in ops.valid_cards(*sides).collect()]
