@@ -326,8 +326,30 @@ _STAMPS = """FROM (SELECT ts_text, coalesce(TRY_CAST(substr(ts_text, 11, 1) AS I
  WHERE ts_text IS NOT NULL"""
 _AUDIT = "FROM modes m LEFT JOIN raw_stops s ON m.board_stop = s.stop_id AND m.region_code = s.region_code AND m.mode = s.mode"
 _E5 = [
-    *[f"SELECT 'nulls' AS section, '{c}' AS item, CAST(count(*) - count({c}) AS DOUBLE) AS value FROM taps" for c in _REPORTED],
-    *[f"SELECT 'columns', '{c}', CAST(count(DISTINCT {c}) AS DOUBLE) FROM taps" for c in _REPORTED],
+    *[
+        f"SELECT 'nulls' AS section, '{c}.{name}' AS item, CAST({value} AS DOUBLE) AS value FROM taps"
+        for c in _REPORTED
+        for name, value in {
+            "nulls": f"count(*) - count({c})",
+            "total": "count(*)",
+            "null_pct": f"round_even((count(*) - count({c})) / count(*) * 100.0, 2)",
+        }.items()
+    ],
+    *[
+        f"SELECT 'columns', '{c}.{name}', CAST({value} AS DOUBLE) FROM taps"
+        for c in _REPORTED
+        for name, value in {
+            "total_count": f"count({c})",
+            "unique_count": f"count(DISTINCT {c})",
+            "null_count": f"count(*) - count({c})",
+            "blank_count": f"count(*) FILTER (WHERE CAST({c} AS VARCHAR) = '')",
+        }.items()
+    ],
+    *[
+        f"SELECT 'columns', '{c}.{name}', CAST({value} AS DOUBLE) FROM (SELECT count(*) AS n FROM taps WHERE {c} IS NOT NULL GROUP BY {c})"
+        for c in _REPORTED
+        for name, value in {"top_count": "max(n)", "rare_count": "min(n)"}.items()
+    ],
     """SELECT 'key_copies', 'keys', CAST(count(*) AS DOUBLE) FROM
  (SELECT 1 FROM raw_stops GROUP BY stop_id, region_code, mode HAVING count(*) > 1)""",
     "SELECT 'card_lengths', CAST(length(card_id) AS VARCHAR), CAST(count(*) AS DOUBLE) FROM taps GROUP BY length(card_id)",
@@ -369,8 +391,8 @@ def e5(spark, sf):
     whole = F.lit("all")
     return stacked(
         [
-            figures("nulls", report["nulls"], F.col("column_name"), "nulls"),
-            figures("columns", report["columns"], F.col("column_name"), "unique_count"),
+            figures("nulls", report["nulls"], F.col("column_name"), "nulls", "total", "null_pct"),
+            figures("columns", report["columns"], F.col("column_name"), "total_count", "unique_count", "null_count", "blank_count", "top_count", "rare_count"),
             figures("key_copies", report["key_copies"].agg(F.count(F.lit(1)).alias("n")), F.lit("keys"), "n"),
             figures("card_lengths", report["card_lengths"], F.col("len").cast("string"), "n"),
             figures("coordinates", report["coordinates"], F.col("issue"), "n"),
