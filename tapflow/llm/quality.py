@@ -1,25 +1,25 @@
 """Quality classifier: random-indexing word vectors, pooled per document, and a two-layer network.
 
-Random indexing: every word form has a fixed sparse vector of a few +1 and -1 (its *index vector*); its *context
-vector* is the sum of the index vectors of its neighbours over the whole corpus. Forms are hashed to ``BUCKETS``
-rows, so the table's size is a parameter and not the corpus's. A document is the mean of its words' context vectors
-and of their index vectors, with a few statistics of that pooling. The network is fitted in numpy on a
+Random indexing: every word form has a fixed sparse vector of a few +1 and -1, its own *index vector*, which comes from
+its hash and needs no table; its *context vector* is the sum of the index vectors of its neighbours over the whole corpus.
+Context vectors are kept in a number of rows that is a parameter (``buckets``) and not the corpus's: forms of one row
+share their contexts, never their index vectors. A document is what its words' vectors pool to: their sums, the means
+of both and the spread of the context vectors. Nothing else enters a score. The network is fitted in numpy on a
 bounded sample of labelled rows and its probabilities are calibrated by a temperature on rows it was not fitted on.
 """
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tapflow.session import scratch_path
 
-from .rules import repeated_words
 from .words import SPACE, bytes_of, packed, slices
 
 BUCKETS = 8192
@@ -30,7 +30,8 @@ REACH = 2
 #: Most labelled rows that the network is fitted on.
 FIT_ROWS = 30_000
 THRESHOLD = 0.3
-STATISTICS = 8
+#: Words whose vectors are added up at once.
+STEP = 1 << 16
 
 #: 1 upper-case letter, 2 other letter, 3 digit, 4 anything else.
 _KIND = np.full(256, 4, np.uint8)
@@ -40,14 +41,21 @@ _KIND[128:] = 2
 _KIND[48:58] = 3
 
 
-def index_vectors(buckets: int = BUCKETS, dimensions: int = DIMENSIONS) -> tuple[np.ndarray, np.ndarray]:
-    """(places, signs) of each bucket's nonzero entries; the same everywhere."""
-    draw = np.random.default_rng(20_240_917)
-    return draw.integers(0, dimensions, (buckets, NONZERO)), draw.choice([-1, 1], (buckets, NONZERO))
+def index_vectors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, signs), each (forms, NONZERO): the nonzero entries of each form's index vector, from its 64-bit hash."""
+    k = np.arange(NONZERO, dtype=np.uint64)
+    places = (hashes[:, None] >> (k * np.uint64(8))) % np.uint64(DIMENSIONS)
+    signs = (hashes[:, None] >> (k + np.uint64(8 * NONZERO))) & np.uint64(1)
+    return places.astype(np.int64), 1 - 2 * signs.astype(np.int64)
+
+
+def rows_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """The row of each form's context vector, from bits that its index vector leaves alone."""
+    return ((hashes >> np.uint64(9 * NONZERO)) % np.uint64(buckets)).astype(np.int64)
 
 
 def forms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of letters, digits or signs: (text of each, bucket of each, kind of each). Case is kept."""
+    """Runs of letters, digits or signs: (text of each, number of each among the distinct forms, the forms' hashes). Case is kept."""
     data, offsets = bytes_of(texts)
     kind = _KIND[data]
     inside = ~SPACE[data]
@@ -59,13 +67,12 @@ def forms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     kept = np.cumsum(inside, dtype=np.int64)
     ends = np.append(kept[start] - 1, kept[-1] if len(kept) else 0)
     coded = packed(data[inside], ends).dictionary_encode()
-    hashed = np.fromiter((zlib.crc32(w) % BUCKETS for w in coded.dictionary.cast(pa.large_binary()).to_pylist()), np.int64, len(coded.dictionary))
-    row = np.searchsorted(offsets, start, "right") - 1
-    return row, hashed[coded.indices.to_numpy()], kind[start]
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in coded.dictionary.cast(pa.large_binary()).to_pylist()), np.uint64, len(coded.dictionary))
+    return np.searchsorted(offsets, start, "right") - 1, coded.indices.to_numpy(), hashes
 
 
-def context_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Context vectors of all buckets over all texts, whole numbers.
+def context_vectors(docs: DataFrame, buckets: int = BUCKETS, text_col: str = "text") -> np.ndarray:
+    """Context vectors of all rows over all texts, whole numbers.
 
     A task adds up its own texts; what is shuffled is one row per bucket and task, and what comes to the driver
     is one row per bucket.
@@ -73,70 +80,65 @@ def context_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     columns = [f"c{i}" for i in range(DIMENSIONS)]
 
     def add(batches):
-        places, signs = index_vectors()
-        total = np.zeros(BUCKETS * DIMENSIONS)
+        total = np.zeros(buckets * DIMENSIONS)
         for batch in batches:
             for _, texts in slices(batch, "text"):
-                row, bucket, _ = forms(texts)
+                row, code, hashes = forms(texts)
+                places, signs = index_vectors(hashes)
+                base = rows_of(hashes, buckets) * DIMENSIONS
                 for step in range(1, REACH + 1):
                     near = np.flatnonzero(row[step:] == row[:-step])
-                    for a, b in ((bucket[near], bucket[near + step]), (bucket[near + step], bucket[near])):
+                    for a, b in ((code[near], code[near + step]), (code[near + step], code[near])):
                         for k in range(NONZERO):
-                            total += np.bincount(a * DIMENSIONS + places[b, k], signs[b, k], BUCKETS * DIMENSIONS)
-        table = total.astype(np.int64).reshape(BUCKETS, DIMENSIONS)
+                            total += np.bincount(base[a] + places[b, k], signs[b, k], buckets * DIMENSIONS)
+        table = total.astype(np.int64).reshape(buckets, DIMENSIONS)
         used = np.flatnonzero(table.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(used), *[pa.array(table[used, i]) for i in range(DIMENSIONS)]], names=["bucket", *columns])
 
     parts = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(add, ", ".join(["bucket bigint", *[f"{c} bigint" for c in columns]]))
     sums = parts.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in columns]).toArrow()
-    out = np.zeros((BUCKETS, DIMENSIONS))
+    out = np.zeros((buckets, DIMENSIONS))
     out[sums["bucket"].to_numpy()] = np.stack([sums[c].to_numpy() for c in columns], 1)
     return out
 
 
 def word_vectors(context: np.ndarray) -> np.ndarray:
-    """(bucket, 2 * dimensions): what a word adds to a document: its context's direction, and its own index vector."""
+    """(buckets, dimensions): the direction of each context vector, as it differs from the others'."""
     centred = context / np.maximum(np.abs(context).sum(1, keepdims=True), 1)
     centred = centred - centred.mean(0)
-    own = np.zeros_like(centred)
-    places, signs = index_vectors(*context.shape)
-    for k in range(NONZERO):
-        np.add.at(own, (np.arange(len(own)), places[:, k]), signs[:, k])
-    length = np.linalg.norm(centred, axis=1, keepdims=True)
-    return np.hstack([centred / np.maximum(length, 1e-9), own / NONZERO**0.5]).astype(np.float32)
+    return (centred / np.maximum(np.linalg.norm(centred, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
 def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
-    """The mean of each text's word vectors and statistics of the pooling, one row per text (zeros for no words)."""
-    row, bucket, kind = forms(texts)
-    n, width = len(texts), vectors.shape[1]
-    out = np.zeros((n, width + STATISTICS), np.float32)
-    size = np.bincount(row, minlength=n)
-    some = np.flatnonzero(size)
-    begin = (np.cumsum(size) - size)[some]
-    for at in range(0, len(some), 512):
-        few = some[at : at + 512]
-        low, high = begin[at], begin[at] + size[few].sum()
-        out[few, :width] = np.add.reduceat(vectors[bucket[low:high]], begin[at : at + 512] - low, axis=0) / size[few, None]
-    share = 1.0 / np.maximum(size, 1)
-    held = np.unique(row * BUCKETS + bucket) // BUCKETS
-    half = width // 2
-    out[:, width:] = np.stack(
-        [
-            np.log1p(size),
-            np.bincount(held, minlength=n) * share,
-            *[np.bincount(row[kind == k], minlength=n) * share for k in (1, 3, 4)],
-            np.linalg.norm(out[:, :half], axis=1),
-            np.linalg.norm(out[:, half:width], axis=1),
-            repeated_words(row, bucket, n) * share,
-        ],
-        1,
-    )
-    return out
+    """Per text: its number of words, the sums of their context and of their index vectors, the sum of squares of the former."""
+    row, code, hashes = forms(texts)
+    n, d = len(texts), DIMENSIONS
+    places, signs = index_vectors(hashes)
+    own = np.zeros(n * d)
+    for k in range(NONZERO):
+        own += np.bincount(row * d + places[code, k], signs[code, k], n * d)
+    place = rows_of(hashes, len(vectors))
+    sums, squares = np.zeros((n, d)), np.zeros((n, d))
+    for at in range(0, len(code), STEP):
+        within, v = row[at : at + STEP], vectors[place[code[at : at + STEP]]]
+        first = np.flatnonzero(np.append(True, within[1:] != within[:-1]))
+        sums[within[first]] += np.add.reduceat(v, first, axis=0)
+        squares[within[first]] += np.add.reduceat(v * v, first, axis=0)
+    return np.hstack([np.bincount(row, minlength=n)[:, None], sums, own.reshape(n, d), squares]).astype(np.float32)
+
+
+def features(pools: np.ndarray) -> np.ndarray:
+    """What the network sees of rows of ``pooled``: means, spread and sums (on a logarithmic scale) of word vectors."""
+    size, sums, own, squares = np.split(pools.astype(np.float64), [1, 1 + DIMENSIONS, 1 + 2 * DIMENSIONS], axis=1)
+    size = np.maximum(size, 1)
+    mean = sums / size
+    spread = np.sqrt(np.maximum(squares / size - mean**2, 0))
+    long = np.log1p(np.abs(sums))
+    return np.hstack([mean, own / size / NONZERO**0.5, spread, np.sign(sums) * long, long, np.sign(own) * np.log1p(np.abs(own))])
 
 
 def document_vectors(docs: DataFrame, vectors: np.ndarray, keys: list[str], text_col: str = "text") -> DataFrame:
-    """``keys`` of each row and ``v``, its vector. No shuffle."""
+    """``keys`` of each row and ``v``, its row of ``pooled``. No shuffle."""
     source = docs.select(*keys, F.col(text_col).cast("string").alias("__text"))
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[: len(keys)]]
 
@@ -174,6 +176,22 @@ def _loss(logits: np.ndarray, y: np.ndarray) -> float:
     return float(np.mean(np.logaddexp(0, logits) - y * logits)) if len(y) else 0.0
 
 
+def temperature(logits: np.ndarray, y: np.ndarray) -> float:
+    """The temperature at which the loss is least.
+
+    Labels count as Platt's targets, a little within 0 and 1, so that there is such a temperature also where the logits
+    part the labels without a fault. The loss is convex in 1 / temperature: its slope is bisected.
+    """
+    good = int(y.sum())
+    target = np.where(y > 0, (good + 1) / (good + 2), 1 / (len(y) - good + 2))
+    low, high = np.log(1e-3), np.log(1e3)
+    for _ in range(60):
+        middle = (low + high) / 2
+        p = 1 / (1 + np.exp(-np.clip(logits * np.exp(middle), -30, 30)))
+        low, high = (low, middle) if float(((p - target) * logits).sum()) > 0 else (middle, high)
+    return float(np.exp(-(low + high) / 2))
+
+
 def fit(x: np.ndarray, y: np.ndarray, aside: np.ndarray, hidden: int = 32, epochs: int = 60, decay: float = 1e-3, rate: float = 3e-3) -> Network:
     """Adam on the cross-entropy; the epoch and the temperature that suit the rows set ``aside`` best are kept.
 
@@ -211,8 +229,7 @@ def fit(x: np.ndarray, y: np.ndarray, aside: np.ndarray, hidden: int = 32, epoch
         if (loss := _loss(now.logits(x[other]), y[other])) < best:
             best, kept = loss, [p.copy() for p in params]
     out = Network(mean, scale, kept[0], kept[1], kept[2], float(kept[3][0]))
-    logits = out.logits(x[other])
-    out.temperature = float(min(np.geomspace(0.25, 8, 101), key=lambda s: _loss(logits / s, y[other])))
+    out.temperature = temperature(out.logits(x[other]), y[other])
     return out
 
 
@@ -226,34 +243,33 @@ def train(vectors: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Ne
     marks = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.avg("quality").alias("q"))
     learn = vectors.join(marks, vectors["id"] == marks["doc_id"]).where(~F.coalesce(held_out(F.col("id")), F.lit(True)))
     got = learn.select(F.xxhash64("id").alias("h"), F.hash("v").alias("g"), "v", "q").orderBy("h", "g").limit(fit_rows).toArrow()
-    width = 2 * DIMENSIONS + STATISTICS
-    x = got["v"].combine_chunks().flatten().to_numpy().reshape(-1, width).astype(float) if len(got) else np.zeros((0, width))
+    x = features(got["v"].combine_chunks().flatten().to_numpy().reshape(len(got), -1) if len(got) else np.zeros((0, 1 + 3 * DIMENSIONS)))
     y = (got["q"].to_numpy() >= 0.5).astype(int) if len(got) else np.zeros(0, int)
     return fit(x, y, np.arange(len(y)) % 5 == 0)
 
 
-def trained(docs: DataFrame, labels: DataFrame, fit_rows: int) -> tuple[np.ndarray, DataFrame, Network]:
+def trained(docs: DataFrame, labels: DataFrame, fit_rows: int, buckets: int) -> tuple[np.ndarray, DataFrame, Network]:
     """Word vectors, stored document vectors and the network for rows (id, text)."""
-    vectors = word_vectors(context_vectors(docs))
+    vectors = word_vectors(context_vectors(docs, buckets))
     path = scratch_path(docs.sparkSession, "document-vectors")
     document_vectors(docs, vectors, ["id"]).write.parquet(path)
     stored = docs.sparkSession.read.parquet(path)
     return vectors, stored, train(stored, labels, fit_rows)
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, threshold: float = THRESHOLD, buckets: int = BUCKETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``classify`` predicts as good, with all their columns. Texts are read, never shuffled."""
-    vectors, _, network = trained(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), labels, fit_rows)
+    vectors, _, network = trained(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), labels, fit_rows, buckets)
 
     def keep(batches):
         for batch in batches:
             for part, texts in slices(batch, text_col):
-                yield part.filter(pa.array(network.probabilities(pooled(texts, vectors)) >= threshold))
+                yield part.filter(pa.array(network.probabilities(features(pooled(texts, vectors))) >= threshold))
 
     return docs.mapInArrow(keep, docs.schema)
 
 
-def classify(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, threshold: float = THRESHOLD, buckets: int = BUCKETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, score, predicted), one row per row of ``docs``.
 
     ``labels`` (doc_id, quality): several labels of one document count as their mean; null ones don't count. A null
@@ -261,17 +277,17 @@ def classify(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, thres
     counts as held out; repeated rows keep their rows; other columns are ignored whatever their names; an empty table
     gives an empty table, and without labels every score is 0.5.
 
-    Texts are read twice and never shuffled; document vectors (a quarter of a kilobyte to half of one) are stored
+    Texts are read twice and never shuffled; what they pool to (up to three quarters of a kilobyte a text) is stored
     in the shared folder.
     """
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    _, stored, network = trained(source, labels, fit_rows)
+    _, stored, network = trained(source, labels, fit_rows, buckets)
     kind = stored.schema["id"].dataType.simpleString()
 
     def score(batches):
         for batch in batches:
             v = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(network.probabilities(v))], names=["id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(network.probabilities(features(v)))], names=["id", "score"])
 
     scored = stored.select("id", "v").mapInArrow(score, f"id {kind}, score double")
     return scored.select(

@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
 from pyspark.sql import functions as F
@@ -444,6 +445,54 @@ def test_classifier_on_held_out_rows(spark):
     assert {r["doc_id"] for r in quality.keep_good(docs, labels).collect()} == {r["doc_id"] for r in quality.classify(docs, labels).where("predicted = 1").collect()}
 
 
+def test_classifier_from_word_vectors_is_calibrated(spark):
+    """Held-out rows: area under the curve, calibration, and a temperature that no limit of its search sets."""
+    sf = SF.replace("0.001", "0.01")
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    rows = [r for r in quality.classify(docs, labels).join(labels, "doc_id").collect() if r["held_out"]]
+    score, good = np.array([r["score"] for r in rows]), np.array([r["quality"] for r in rows]) == 1
+    assert (score[good][:, None] > score[~good][None, :]).mean() >= 0.97
+    bins = np.minimum((score * 10).astype(int), 9)
+    assert sum(abs(score[bins == b].sum() - good[bins == b].sum()) for b in range(10)) / len(score) <= 0.06
+    _, _, network = quality.trained(docs.select(F.col("doc_id").alias("id"), "text"), labels, quality.FIT_ROWS, quality.BUCKETS)
+    assert 0.05 < network.temperature < 20
+    apart = np.array([-5.0, -4.0, 3.0, 6.0])
+    assert 1e-2 < quality.temperature(apart, np.array([0, 0, 1, 1])) < 1e2
+
+
+def test_word_vectors_equal_brute_force(spark):
+    """Index vectors from the forms' hashes, context sums and pools, word by word; the network sees nothing else."""
+    rows = [t for t in texts(60) if t is None or "\x00" not in t] + ["The cat sat on the mat, 12 cats!", "The cat sat"] * 2
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "id long, text string").repartition(3)
+    runs = re.compile(rb"[A-Z]+[a-z\x80-\xff]*|[a-z\x80-\xff]+|[0-9]+|[^A-Za-z0-9\x80-\xff\x20\x09-\x0d]+")
+    buckets = 50
+
+    def own(form: bytes) -> np.ndarray:
+        h, out = xxhash.xxh64_intdigest(form), np.zeros(quality.DIMENSIONS)
+        for k in range(4):
+            out[(h >> 8 * k) % quality.DIMENSIONS] += -1 if h >> 32 + k & 1 else 1
+        return out
+
+    def row_of(form: bytes) -> int:
+        return (xxhash.xxh64_intdigest(form) >> 36) % buckets
+
+    split = [runs.findall((t or "").encode()) for t in rows]
+    context = np.zeros((buckets, quality.DIMENSIONS))
+    for words in split:
+        for i, w in enumerate(words):
+            for other in words[max(0, i - 2) : i] + words[i + 1 : i + 3]:
+                context[row_of(w)] += own(other)
+    assert (quality.context_vectors(frame, buckets) == context).all()
+    vectors = quality.word_vectors(context)
+    got = {r["id"]: np.array(r["v"]) for r in quality.document_vectors(frame, vectors, ["id"]).collect()}
+    for i, words in enumerate(split):
+        v = np.array([vectors[row_of(w)] for w in words], float).reshape(-1, quality.DIMENSIONS)
+        index = np.array([own(w) for w in words]).reshape(-1, quality.DIMENSIONS)
+        want = np.concatenate([[len(words)], v.sum(0), index.sum(0), (v * v).sum(0)])
+        assert np.allclose(got[i], want, rtol=1e-4, atol=1e-3), rows[i]
+    assert (quality.features(got[0][None, :]) == 0).all()
+
+
 def test_classifier_edge_cases(spark, docs):
     labels = spark.createDataFrame([(i, i % 2) for i in range(20)] + [(1, 0), (2, None), (None, 1)], "doc_id long, quality int")
     assert quality.classify(docs, labels).count() == docs.count()
