@@ -238,28 +238,39 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def train(vectors: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Network:
-    """Fit on at most ``fit_rows`` labelled rows of (id, v), chosen by a hash of the id; every fifth is set aside."""
-    marks = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.avg("quality").alias("q"))
-    learn = vectors.join(marks, vectors["id"] == marks["doc_id"]).where(~F.coalesce(held_out(F.col("id")), F.lit(True)))
-    got = learn.select(F.xxhash64("id").alias("h"), F.hash("v").alias("g"), "v", "q").orderBy("h", "g").limit(fit_rows).toArrow()
-    x = features(got["v"].combine_chunks().flatten().to_numpy().reshape(len(got), -1) if len(got) else np.zeros((0, 1 + 3 * DIMENSIONS)))
-    y = (got["q"].to_numpy() >= 0.5).astype(int) if len(got) else np.zeros(0, int)
-    return fit(x, y, np.arange(len(y)) % 5 == 0)
+def learnt_from(ids: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """(key, q): at most ``fit_rows`` labelled ids that aren't held out, chosen by a hash of the id, with their mean label.
+
+    Only ids are joined. A share of all hashes that holds about twice as many ids as wanted is put in order, however many
+    there are.
+    """
+    marks = labels.where(F.col("quality").isNotNull()).select(F.col("doc_id").alias("key"), "quality").where(~held_out(F.col("key")))
+    marks = marks.groupBy("key").agg(F.avg("quality").alias("q"))
+    known = marks.join(ids.select(F.col("id").alias("key")), "key", "left_semi").withColumn("h", F.xxhash64("key"))
+    n = known.count()
+    below = (1 << 63) - 1 if n <= 2 * fit_rows else int((2 * fit_rows / n - 0.5) * 2**64)
+    return known.where(F.col("h") <= below).orderBy("h", "key").limit(fit_rows).select("key", "q")
 
 
-def trained(docs: DataFrame, labels: DataFrame, fit_rows: int, buckets: int) -> tuple[np.ndarray, DataFrame, Network]:
-    """Word vectors, stored document vectors and the network for rows (id, text)."""
+def trained(docs: DataFrame, labels: DataFrame, fit_rows: int, buckets: int) -> tuple[np.ndarray, Network]:
+    """Word vectors, and the network fitted on at most ``fit_rows`` labelled rows of (id, text); every fifth is set aside."""
     vectors = word_vectors(context_vectors(docs, buckets))
-    path = scratch_path(docs.sparkSession, "document-vectors")
-    document_vectors(docs, vectors, ["id"]).write.parquet(path)
-    stored = docs.sparkSession.read.parquet(path)
-    return vectors, stored, train(stored, labels, fit_rows)
+    path = scratch_path(docs.sparkSession, "learnt-from")
+    learnt_from(docs, labels, fit_rows).write.parquet(path)
+    # No more than ``fit_rows`` rows.
+    chosen = F.broadcast(docs.sparkSession.read.parquet(path))
+    rows = docs.join(chosen, docs["id"] == chosen["key"]).select("id", "q", "text")
+    learn = document_vectors(rows, vectors, ["id", "q"])
+    # Rows of one id count each, so that there may be more than ids.
+    got = learn.select(F.xxhash64("id").alias("h"), F.hash("v").alias("g"), "v", "q").orderBy("h", "g").limit(fit_rows).toArrow()
+    x = features(got["v"].combine_chunks().flatten().to_numpy().reshape(len(got), -1) if len(got) else np.zeros((0, 1 + 3 * DIMENSIONS)))
+    y = (got["q"].to_numpy() >= 0.5).astype(int) if len(got) else np.zeros(0, int)
+    return vectors, fit(x, y, np.arange(len(y)) % 5 == 0)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, threshold: float = THRESHOLD, buckets: int = BUCKETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``classify`` predicts as good, with all their columns. Texts are read, never shuffled."""
-    vectors, _, network = trained(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), labels, fit_rows, buckets)
+    vectors, network = trained(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), labels, fit_rows, buckets)
 
     def keep(batches):
         for batch in batches:
@@ -277,19 +288,18 @@ def classify(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, thres
     counts as held out; repeated rows keep their rows; other columns are ignored whatever their names; an empty table
     gives an empty table, and without labels every score is 0.5.
 
-    Texts are read twice and never shuffled; what they pool to (up to three quarters of a kilobyte a text) is stored
-    in the shared folder.
+    Texts are read for the context vectors and for the scores, and never shuffled nor stored.
     """
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    _, stored, network = trained(source, labels, fit_rows, buckets)
-    kind = stored.schema["id"].dataType.simpleString()
+    vectors, network = trained(source, labels, fit_rows, buckets)
+    kind = source.schema["id"].dataType.simpleString()
 
     def score(batches):
         for batch in batches:
-            v = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(network.probabilities(features(v)))], names=["id", "score"])
+            for part, texts in slices(batch, "text"):
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(network.probabilities(features(pooled(texts, vectors))))], names=["id", "score"])
 
-    scored = stored.select("id", "v").mapInArrow(score, f"id {kind}, score double")
+    scored = source.select("id", F.col("text").cast("string").alias("text")).mapInArrow(score, f"id {kind}, score double")
     return scored.select(
         F.col("id").alias(id_col),
         F.coalesce(held_out(F.col("id")), F.lit(True)).alias("held_out"),

@@ -454,7 +454,7 @@ def test_classifier_from_word_vectors_is_calibrated(spark):
     assert (score[good][:, None] > score[~good][None, :]).mean() >= 0.97
     bins = np.minimum((score * 10).astype(int), 9)
     assert sum(abs(score[bins == b].sum() - good[bins == b].sum()) for b in range(10)) / len(score) <= 0.06
-    _, _, network = quality.trained(docs.select(F.col("doc_id").alias("id"), "text"), labels, quality.FIT_ROWS, quality.BUCKETS)
+    _, network = quality.trained(docs.select(F.col("doc_id").alias("id"), "text"), labels, quality.FIT_ROWS, quality.BUCKETS)
     assert 0.05 < network.temperature < 20
     apart = np.array([-5.0, -4.0, 3.0, 6.0])
     assert 1e-2 < quality.temperature(apart, np.array([0, 0, 1, 1])) < 1e2
@@ -497,6 +497,11 @@ def test_classifier_edge_cases(spark, docs):
     labels = spark.createDataFrame([(i, i % 2) for i in range(20)] + [(1, 0), (2, None), (None, 1)], "doc_id long, quality int")
     assert quality.classify(docs, labels).count() == docs.count()
     assert {r["score"] for r in quality.classify(docs, labels.where("false")).collect()} == {0.5}
+    many = spark.range(40_000).withColumn("quality", F.lit(1))
+    for most in (1, 3_000, 30_000, 40_000):
+        got = quality.learnt_from(spark.range(40_000).union(spark.range(9)), many.withColumnRenamed("id", "doc_id"), most).collect()
+        learnable = sorted(r["id"] for r in many.where("crc32(cast(cast(id as string) as binary)) % 5 <> 0").select("id", F.xxhash64("id").alias("h")).orderBy("h").limit(most).collect())
+        assert sorted(r["key"] for r in got) == learnable
     assert quality.classify(empty(docs), labels).count() == 0
 
 
