@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.geo import grid_wkt, planar_distance, rectangle_wkt
-from ..session import scratch_path
+from ..session import grown, scratch_path
 from .enrich import enrich_stops
 
 AROUND = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
@@ -47,7 +47,7 @@ def within_radius(
     near = _spread(
         _cells(centres.select(centre_id, F.col(x).alias("_sx"), F.col(y).alias("_sy")), "_sx", "_sy", radius)
     )
-    pairs = _cells(points, x, y, radius).join(near, ["_cx", "_cy"])
+    pairs = _cells(points, x, y, radius).join(grown(near), ["_cx", "_cy"])
     away = planar_distance(F.col(x), F.col(y), F.col("_sx"), F.col("_sy"))
     return pairs.withColumn("distance_m", away).where(F.col("distance_m") <= radius).drop("_cx", "_cy", "_sx", "_sy")
 
@@ -102,19 +102,22 @@ def nearest_site(
     here, places = cells(here, "_x", "_y"), cells(places, "_sx", "_sy")
     best = None
     for level, pairs in candidate_cells(here, places, top, max_dist, leaf):
-        met = (
-            _at(here, level)
-            .join(pairs.select(F.col("_px").alias("_cx"), F.col("_py").alias("_cy"), "_qx", "_qy"), ["_cx", "_cy"])
-            .join(_at(places, level).select(F.col("_cx").alias("_qx"), F.col("_cy").alias("_qy"), "_sx", "_sy", "_site"), ["_qx", "_qy"])
-        )
-        away = planar_distance(F.col("_x"), F.col("_y"), F.col("_sx"), F.col("_sy"))
-        met = met.select(*key, F.struct(away.alias("_away"), "_site").alias("_near"))
+        away = lambda sx, sy: planar_distance(F.col("_x"), F.col("_y"), sx, sy)
+        theirs = _at(places, level).select(F.col("_cx").alias("_qx"), F.col("_cy").alias("_qy"), "_sx", "_sy", "_site")
+        nearest = F.struct(away(F.col("_sx"), F.col("_sy")).alias("_away"), "_site")
+        if level:
+            # A cell of a pair holds at most ``leaf`` sites here: they are one row, and a point gets a row per cell, not per site.
+            wanted = grown(pairs.select("_qx", "_qy").distinct())
+            theirs = theirs.join(wanted, ["_qx", "_qy"], "left_semi").groupBy("_qx", "_qy").agg(F.collect_list(F.struct("_sx", "_sy", "_site")).alias("_sites"))
+            nearest = F.array_min(F.transform("_sites", lambda s: F.struct(away(s["_sx"], s["_sy"]).alias("_away"), s["_site"].alias("_site"))))
+        pairs = pairs.select(F.col("_px").alias("_cx"), F.col("_py").alias("_cy"), "_qx", "_qy").join(grown(theirs), ["_qx", "_qy"])
+        met = _at(here, level).join(grown(pairs), ["_cx", "_cy"]).select(*key, nearest.alias("_near"))
         best = met if best is None else best.unionByName(met)
     found = best.groupBy(*key).agg(F.min("_near").alias("_near"))
     if max_dist is not None:
         found = found.where(F.col("_near._away") <= max_dist)
     found = found.select(*key, F.col("_near._site").alias("nearest_site"), F.col("_near._away").alias("site_distance"))
-    return points.join(found, key, "left")
+    return points.join(grown(found), key, "left")
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
@@ -165,7 +168,9 @@ def candidate_cells(points: DataFrame, sites: DataFrame, top: int, max_dist: flo
             met = mine.withColumn("_bound", F.lit(float("inf") if max_dist is None else float(max_dist))).join(theirs, (F.col("_ppx") == F.col("_qpx")) & (F.col("_ppy") == F.col("_qpy")))
         else:
             up = pairs.select(*[F.col(f"_{t}{d}").alias(f"_{t}p{d}") for t in "pq" for d in "xy"], "_bound")
-            met = up.join(mine, ["_ppx", "_ppy"]).join(theirs, ["_qpx", "_qpy"])
+            # Below ``first_ring`` cells are bounded by the places alone.
+            side = grown if level < BELOW else (lambda df: df)
+            met = up.join(side(mine), ["_ppx", "_ppy"]).join(side(theirs), ["_qpx", "_qpy"])
         gap = [F.greatest(F.lit(0.0), F.col(f"_q_{d}0") - F.col(f"_p_{d}1"), F.col(f"_p_{d}0") - F.col(f"_q_{d}1")) for d in "xy"]
         span = [F.greatest(F.col(f"_q_{d}1") - F.col(f"_p_{d}0"), F.col(f"_p_{d}1") - F.col(f"_q_{d}0")) for d in "xy"]
         met = met.withColumns({"_near": F.sqrt(gap[0] * gap[0] + gap[1] * gap[1]), "_far": F.sqrt(span[0] * span[0] + span[1] * span[1])})
