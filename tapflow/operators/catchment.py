@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geo import planar_distance
+from ..session import grown
 from .ordering import cards_with
 
 # Inclusive hours of the first arrival and the second departure.
@@ -48,7 +49,7 @@ def two_trip_days(df: DataFrame, stops: DataFrame, key: list[str] = CARD) -> Dat
     board = listed.select(F.col("stop_id").alias("board_stop"), F.lit(True).alias("_at_board"))
     alight = listed.select(F.col("stop_id").alias("alight_stop"), F.lit(True).alias("_at_alight"))
     two = cards_with(df, 2, key)
-    marked = two.join(board, "board_stop", "left").join(alight, "alight_stop", "left")
+    marked = two.join(grown(board), "board_stop", "left").join(grown(alight), "alight_stop", "left")
     per_card = Window.partitionBy(*key)
 
     def holds(trip: int, test: Column) -> Column:
@@ -73,7 +74,7 @@ def mean_ride(df: DataFrame, stops: DataFrame) -> DataFrame:
     listed = stops.select("stop_id").distinct()
     parts = []
     for end in ("board", "alight"):
-        here = df.join(listed.withColumnRenamed("stop_id", f"{end}_stop"), f"{end}_stop", "left_semi")
+        here = df.join(grown(listed.withColumnRenamed("stop_id", f"{end}_stop")), f"{end}_stop", "left_semi")
         parts.append(
             here.agg(
                 F.round(F.avg("total_ride_sec"), 2).alias("mean_sec"),

@@ -9,6 +9,7 @@ from ..functions.geo import grid_cell, grid_wkt, local_grid, project
 from ..functions.numbers import half_even, text_to_id
 from ..functions.times import hour_in, tap_date, tap_time
 from ..schema import PUBLISHED_DAILY_COLUMNS, PUBLISHED_OD_COLUMNS, STOP_KEY
+from ..session import grown
 from .ordering import dedup
 
 # Sentinel limit and bounding box of valid coordinates.
@@ -145,14 +146,14 @@ def publish_measures(df: DataFrame, spec: dict[str, str]) -> DataFrame:
 
 
 def keep_cards(df: DataFrame, cards: DataFrame, key: str = "card_id") -> DataFrame:
-    return df.join(cards.select(key), key, "left_semi")
+    return df.join(grown(cards.select(key)), key, "left_semi")
 
 
 def touching(df: DataFrame, stops: DataFrame, how: str = "either") -> DataFrame:
     """Trips with an end in a stop set: ``board``, ``alight``, ``both`` or ``either``."""
     listed = stops.select("stop_id").distinct()
-    board = listed.select(F.col("stop_id").alias("board_stop"), F.lit(True).alias("_at_board"))
-    alight = listed.select(F.col("stop_id").alias("alight_stop"), F.lit(True).alias("_at_alight"))
+    board = grown(listed.select(F.col("stop_id").alias("board_stop"), F.lit(True).alias("_at_board")))
+    alight = grown(listed.select(F.col("stop_id").alias("alight_stop"), F.lit(True).alias("_at_alight")))
     if how == "board":
         return df.join(board, "board_stop", "left_semi")
     if how == "alight":

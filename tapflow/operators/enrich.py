@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import scratch_path
+from ..session import grown, scratch_path
 from ..functions.numbers import half_even
 from ..schema import STOP_KEY
 
@@ -35,12 +35,12 @@ def enrich_stops(
             ends = zip(("stop", "region", "mode"), STOP_KEY)
             same = [F.col(f"{side}_{end}") == F.col(f"_{key}") for end, key in ends]
             holds = (F.col(month) >= F.col("_valid_from")) & (F.col(month) < F.col("_valid_to"))
-            trips = trips.join(dim, [*same, holds], "left").drop(*[f"_{c}" for c in (*STOP_KEY, "valid_from", "valid_to")])
+            trips = trips.join(grown(dim), [*same, holds], "left").drop(*[f"_{c}" for c in (*STOP_KEY, "valid_from", "valid_to")])
         return trips
     dim = stops.select(*STOP_KEY, *cols)
     for side in sides:
         trips = trips.join(
-            _stop_side(dim, cols, side), [f"{side}_stop", f"{side}_region", f"{side}_mode"], "left"
+            grown(_stop_side(dim, cols, side)), [f"{side}_stop", f"{side}_region", f"{side}_mode"], "left"
         )
     return trips
 
@@ -61,7 +61,7 @@ def canonicalise_stops(df: DataFrame, transfer_map: DataFrame, month: tuple[str,
         )
         df = (
             df.withColumn(f"{side}_stop", F.col(f"{side}_stop").cast("string"))
-            .join(mapping, [f"{side}_stop", f"{side}_region", f"{side}_mode", *month], "left")
+            .join(grown(mapping), [f"{side}_stop", f"{side}_region", f"{side}_mode", *month], "left")
             .withColumn(f"{side}_stop", F.coalesce("_to", f"{side}_stop"))
             .drop("_to")
         )
@@ -76,7 +76,7 @@ def _matched(left: DataFrame, right: DataFrame, keys: dict[str, str]) -> DataFra
     for i, l in enumerate(keys):
         test = F.col(l) == F.col(f"_k{i}")
         cond = test if cond is None else cond & test
-    joined = left.join(known.withColumn("_hit", F.lit(True)), cond, "left")
+    joined = left.join(grown(known.withColumn("_hit", F.lit(True))), cond, "left")
     return joined.select(*left.columns, F.coalesce("_hit", F.lit(False)).alias("_hit"))
 
 
@@ -154,7 +154,7 @@ def relabel_grid(df: DataFrame, letters: DataFrame, cols: list[str]) -> DataFram
 
 def commuter_trips(trips: DataFrame, anchor_cells: DataFrame) -> DataFrame:
     """Trips of cards with a known home and work cell, with those cells."""
-    return trips.join(anchor_cells.select("card_id", "home_cell", "work_cell"), "card_id")
+    return trips.join(grown(anchor_cells.select("card_id", "home_cell", "work_cell")), "card_id")
 
 
 def canonical_ids(df: DataFrame, name: str, id_col: str, by: list[str]) -> DataFrame:
@@ -173,7 +173,7 @@ def transfer_map_from_names(stops: DataFrame, mode: str = "T", month: tuple[str,
     subway = stops.where(F.col("mode") == mode)
     by = ["region_code", "mode", *month]
     lowest = canonical_ids(subway, "stop_name", "stop_id", by)
-    return subway.join(lowest, [*by, "stop_name"]).select(
+    return subway.join(grown(lowest), [*by, "stop_name"]).select(
         *month,
         F.col("stop_id").cast("string").alias("stop_id"),
         "region_code",

@@ -23,7 +23,7 @@ def versions(snapshots: DataFrame, key: list[str], month: str = "ym") -> DataFra
     # One row per snapshot.
     every = snapshots.select(month).distinct()
     until = every.select(month, F.coalesce(F.lead(month).over(Window.orderBy(month)), F.lit(OPEN_END)).alias("_until"))
-    dated = snapshots.join(until, month)
+    dated = snapshots.join(F.broadcast(until), month)
     w = Window.partitionBy(*key).orderBy(month)
     now = F.struct(*state) if state else F.struct(F.lit(1))
     same = F.lag(now).over(w).eqNullSafe(now) & F.lag("_until").over(w).eqNullSafe(F.col(month))

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.times import hour_in
 from ..schema import OD_KEY
+from ..session import grown
 from .anchors import AM_HOURS, MIN_CONFIDENCE, PM_HOURS
 from .calendar import business_days_only
-from .enrich import canonical_ids, canonicalise_stops, enrich_stops
+from .enrich import canonical_ids, canonicalise_stops, commuter_trips, enrich_stops
 from .quantiles import exact_quantiles
 
 # Trip type -> (hours of both ends, anchor at the start, anchor at the end).
@@ -45,7 +46,7 @@ def match_commutes(trips: DataFrame, anchors: DataFrame, min_conf: float = MIN_C
 
     for end, kind in (("board", "_from"), ("alight", "_to")):
         timed = timed.join(
-            stops_at(end, kind), ["card_id", kind, f"{end}_stop", f"{end}_region", f"{end}_mode"], "left_semi"
+            grown(stops_at(end, kind)), ["card_id", kind, f"{end}_stop", f"{end}_region", f"{end}_mode"], "left_semi"
         )
     return timed.select(*trips.columns, "trip_type")
 
@@ -104,7 +105,7 @@ def cell_commutes(trips: DataFrame, anchor_cells: DataFrame, stops: DataFrame) -
     Trips and stops are read once: a trip gives a row for each direction that it fits.
     """
     tagged = enrich_stops(trips, stops.withColumnRenamed("cell_id", "cell"), ["cell", *[c for c in CELL_ATTRS if c not in ("stop", "mode")]])
-    joined = tagged.join(anchor_cells.select("card_id", "home_cell", "work_cell"), "card_id")
+    joined = commuter_trips(tagged, anchor_cells)
 
     def way(direction: str, live: str, work: str) -> Column:
         fits = (F.col(f"{live}_cell") == F.col("home_cell")) & (F.col(f"{work}_cell") == F.col("work_cell"))
@@ -132,7 +133,7 @@ def pair_stats(tagged: DataFrame, anchor_cells: DataFrame) -> DataFrame:
     what a FULL OUTER join of two aggregates gives; a side without trips
     stays NULL. Pairs with an unknown part drop out.
     """
-    own = tagged.join(anchor_cells.select("card_id", "home_cell", "work_cell"), "card_id")
+    own = commuter_trips(tagged, anchor_cells)
 
     def pair(direction: str, live: str, work: str) -> Column:
         fields = [F.col(f"{live}_{c}").alias(f"live_{c}") for c in PAIR_COLUMNS]
