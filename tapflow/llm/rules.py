@@ -208,7 +208,10 @@ def quartiles(measured: DataFrame) -> DataFrame:
 
 def bands(measured: DataFrame) -> DataFrame:
     """(group, script, low_x, high_x for each measure x), from all texts with enough words."""
-    found = quartiles(measured)
+    # Three joins read these few rows; as a plan each would count all texts again, and the driver would hold it all.
+    path = scratch_path(measured.sparkSession, "quartiles")
+    quartiles(measured).write.parquet(path)
+    found = measured.sparkSession.read.parquet(path)
     names = [c for c in found.columns if c not in ("key", "n")]
     pairs = measured.where(F.col("n_words") >= MIN_WORDS).select("group", "script").distinct()
     for level, key in (("l", F.concat(F.lit("l:"), "group")), ("s", F.concat(F.lit("s:"), "script")), ("a", F.lit("all"))):
