@@ -9,8 +9,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Bytes of text worked on at once: bounds a Python worker's memory, whatever the batch holds.
-SLICE_BYTES = 6 << 20
+# Bytes of text worked on at once: bounds a Python worker's memory, whatever the batch holds. Numbers made of a slice take
+# some thirty times its bytes, and a reused worker keeps what it once took.
+SLICE_BYTES = 2 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
