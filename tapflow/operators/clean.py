@@ -110,18 +110,20 @@ def bad_timestamps(df: DataFrame, ts_text: str, date_text: str) -> DataFrame:
 
     A trip may run past midnight, so the following day also agrees.
     """
-    ts, day = F.col(ts_text), F.col(date_text)
+    # A generated row: a filter on plain columns would be pushed below them, and make both texts anew for every use.
+    texts = df.select("*", F.inline(F.array(F.struct(F.col(ts_text).alias("_ts"), F.col(date_text).alias("_day")))))
+    ts, day = F.col("_ts"), F.col("_day")
     digit = lambda position: F.substring(ts, position, 1).try_cast("int")
     parsed = tap_time(ts)
     day_gap = F.date_diff(F.to_date(parsed), tap_date(day))
-    checked = df.withColumns(
+    checked = texts.withColumns(
         {
             "bad_digit": F.coalesce((digit(11) > 5) | (digit(13) > 5), F.lit(False)),
             "unparsable": parsed.isNull(),
             "other_day": F.coalesce(~day_gap.isin(0, 1), F.lit(False)),
         }
     )
-    return checked.where(ts.isNotNull() & (F.col("bad_digit") | F.col("unparsable") | F.col("other_day")))
+    return checked.where(ts.isNotNull() & (F.col("bad_digit") | F.col("unparsable") | F.col("other_day"))).drop("_ts", "_day")
 
 
 def cast_ids(df: DataFrame, to_long: list[str] = (), to_text: list[str] = ()) -> DataFrame:

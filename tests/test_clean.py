@@ -121,3 +121,11 @@ def test_column_profile(spark):
     assert (t.total_count, t.unique_count, t.null_count, t.blank_count, t.top_value, t.rare_value) == (3, 3, 1, 1, "", "")
     assert (v.mean, v.std, v.min, v.q1, v.median, v.q3, v.max) == (2.333, 1.528, 1.0, 1.5, 2.0, 3.0, 4.0)
     assert got["t"].mean is None
+
+
+def test_time_texts_are_made_once_and_not_for_every_use(spark):
+    raw = spark.sql("SELECT timestamp_ntz'2024-01-05 08:00:00' + make_dt_interval(id) AS at FROM range(3)")
+    texts = raw.select(F.date_format("at", "yyyyMMddHHmmss").alias("ts"), F.lit("20240105").alias("d"))
+    found = clean.bad_timestamps(texts, "ts", "d").agg(F.count_if("bad_digit"), F.count_if("unparsable"), F.count_if("other_day"))
+    assert tuple(found.first()) == (0, 0, 1)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("date_format") == 1
