@@ -56,6 +56,8 @@ def within_radius(
 FACTOR = 4
 #: Sites of a cell that points are measured against; a cell with more is taken apart further.
 LEAF = 64
+#: Cells of sites that are one row for the points of a cell.
+LOT = 8
 #: Levels below ``first_ring``: cells of 2 km end at half a metre.
 BELOW = 6
 
@@ -106,11 +108,17 @@ def nearest_site(
         theirs = _at(places, level).select(F.col("_cx").alias("_qx"), F.col("_cy").alias("_qy"), "_sx", "_sy", "_site")
         nearest = F.struct(away(F.col("_sx"), F.col("_sy")).alias("_away"), "_site")
         if level:
-            # A cell of a pair holds at most ``leaf`` sites here: they are one row, and a point gets a row per cell, not per site.
+            # A cell of a pair holds at most ``leaf`` sites here: they are one row, and a point gets a row per ``LOT`` cells, not per site:
+            # what the points of a task meet is sorted there before it is put together.
             wanted = grown(pairs.select("_qx", "_qy").distinct())
             theirs = theirs.join(wanted, ["_qx", "_qy"], "left_semi").groupBy("_qx", "_qy").agg(F.collect_list(F.struct("_sx", "_sy", "_site")).alias("_sites"))
             nearest = F.array_min(F.transform("_sites", lambda s: F.struct(away(s["_sx"], s["_sy"]).alias("_away"), s["_site"].alias("_site"))))
-        pairs = pairs.select(F.col("_px").alias("_cx"), F.col("_py").alias("_cy"), "_qx", "_qy").join(grown(theirs), ["_qx", "_qy"])
+            turn = F.row_number().over(Window.partitionBy("_px", "_py").orderBy("_qx", "_qy"))
+            pairs = pairs.withColumn("_lot", F.floor((turn - 1) / LOT))
+        lot = ["_lot"] if level else []
+        pairs = pairs.select(F.col("_px").alias("_cx"), F.col("_py").alias("_cy"), "_qx", "_qy", *lot).join(grown(theirs), ["_qx", "_qy"])
+        if level:
+            pairs = pairs.groupBy("_cx", "_cy", "_lot").agg(F.flatten(F.collect_list("_sites")).alias("_sites"))
         met = _at(here, level).join(grown(pairs), ["_cx", "_cy"]).select(*key, nearest.alias("_near"))
         best = met if best is None else best.unionByName(met)
     found = best.groupBy(*key).agg(F.min("_near").alias("_near"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 import pytest
 
 from pyspark.sql import functions as F
 
-from tapflow.operators import anchors, catchment, clean, enrich, history, od, spatial
+from tapflow.operators import anchors, catchment, clean, enrich, history, od, ordering, spatial
 
 STOP = "stop_id bigint, region_code string, mode string, stop_name string, x_5179 double, y_5179 double, cell bigint"
 
@@ -83,3 +85,29 @@ def test_a_point_gets_a_row_per_cell_of_sites(spark, monkeypatch):
     brute = {i: min((((i % 10 - s % 8) ** 2 + (1 + s // 8) ** 2) ** 0.5, s) for s in range(64)) for i in range(100)}
     assert got == {i: (s, round(d, 6)) for i, (d, s) in brute.items()}
     assert any("_sites" in df.columns and df.count() < 64 for df in met)
+
+
+def test_a_point_gets_a_row_per_lot_of_cells(spark, monkeypatch):
+    """Points amid a ring of sites meet all their cells: rows of a point are put together before they are sorted."""
+    met = []
+    plain = spatial.grown
+    monkeypatch.setattr(spatial, "grown", lambda df: met.append(df) or plain(df))
+    ring = [(10000 * math.cos(math.radians(10 * s)), 10000 * math.sin(math.radians(10 * s))) for s in range(36)]
+    spots = {i: (i % 10 / 10, i // 10 / 10) for i in range(100)}
+    points = spark.createDataFrame([(i, *p) for i, p in spots.items()], "k int, x_5179 double, y_5179 double")
+    sites = spark.createDataFrame([(s, *p) for s, p in enumerate(ring)], "site_id int, x_5179 double, y_5179 double")
+    got = {r.k: r.site_distance for r in spatial.nearest_site(points, sites, key=["k"]).collect()}
+    assert got == pytest.approx({i: min(math.dist(p, q) for q in ring) for i, p in spots.items()}, abs=1e-9)
+    cells = sum(df.count() for df in met if {"_qx", "_sites"} <= {*df.columns} and "_cx" not in df.columns)
+    rows = sum(df.count() for df in met if {"_cx", "_sites"} <= {*df.columns})
+    assert cells > 24 and rows == math.ceil(cells / spatial.LOT)
+
+
+def test_rows_of_a_file_are_dealt_before_they_are_sorted(spark, tmp_path):
+    rows = [(k, v, n) for k in (1, 2, None) for v in ("b", "a", None) for n in (2.0, 1.0)]
+    spark.createDataFrame(rows * 3, "k int, v string, n double").coalesce(1).write.parquet(f"{tmp_path}/rows")
+    one = ordering.dedup(spark.read.parquet(f"{tmp_path}/rows"), ["k"], ["v", "n"])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    # Between the file and the first sort.
+    assert "Exchange" in plan[plan.index("Partial"):]
+    assert sorted(map(tuple, one.collect()), key=str) == [(1, "a", 1.0), (2, "a", 1.0), (None, "a", 1.0)]
