@@ -15,10 +15,13 @@ def dedup(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key by an explicit order.
 
     ``row_number() = 1`` lets Spark keep one row per key and task before the
-    shuffle, so a key with many copies costs no more than any other.
+    shuffle, so a key with many copies costs no more than any other. That sorts
+    all rows of a task, so they are dealt evenly first: a small file can hold
+    millions of rows, which one task reads.
     """
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    dealt = df.hint("rebalance", *[F.col(c) for c in dict.fromkeys([*keys, *order])])
+    return dealt.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def _listed(key: str | list[str]) -> list[str]:
