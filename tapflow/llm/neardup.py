@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,13 @@ LEVELS = 12
 MARGIN = 0.25
 #: Shingles of a group beyond which it is compared chunk by chunk; a chunk has half as many, or one document.
 GROUP_SHINGLES = 2_000_000
+#: Documents of a group that meet the others one at a time; most groups are one component by then.
+SCANS = 8
+#: Values that one set in ``FEW`` holds are counted by matrix products, which take about ``CELLS`` numbers at once.
+FEW = 16
+CELLS = 1 << 20
+#: Nodes of up to so many documents are compared along with others of their size.
+TOGETHER = 64
 #: Words of 64 bits of the map that tells most texts apart from those whose sets are wanted: the map has 16 MB at most.
 MAP_WORDS = 1 << 20
 
@@ -195,6 +203,22 @@ def _share(groups_of: np.ndarray) -> np.ndarray:
     return out
 
 
+def _equal(values: np.ndarray, size: np.ndarray, least: float) -> np.ndarray:
+    """(n, n): pairs of sets with ``least`` values in common."""
+    out = np.zeros((len(size), len(size)), bool)
+    for some, both in _common(*_holders(values, size), size, np.flatnonzero(size)):
+        out[some] = both >= least
+    return out
+
+
+def _alike_one(sig: np.ndarray, least: float) -> np.ndarray:
+    """``_alike`` for one node (n, SIGNATURE), whose coordinates count as values of sets."""
+    numbered = sig.astype(np.int64) + (np.arange(SIGNATURE) << 32)
+    near = _equal(numbered.ravel(), np.full(len(sig), SIGNATURE), least * SIGNATURE)
+    np.fill_diagonal(near, False)
+    return near
+
+
 def groups(nodes: DataFrame, classes: DataFrame, percent: int, met: DataFrame | None = None) -> DataFrame:
     """(members, heavy): in each small node, the documents that pairs with alike signatures connect.
 
@@ -207,6 +231,31 @@ def groups(nodes: DataFrame, classes: DataFrame, percent: int, met: DataFrame |
     least = percent / 100 - MARGIN
     gathered = whole.groupBy("path").agg(F.collect_list(F.struct("key", "label", "n_shingles", "sig", "met")).alias("rows"))
 
+    def parts_of(place: np.ndarray, sig: np.ndarray, names: np.ndarray, first: np.ndarray, held: np.ndarray):
+        """(a node's documents, of each its smallest connected one) of the nodes with alike pairs, for documents (nodes, n)."""
+        n = place.shape[1]
+        if n > TOGETHER:
+            for node in place:
+                near = _alike_one(sig[node], least)
+                if near.any():
+                    near &= ~_equal(names[spread(first[node], held[node])], held[node], 1)
+                    yield node, _reached(near)
+            return
+        near = _alike(sig[place], least)
+        hit = np.flatnonzero(near.any((1, 2)))
+        place, near = place[hit], near[hit]
+        most = held[place].max(initial=0)
+        if most**2 > SIGNATURE:
+            for node, own in zip(place, near):
+                own &= ~_equal(names[spread(first[node], held[node])], held[node], 1)
+        elif most:
+            # Each document's groups in a row, filled up with numbers of its own.
+            groups_of = np.broadcast_to(-1 - np.arange(place.size).reshape(*place.shape, 1), (*place.shape, most)).copy()
+            own = np.arange(most) < held[place][:, :, None]
+            groups_of[own] = names[(first[place][:, :, None] + np.arange(most))[own]]
+            near &= ~_share(groups_of)
+        yield from zip(place, _components(near))
+
     def run(batches):
         for batch in batches:
             rows = batch.column(1)
@@ -216,24 +265,16 @@ def groups(nodes: DataFrame, classes: DataFrame, percent: int, met: DataFrame |
             key, label = np.array(flat.field("key").to_pylist(), object), np.array(flat.field("label").to_pylist(), object)
             weight, sig = flat.field("n_shingles").to_numpy(), flat.field("sig").flatten().to_numpy().reshape(-1, SIGNATURE)
             seen = flat.field("met")
-            # Each document's groups in a row, filled up with numbers of its own.
-            held = seen.value_lengths().to_numpy()
-            groups_of = -np.arange(1, len(held) + 1)[:, None] - np.zeros((1, max(1, held.max())), np.int64)
-            groups_of[np.repeat(np.arange(len(held)), held), spread(np.zeros(len(held), np.int64), held)] = seen.flatten().to_numpy()
+            held, names = seen.value_lengths().to_numpy(), seen.flatten().to_numpy()
+            first = np.cumsum(held) - held
             begin = np.cumsum(sizes) - sizes
             out: list[list[bytes]] = []
             heavy: list[int | None] = []
             for n in np.unique(sizes[sizes > 1]):
                 at = begin[sizes == n]
-                step = max(1, 1_000_000 // n**2)
+                step = max(1, CELLS // n**2)
                 for lot in (at[i : i + step] for i in range(0, len(at), step)):
-                    place = lot[:, None] + np.arange(n)
-                    near = _alike(sig[place], least)
-                    if held.max():
-                        near &= ~_share(groups_of[place])
-                    hit = np.flatnonzero(near.any((1, 2)))
-                    near = near[hit]
-                    for node, part in zip(place[hit], _components(near)):
+                    for node, part in parts_of(lot[:, None] + np.arange(n), sig, names, first, held):
                         for c in np.unique(part):
                             members = node[part == c]
                             if len(members) < 2 or len(set(label[members])) < 2:
@@ -252,31 +293,98 @@ def groups(nodes: DataFrame, classes: DataFrame, percent: int, met: DataFrame |
     return gathered.mapInArrow(run, "members array<binary>, heavy bigint")
 
 
+def _holders(values: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each value of all sets its number among the distinct ones; which sets hold number 0, then 1, and so on; how many hold each."""
+    by = np.argsort(values, kind="stable")
+    new = np.ones(len(by), bool)
+    new[1:] = values[by[1:]] != values[by[:-1]]
+    place = np.empty(len(by), np.int32)
+    place[by] = np.cumsum(new) - 1
+    row = np.repeat(np.arange(len(size), dtype=np.int32), size)
+    return place, row[by], np.diff(np.append(np.flatnonzero(new), len(by)))
+
+
+def _common(place: np.ndarray, holder: np.ndarray, held: np.ndarray, size: np.ndarray, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(some of ``rows``, how many values each has in common with every set), for the sets of ``_holders``.
+
+    Values that many sets hold are multiplied as matrices of 0 and 1; of others each holder meets the other ones.
+    """
+    n = len(size)
+    begin, at = np.cumsum(size) - size, np.cumsum(held) - held
+    many, few = np.flatnonzero((held > 1) & (held * FEW >= n)), (held > 1) & (held * FEW < n)
+    step = max(1, CELLS // n)
+    for some in (rows[i : i + step] for i in range(0, len(rows), step)):
+        both = np.zeros((len(some), n), np.int64)
+        for k in range(0, len(many), step):
+            own = many[k : k + step]
+            has = np.zeros((n, len(own)), np.float32)
+            has[holder[spread(at[own], held[own])], np.repeat(np.arange(len(own)), held[own])] = 1
+            both += (has[some] @ has.T).astype(np.int64)
+        of, value = np.repeat(np.arange(len(some)), size[some]), place[spread(begin[some], size[some])]
+        of, value = of[few[value]], value[few[value]]
+        lots = np.cumsum(held[value]) // CELLS
+        for i, j in itertools.pairwise(np.searchsorted(lots, np.arange(lots[-1] + 2 if len(lots) else 1))):
+            cell = np.repeat(of[i:j], held[value[i:j]]) * n + holder[spread(at[value[i:j]], held[value[i:j]])]
+            both += np.bincount(cell, minlength=both.size).reshape(both.shape)
+        yield some, both
+
+
+def _reached(near: np.ndarray) -> np.ndarray:
+    """Of the graph (n, n) every vertex's smallest connected vertex; each row is read once, however long the ways are."""
+    label = np.full(len(near), -1)
+    for one in range(len(near)):
+        if label[one] < 0:
+            edge = np.array([one])
+            while len(edge):
+                label[edge] = one
+                edge = np.flatnonzero(near[edge].any(0) & (label < 0))
+    return label
+
+
 def _linked(values: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
     """Of each set its component's smallest member, by whole sets.
 
-    One document after another, those first whose shingles most others share, is compared with all. Once the documents
-    not yet taken are one component, no pair is left that could join two.
+    The documents whose shingles most others share are compared with all, one after another. Once the documents not yet
+    taken are one component, no pair is left that could join two. After ``SCANS`` of them, all documents outside the
+    largest component are compared with all at once.
     """
-    held, place = np.unique(values, return_inverse=True)
-    place = place.astype(np.int32)
-    row = np.repeat(np.arange(len(size), dtype=np.int32), size)
+    n = len(size)
+    place, holder, held = _holders(values, size)
+    row = np.repeat(np.arange(n, dtype=np.int32), size)
     begin = np.append(0, np.cumsum(size))
-    common = np.bincount(row, np.bincount(place)[place], len(size)) / size
-    label = np.arange(len(size))
+    common = np.bincount(row, held[place], n) / size
+    label = np.arange(n)
     order = np.argsort(-common, kind="stable")
     for at, one in enumerate(order):
         rest = label[order[at:]]
         if (rest == rest[0]).all():
+            return label
+        if at == SCANS:
             break
         mark = np.zeros(len(held), bool)
         mark[place[begin[one] : begin[one + 1]]] = True
-        both = np.bincount(row, mark[place], len(size))
+        both = np.bincount(row, mark[place], n)
         near = 100 * both >= percent * (size + size[one] - both)
         joined = np.unique(label[near])
         if len(joined) > 1:
             label[np.isin(label, joined)] = joined[0]
-    return label
+    largest = label == np.bincount(label).argmax()
+    left = np.flatnonzero(~largest)
+    # The largest component is vertex 0, the documents left are the others.
+    graph = np.zeros((len(left) + 1, len(left) + 1), bool)
+    at = 1
+    for some, both in _common(place, holder, held, size, left):
+        near = 100 * both >= percent * (size[some, None] + size - both)
+        graph[at : at + len(some), 1:] = near[:, left]
+        graph[at : at + len(some), 0] = near[:, largest].any(1)
+        at += len(some)
+    graph[0] = graph[:, 0]
+    vertex = np.zeros(n, np.int64)
+    vertex[left] = np.arange(1, len(left) + 1)
+    part = _reached(graph)[vertex]
+    least = np.full(len(graph), n)
+    np.minimum.at(least, part, np.arange(n))
+    return least[part]
 
 
 def links_of_groups(rows: DataFrame, percent: int) -> DataFrame:
